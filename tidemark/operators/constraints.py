@@ -5,7 +5,7 @@ A check passes on NULL, so a violation is ``coalesce(NOT condition, false)``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -129,7 +129,7 @@ FOREIGN_KEYS = {
     BALANCE.name: (ForeignKey("balance_account", "account_id", ACCOUNT.name, "account_id"),),
 }
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def _labelled(df: DataFrame, table: str, constraint: str) -> DataFrame:

@@ -6,7 +6,7 @@ reject their transactions and balances.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -54,7 +54,7 @@ class Run:
 class Layers:
     """Lazily built layers; asking for one entity builds only that entity and its parents."""
 
-    sources: dict[str, DataFrame]
+    sources: Mapping[str, DataFrame]
     run: Run
     settle: Callable[[DataFrame, str], DataFrame] = lambda df, label: df
     _evaluated: dict[str, DataFrame] = field(default_factory=dict)
@@ -81,12 +81,12 @@ class Layers:
         return build_core(accepted(self.evaluated(name)), name)
 
 
-def settled(sources: dict[str, DataFrame], run: Run) -> Layers:
+def settled(sources: Mapping[str, DataFrame], run: Run) -> Layers:
     """Layers whose evaluated tables are written once and then read by everything downstream."""
     return Layers(sources, run, settle=lambda df, label: materialise(df, f"evaluated-{label}"))
 
 
-def migrate(sources: dict[str, DataFrame], run: Run, root: str) -> dict[str, DataFrame]:
+def migrate(sources: Mapping[str, DataFrame], run: Run, root: str) -> dict[str, DataFrame]:
     """Land, load, evaluate, gate and publish every table below ``root``; returns the core tables.
 
     Each raw batch is evaluated exactly once; staging and quarantine are two filters over that result.

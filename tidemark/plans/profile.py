@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from tidemark.operators.balances import failure_counts
 from tidemark.operators.keys import duplicate_key_count, either_orphan_count, orphan_count
 from tidemark.schemas import EMAIL_PATTERN, ENTITIES
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def _lines(one_row: DataFrame, section: str) -> DataFrame:

@@ -7,6 +7,8 @@ report has material at any scale. Doubles become DECIMAL(18,2) at the scan and s
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -185,16 +187,40 @@ def balances(spark: SparkSession, folder: str) -> DataFrame:
     return extract(derived, BALANCE)
 
 
-def bank(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All five source tables."""
-    return {
-        "branch": branches(spark, folder),
-        "customer": customers(spark, folder),
-        "account": accounts(spark, folder),
-        "transaction": transactions(spark, folder),
-        "daily_balance": balances(spark, folder),
+class Bank(Mapping):
+    """The five source tables by name; a table is only planned when it is asked for."""
+
+    BUILDERS = {
+        "branch": branches,
+        "customer": customers,
+        "account": accounts,
+        "transaction": transactions,
+        "daily_balance": balances,
     }
 
+    def __init__(self, spark: SparkSession, folder: str, **replaced: DataFrame):
+        self._spark, self._folder = spark, folder
+        self._tables = dict(replaced)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self.BUILDERS[name](self._spark, self._folder)
+        return self._tables[name]
+
+    def __iter__(self):
+        return iter(self.BUILDERS)
+
+    def __len__(self) -> int:
+        return len(self.BUILDERS)
+
+    def replaced(self, **tables: DataFrame) -> Bank:
+        """The same bank with some tables exchanged."""
+        return Bank(self._spark, self._folder, **{**self._tables, **tables})
+
+
+def bank(spark: SparkSession, folder: str) -> Bank:
+    return Bank(spark, folder)
+
 
 def event_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Events as a clean double-entry ledger between users: debit the user, credit one of the next seven."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,7 +133,7 @@ def verify_landing(spark: SparkSession, entity: Entity, root: str, batch_id: str
     )
 
 
-def dataset_manifest(tables: dict[str, DataFrame], entities: dict[str, Entity]) -> DataFrame:
+def dataset_manifest(tables: Mapping[str, DataFrame], entities: Mapping[str, Entity]) -> DataFrame:
     """Row count and key/time ranges of several tables in one result."""
     parts = []
     for name, df in tables.items():

@@ -19,7 +19,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
         else F.col(f.name)
         for f in df.schema.fields
     ]
-    df.select(*columns).write.mode(mode).option("header", True).option("nullValue", "").csv(path)
+    writer = df.select(*columns).write.mode(mode).option("header", True).option("nullValue", "")
+    # The writer trims by default; blanks around a value are data here.
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -32,9 +34,10 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> N
     df.select(*columns).write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    """CREATE OR REPLACE TABLE ... AS SELECT on the session catalog."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """CREATE OR REPLACE TABLE ... AS SELECT on the session catalog, at ``path`` if one is given."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def replace_path(df: DataFrame, path: str) -> None:
