@@ -78,7 +78,7 @@ SOURCES = {
         FROM lineitem""",
     "src_transaction": """
         SELECT CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, price,
-                    strftime(l_shipdate, '%Y-%m-%d'))), 1, 15) AS BIGINT) AS transaction_id,
+                    date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)))), 1, 15) AS BIGINT) AS transaction_id,
                l_orderkey AS source_account_id,
                l_partkey AS destination_account_id,
                ts AS transaction_ts,

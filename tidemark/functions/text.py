@@ -1,4 +1,7 @@
-"""Canonical text of typed values: the byte-exact base of hashes, keys and payloads."""
+"""Canonical text of typed values: the byte-exact base of hashes, keys and payloads.
+
+The expressions are assembled as SQL text and parsed once, which keeps planning cheap for wide tables.
+"""
 
 from __future__ import annotations
 
@@ -10,23 +13,20 @@ from pyspark.sql import types as T
 INSTANT_FORMAT = "yyyy-MM-dd HH:mm:ssx"
 
 
-def instant_text(name: str) -> Column:
-    """Text of a TIMESTAMP column, cut to whole seconds, with the session offset."""
-    return F.date_format(F.col(name), INSTANT_FORMAT)
-
-
-def canonical_text(field: T.StructField) -> Column:
-    """Text of any key, date, decimal, flag or instant column; doubles are refused."""
+def canonical_text(field: T.StructField) -> str:
+    """SQL for the text of a key, date, decimal, flag or instant; doubles are refused."""
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
         raise TypeError(f"{field.name}: floating point has no canonical text")
     if isinstance(field.dataType, T.TimestampType):
-        return instant_text(field.name)
-    return F.col(field.name).cast("string")
+        return f"date_format({field.name}, '{INSTANT_FORMAT}')"
+    if isinstance(field.dataType, T.StringType):
+        return field.name
+    return f"CAST({field.name} AS STRING)"
 
 
 def record_key(schema: T.StructType, key: tuple[str, ...]) -> Column:
     """Primary key as text; the parts of a composite key are joined by a pipe."""
-    return F.concat_ws("|", *[canonical_text(schema[c]) for c in key])
+    return F.expr(f"concat_ws('|', {', '.join(canonical_text(schema[c]) for c in key)})")
 
 
 def record_hash(schema: T.StructType, columns: tuple[str, ...], blank_when_null: tuple[str, ...] = ()) -> Column:
@@ -34,17 +34,17 @@ def record_hash(schema: T.StructType, columns: tuple[str, ...], blank_when_null:
 
     ``concat_ws`` skips NULLs, so only the columns in ``blank_when_null`` keep their place when empty.
     """
-    parts = []
-    for name in columns:
-        text = canonical_text(schema[name])
-        parts.append(F.coalesce(text, F.lit("")) if name in blank_when_null else text)
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    parts = [
+        f"coalesce({canonical_text(schema[c])}, '')" if c in blank_when_null else canonical_text(schema[c])
+        for c in columns
+    ]
+    return F.expr(f"sha2(concat_ws('|', {', '.join(parts)}), 256)")
 
 
 def json_payload(schema: T.StructType, columns: tuple[str, ...]) -> Column:
-    """JSON object of the raw values in the given order, NULLs kept."""
+    """JSON object of the raw values in the given order, NULLs kept, instants as whole seconds."""
     fields = [
-        (instant_text(c) if isinstance(schema[c].dataType, T.TimestampType) else F.col(c)).alias(c)
+        f"'{c}', {canonical_text(schema[c])}" if isinstance(schema[c].dataType, T.TimestampType) else f"'{c}', {c}"
         for c in columns
     ]
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    return F.expr(f"to_json(named_struct({', '.join(fields)}), map('ignoreNullFields', 'false'))")

@@ -12,6 +12,8 @@ from tidemark.schemas import MONEY
 OPENING_BASE = 10000
 OPENING_PER_ID = 100
 
+BALANCE_EQUATION = "(opening_balance + credit_total - debit_total = closing_balance)"
+
 # Decides between several rows of one account and day: the latest version counts.
 VERSION_ORDER = ("source_updated_at", "ingested_at", "record_hash")
 
@@ -22,23 +24,12 @@ def daily_movements(transactions: DataFrame) -> DataFrame:
     One scan: every transaction is unfolded into its debit and its credit leg. The sums combine on the map
     side, so a hot account reaches the shuffle as at most one row per day and task.
     """
-    nothing = F.lit(0).cast(MONEY)
-
-    def leg(account: str, debit: Column, credit: Column) -> Column:
-        return F.struct(
-            F.col(account).alias("account_id"),
-            F.to_date("transaction_ts").alias("business_date"),
-            debit.alias("debit"),
-            credit.alias("credit"),
-        )
-
-    legs = transactions.select(
-        F.inline(
-            F.array(
-                leg("source_account_id", F.col("amount"), nothing),
-                leg("destination_account_id", nothing, F.col("amount")),
-            )
-        )
+    legs = transactions.selectExpr(
+        """inline(array(
+            named_struct('account_id', source_account_id, 'business_date', to_date(transaction_ts),
+                         'debit', amount, 'credit', CAST(0 AS DECIMAL(18, 2))),
+            named_struct('account_id', destination_account_id, 'business_date', to_date(transaction_ts),
+                         'debit', CAST(0 AS DECIMAL(18, 2)), 'credit', amount)))"""
     )
     return legs.groupBy("account_id", "business_date").agg(
         F.sum("debit").cast(MONEY).alias("debit_total"),
@@ -79,12 +70,8 @@ def daily_balances(transactions: DataFrame, opening: Column | None = None) -> Da
     )
 
 
-def expected_closing() -> Column:
-    return F.col("opening_balance") + F.col("credit_total") - F.col("debit_total")
-
-
 def balance_equation_holds() -> Column:
-    return expected_closing() == F.col("closing_balance")
+    return F.expr(BALANCE_EQUATION)
 
 
 def with_previous_closing(balances: DataFrame) -> DataFrame:

@@ -5,14 +5,14 @@ A check passes on NULL, so a violation is ``coalesce(NOT condition, false)``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.verdict import count_where, union_all
-from tidemark.operators.balances import balance_equation_holds
+from tidemark.functions.verdict import union_all
+from tidemark.operators.balances import BALANCE_EQUATION
 from tidemark.operators.keys import duplicate_keys, orphans
 from tidemark.schemas import (
     ACCOUNT,
@@ -29,15 +29,16 @@ from tidemark.schemas import (
     TRANSACTION,
     TRANSACTION_TYPES,
     Entity,
+    one_of,
 )
 
 
 @dataclass(frozen=True)
 class RowCheck:
-    """CHECK constraint: a condition on one row."""
+    """CHECK constraint: a SQL condition on one row."""
 
     name: str
-    holds: Callable[[], Column]
+    holds: str
 
 
 @dataclass(frozen=True)
@@ -48,74 +49,53 @@ class ForeignKey:
     key: str
 
 
-def _in(name: str, allowed: tuple[str, ...]) -> Callable[[], Column]:
-    return lambda: F.col(name).isin(*allowed)
-
-
-def _upper_code(name: str, length: int | None = None) -> Callable[[], Column]:
-    def holds() -> Column:
-        same = F.col(name) == F.upper(name)
-        return same if length is None else same & (F.length(name) == length)
-
-    return holds
-
-
-def _not_before(later: str, earlier: str) -> Callable[[], Column]:
-    return lambda: F.col(later) >= F.col(earlier)
-
-
-_STAMP_ORDER = RowCheck("timestamps_ordered", _not_before("updated_at", "created_at"))
+_STAMP_ORDER = RowCheck("timestamps_ordered", "updated_at >= created_at")
+_CURRENCY = RowCheck("currency_code_format", "currency_code = upper(currency_code) AND length(currency_code) = 3")
 
 ENUMERATIONS = {
-    BRANCH.name: (RowCheck("status_enumeration", _in("status", BRANCH_STATUSES)),),
+    BRANCH.name: (RowCheck("status_enumeration", one_of("status", BRANCH_STATUSES)),),
     CUSTOMER.name: (
-        RowCheck("kyc_status_enumeration", _in("kyc_status", KYC_STATUSES)),
-        RowCheck("customer_status_enumeration", _in("customer_status", CUSTOMER_STATUSES)),
+        RowCheck("kyc_status_enumeration", one_of("kyc_status", KYC_STATUSES)),
+        RowCheck("customer_status_enumeration", one_of("customer_status", CUSTOMER_STATUSES)),
     ),
     ACCOUNT.name: (
-        RowCheck("account_type_enumeration", _in("account_type", ACCOUNT_TYPES)),
-        RowCheck("status_enumeration", _in("status", ACCOUNT_STATUSES)),
+        RowCheck("account_type_enumeration", one_of("account_type", ACCOUNT_TYPES)),
+        RowCheck("status_enumeration", one_of("status", ACCOUNT_STATUSES)),
     ),
     TRANSACTION.name: (
-        RowCheck("transaction_type_enumeration", _in("transaction_type", TRANSACTION_TYPES)),
-        RowCheck("payment_channel_enumeration", _in("payment_channel", PAYMENT_CHANNELS)),
+        RowCheck("transaction_type_enumeration", one_of("transaction_type", TRANSACTION_TYPES)),
+        RowCheck("payment_channel_enumeration", one_of("payment_channel", PAYMENT_CHANNELS)),
     ),
 }
 
 CODES = {
-    CUSTOMER.name: (RowCheck("country_code_upper", _upper_code("country_code")),),
-    ACCOUNT.name: (RowCheck("currency_code_format", _upper_code("currency_code", 3)),),
-    TRANSACTION.name: (RowCheck("currency_code_format", _upper_code("currency_code", 3)),),
+    CUSTOMER.name: (RowCheck("country_code_upper", "country_code = upper(country_code)"),),
+    ACCOUNT.name: (_CURRENCY,),
+    TRANSACTION.name: (_CURRENCY,),
 }
 
 ORDERINGS = {
     BRANCH.name: (_STAMP_ORDER,),
     CUSTOMER.name: (_STAMP_ORDER,),
-    ACCOUNT.name: (
-        _STAMP_ORDER,
-        RowCheck("closed_after_opened", _not_before("closed_date", "opened_date")),
-    ),
+    ACCOUNT.name: (_STAMP_ORDER, RowCheck("closed_after_opened", "closed_date >= opened_date")),
     TRANSACTION.name: (
-        RowCheck(
-            "timestamps_ordered",
-            lambda: (F.col("updated_at") >= F.col("created_at")) & (F.col("created_at") >= F.col("transaction_ts")),
-        ),
+        RowCheck("timestamps_ordered", "updated_at >= created_at AND created_at >= transaction_ts"),
     ),
     BALANCE.name: (_STAMP_ORDER,),
 }
 
 AMOUNTS = {
     TRANSACTION.name: (
-        RowCheck("amount_positive", lambda: F.col("amount") > 0),
-        RowCheck("accounts_differ", lambda: F.col("source_account_id") != F.col("destination_account_id")),
+        RowCheck("amount_positive", "amount > 0"),
+        RowCheck("accounts_differ", "source_account_id <> destination_account_id"),
     ),
     BALANCE.name: (
-        RowCheck("debit_non_negative", lambda: F.col("debit_total") >= 0),
-        RowCheck("credit_non_negative", lambda: F.col("credit_total") >= 0),
+        RowCheck("debit_non_negative", "debit_total >= 0"),
+        RowCheck("credit_non_negative", "credit_total >= 0"),
     ),
 }
 
-EQUATIONS = {BALANCE.name: (RowCheck("balance_equation", balance_equation_holds),)}
+EQUATIONS = {BALANCE.name: (RowCheck("balance_equation", BALANCE_EQUATION),)}
 
 FOREIGN_KEYS = {
     ACCOUNT.name: (
@@ -156,7 +136,7 @@ def audit_rows(tables: Tables, groups: dict[str, tuple[RowCheck, ...]]) -> DataF
             _conditions(
                 tables[table],
                 table,
-                {c.name: count_where(F.coalesce(~c.holds(), F.lit(False))) for c in checks},
+                {c.name: F.expr(f"count_if(NOT ({c.holds}))") for c in checks},
             )
             for table, checks in groups.items()
         ]
@@ -167,7 +147,7 @@ def audit_not_null(tables: Tables) -> DataFrame:
     """NULLs per required column, one scan per table."""
     return union_all(
         [
-            _conditions(tables[e.name], e.name, {f"{c}_not_null": count_where(F.col(c).isNull()) for c in e.required})
+            _conditions(tables[e.name], e.name, {f"{c}_not_null": F.expr(f"count_if({c} IS NULL)") for c in e.required})
             for e in ENTITIES.values()
         ]
     )

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from tidemark.operators.balances import balance_equation_holds, with_previous_closing
+from tidemark.operators.balances import BALANCE_EQUATION, with_previous_closing
 from tidemark.operators.rules import Lookup, Rule, RuleBook
 from tidemark.schemas import (
     ACCOUNT,
@@ -20,67 +17,51 @@ from tidemark.schemas import (
     PAYMENT_CHANNELS,
     TRANSACTION,
     TRANSACTION_TYPES,
+    one_of,
 )
 
 HIGH, CRITICAL = "HIGH", "CRITICAL"
 
+GOOD_EMAIL = f"email LIKE '{EMAIL_PATTERN}'"
+APPROVED = f"currency_code = '{APPROVED_CURRENCY}'"
+# The earliest closing date among the CLOSED rows of an account; NULL while it is open.
+CLOSED_ON = "source_account_closed_on"
+CLOSED_BEFORE_USE = f"{CLOSED_ON} < to_date(transaction_ts)"
 
-def _blank(name: str) -> Column:
-    return F.col(name).isNull() | (F.trim(name) == "")
-
-
-def _one_of(name: str, allowed: tuple[str, ...]) -> Column:
-    return F.col(name).isin(*allowed)
-
-
-def _bad_email() -> Column:
-    return F.col("email").isNotNull() & ~F.col("email").like(EMAIL_PATTERN)
 
+def filled(column: str) -> str:
+    return f"({column} IS NOT NULL AND trim({column}) <> '')"
 
-def _closed_before_use() -> Column:
-    return F.col("source_account_closed_on") < F.to_date("transaction_ts")
 
-
-def _earliest_closure(status: str) -> Column:
-    """Earliest closing date among CLOSED rows of an account; NULL when it is open."""
-    return F.min(F.when(F.col(status) == "CLOSED", F.col("closed_date"))).alias("source_account_closed_on")
+def earliest_closure(status: str) -> dict[str, str]:
+    return {CLOSED_ON: f"min(CASE WHEN {status} = 'CLOSED' THEN closed_date END)"}
 
 
 BRANCH_BOOK = RuleBook(
     entity=BRANCH,
-    accepts=lambda today: (
-        F.col("branch_id").isNotNull()
-        & ~_blank("branch_code")
-        & ~_blank("branch_name")
-        & F.col("opened_date").isNotNull()
-        & _one_of("status", BRANCH_STATUSES)
+    accepts=(
+        f"branch_id IS NOT NULL AND {filled('branch_code')} AND {filled('branch_name')} "
+        f"AND opened_date IS NOT NULL AND {one_of('status', BRANCH_STATUSES)}"
     ),
     rules=(
-        Rule("BRANCH_CODE_REQUIRED", HIGH, "Branch code is missing or blank.", lambda today: _blank("branch_code")),
-        Rule("BRANCH_NAME_REQUIRED", HIGH, "Branch name is missing or blank.", lambda today: _blank("branch_name")),
-        Rule(
-            "BRANCH_OPENED_DATE_REQUIRED", HIGH, "Branch opened_date is missing.",
-            lambda today: F.col("opened_date").isNull(),
-        ),
+        Rule("BRANCH_CODE_REQUIRED", HIGH, "Branch code is missing or blank.", f"NOT {filled('branch_code')}"),
+        Rule("BRANCH_NAME_REQUIRED", HIGH, "Branch name is missing or blank.", f"NOT {filled('branch_name')}"),
+        Rule("BRANCH_OPENED_DATE_REQUIRED", HIGH, "Branch opened_date is missing.", "opened_date IS NULL"),
         Rule(
             "BRANCH_STATUS_REFERENCE", HIGH, "Branch status is not approved.",
-            lambda today: ~_one_of("status", BRANCH_STATUSES),
+            f"NOT {one_of('status', BRANCH_STATUSES)}",
         ),
     ),
 )
 
 CUSTOMER_BOOK = RuleBook(
     entity=CUSTOMER,
-    accepts=lambda today: (
-        (F.col("date_of_birth") <= today)
-        & (F.col("email").isNull() | F.col("email").like(EMAIL_PATTERN))
-    ),
+    accepts=f"date_of_birth <= as_of AND (email IS NULL OR {GOOD_EMAIL})",
     rules=(
         Rule(
-            "CUSTOMER_DOB_NOT_FUTURE", HIGH, "Customer date of birth is in the future.",
-            lambda today: F.col("date_of_birth") > today,
+            "CUSTOMER_DOB_NOT_FUTURE", HIGH, "Customer date of birth is in the future.", "date_of_birth > as_of"
         ),
-        Rule("CUSTOMER_EMAIL_FORMAT", HIGH, "Customer email format is invalid.", lambda today: _bad_email()),
+        Rule("CUSTOMER_EMAIL_FORMAT", HIGH, "Customer email format is invalid.", f"NOT ({GOOD_EMAIL})"),
     ),
 )
 
@@ -91,37 +72,34 @@ ACCOUNT_BOOK = RuleBook(
         Lookup("branch", "branch_id", "branch", "branch_id"),
     ),
     # The branch is deliberately absent here: an unknown branch is quarantined and still accepted.
-    accepts=lambda today: (
-        F.col("customer_found")
-        & (F.col("currency_code") == APPROVED_CURRENCY)
-        & (F.col("closed_date").isNull() | (F.col("closed_date") >= F.col("opened_date")))
-        & _one_of("account_type", ACCOUNT_TYPES)
-        & _one_of("status", ACCOUNT_STATUSES)
+    accepts=(
+        f"customer_found AND {APPROVED} AND (closed_date IS NULL OR closed_date >= opened_date) "
+        f"AND {one_of('account_type', ACCOUNT_TYPES)} AND {one_of('status', ACCOUNT_STATUSES)}"
     ),
     rules=(
         Rule(
             "ACCOUNT_CUSTOMER_REFERENCE", CRITICAL, "Account customer_id does not resolve to a valid customer.",
-            lambda today: ~F.col("customer_found"),
+            "NOT customer_found",
         ),
         Rule(
             "ACCOUNT_CURRENCY_REFERENCE", HIGH, "Account currency is not in the approved currency list.",
-            lambda today: F.col("currency_code") != APPROVED_CURRENCY,
+            f"NOT ({APPROVED})",
         ),
         Rule(
             "ACCOUNT_DATE_RANGE", HIGH, "Account closed_date is earlier than opened_date.",
-            lambda today: F.col("closed_date") < F.col("opened_date"),
+            "closed_date < opened_date",
         ),
         Rule(
             "ACCOUNT_TYPE_REFERENCE", HIGH, "Account type is not approved.",
-            lambda today: ~_one_of("account_type", ACCOUNT_TYPES),
+            f"NOT {one_of('account_type', ACCOUNT_TYPES)}",
         ),
         Rule(
             "ACCOUNT_STATUS_REFERENCE", HIGH, "Account status is not approved.",
-            lambda today: ~_one_of("status", ACCOUNT_STATUSES),
+            f"NOT {one_of('status', ACCOUNT_STATUSES)}",
         ),
         Rule(
             "ACCOUNT_BRANCH_REFERENCE", HIGH, "Account branch_id does not resolve to a valid branch.",
-            lambda today: ~F.col("branch_found"),
+            "NOT branch_found",
         ),
     ),
 )
@@ -129,55 +107,44 @@ ACCOUNT_BOOK = RuleBook(
 TRANSACTION_BOOK = RuleBook(
     entity=TRANSACTION,
     lookups=(
-        Lookup(
-            "source_account", "source_account_id", "account", "account_id",
-            facts=lambda: [_earliest_closure("account_status")],
-        ),
+        Lookup("source_account", "source_account_id", "account", "account_id", earliest_closure("account_status")),
         Lookup("destination_account", "destination_account_id", "account", "account_id"),
     ),
-    accepts=lambda today: (
-        F.col("source_account_found")
-        & F.col("destination_account_found")
-        & (F.col("amount") > 0)
-        & (F.col("currency_code") == APPROVED_CURRENCY)
-        & (F.col("source_account_id") != F.col("destination_account_id"))
-        & _one_of("transaction_type", TRANSACTION_TYPES)
-        & _one_of("payment_channel", PAYMENT_CHANNELS)
-        & ~F.coalesce(_closed_before_use(), F.lit(False))
+    accepts=(
+        f"source_account_found AND destination_account_found AND amount > 0 AND {APPROVED} "
+        "AND source_account_id <> destination_account_id "
+        f"AND {one_of('transaction_type', TRANSACTION_TYPES)} AND {one_of('payment_channel', PAYMENT_CHANNELS)} "
+        f"AND NOT coalesce({CLOSED_BEFORE_USE}, FALSE)"
     ),
     rules=(
         Rule(
             "TRANSACTION_SOURCE_ACCOUNT_REFERENCE", CRITICAL, "Source account does not resolve to a valid account.",
-            lambda today: ~F.col("source_account_found"),
+            "NOT source_account_found",
         ),
         Rule(
             "TRANSACTION_DESTINATION_ACCOUNT_REFERENCE", CRITICAL,
-            "Destination account does not resolve to a valid account.",
-            lambda today: ~F.col("destination_account_found"),
-        ),
-        Rule(
-            "TRANSACTION_AMOUNT_POSITIVE", HIGH, "Transaction amount must be greater than zero.",
-            lambda today: F.col("amount") <= 0,
+            "Destination account does not resolve to a valid account.", "NOT destination_account_found",
         ),
+        Rule("TRANSACTION_AMOUNT_POSITIVE", HIGH, "Transaction amount must be greater than zero.", "amount <= 0"),
         Rule(
             "TRANSACTION_CURRENCY_REFERENCE", HIGH, "Transaction currency is not in the approved currency list.",
-            lambda today: F.col("currency_code") != APPROVED_CURRENCY,
+            f"NOT ({APPROVED})",
         ),
         Rule(
             "TRANSACTION_ACCOUNTS_DIFFER", HIGH, "Source and destination accounts must be different.",
-            lambda today: F.col("source_account_id") == F.col("destination_account_id"),
+            "source_account_id = destination_account_id",
         ),
         Rule(
             "TRANSACTION_TYPE_REFERENCE", HIGH, "Transaction type is not approved.",
-            lambda today: ~_one_of("transaction_type", TRANSACTION_TYPES),
+            f"NOT {one_of('transaction_type', TRANSACTION_TYPES)}",
         ),
         Rule(
             "TRANSACTION_CHANNEL_REFERENCE", HIGH, "Payment channel is not approved.",
-            lambda today: ~_one_of("payment_channel", PAYMENT_CHANNELS),
+            f"NOT {one_of('payment_channel', PAYMENT_CHANNELS)}",
         ),
         Rule(
             "CLOSED_ACCOUNT_TRANSACTION", HIGH, "Transaction occurred after the source account was closed.",
-            lambda today: _closed_before_use(),
+            CLOSED_BEFORE_USE,
         ),
     ),
 )
@@ -186,37 +153,24 @@ BALANCE_BOOK = RuleBook(
     entity=BALANCE,
     lookups=(Lookup("account", "account_id", "account", "account_id"),),
     prepare=with_previous_closing,
-    accepts=lambda today: (
-        F.col("account_found")
-        & (F.col("debit_total") >= 0)
-        & (F.col("credit_total") >= 0)
-        & balance_equation_holds()
-        & (
-            F.col("previous_closing_balance").isNull()
-            | (F.col("opening_balance") == F.col("previous_closing_balance"))
-        )
+    accepts=(
+        f"account_found AND debit_total >= 0 AND credit_total >= 0 AND {BALANCE_EQUATION} "
+        "AND (previous_closing_balance IS NULL OR opening_balance = previous_closing_balance)"
     ),
     rules=(
         Rule(
             "BALANCE_ACCOUNT_REFERENCE", CRITICAL, "Balance account_id does not resolve to a valid account.",
-            lambda today: ~F.col("account_found"),
-        ),
-        Rule(
-            "BALANCE_DEBIT_NON_NEGATIVE", HIGH, "Debit total must be non-negative.",
-            lambda today: F.col("debit_total") < 0,
-        ),
-        Rule(
-            "BALANCE_CREDIT_NON_NEGATIVE", HIGH, "Credit total must be non-negative.",
-            lambda today: F.col("credit_total") < 0,
+            "NOT account_found",
         ),
+        Rule("BALANCE_DEBIT_NON_NEGATIVE", HIGH, "Debit total must be non-negative.", "debit_total < 0"),
+        Rule("BALANCE_CREDIT_NON_NEGATIVE", HIGH, "Credit total must be non-negative.", "credit_total < 0"),
         Rule(
             "BALANCE_EQUATION", CRITICAL,
-            "Opening balance plus credits minus debits does not equal closing balance.",
-            lambda today: ~balance_equation_holds(),
+            "Opening balance plus credits minus debits does not equal closing balance.", f"NOT ({BALANCE_EQUATION})",
         ),
         Rule(
             "BALANCE_ROLL_FORWARD", CRITICAL, "Current opening balance does not equal previous closing balance.",
-            lambda today: F.col("opening_balance") != F.col("previous_closing_balance"),
+            "opening_balance <> previous_closing_balance",
         ),
     ),
 )
@@ -237,27 +191,19 @@ SOURCE_CUSTOMER_BOOK = RuleBook(
         CUSTOMER_BOOK.rule("CUSTOMER_DOB_NOT_FUTURE"),
         Rule(
             "CUSTOMER_EMAIL_FORMAT", HIGH, "Customer email does not match the required format.",
-            lambda today: _bad_email(),
+            f"NOT ({GOOD_EMAIL})",
         ),
     ),
 )
 
 SOURCE_TRANSACTION_BOOK = RuleBook(
     entity=TRANSACTION,
-    lookups=(
-        Lookup(
-            "source_account", "source_account_id", "account", "account_id",
-            facts=lambda: [_earliest_closure("status")],
-        ),
-    ),
-    accepts=lambda today: (
-        (F.col("currency_code") == APPROVED_CURRENCY) & ~F.coalesce(_closed_before_use(), F.lit(False))
-    ),
+    lookups=(Lookup("source_account", "source_account_id", "account", "account_id", earliest_closure("status")),),
+    accepts=f"{APPROVED} AND NOT coalesce({CLOSED_BEFORE_USE}, FALSE)",
     rules=(
         Rule(
             "TRANSACTION_CURRENCY_REFERENCE", HIGH,
-            "Transaction currency is not present in the approved reference list.",
-            lambda today: ~_one_of("currency_code", (APPROVED_CURRENCY,)),
+            "Transaction currency is not present in the approved reference list.", f"NOT ({APPROVED})",
         ),
         TRANSACTION_BOOK.rule("CLOSED_ACCOUNT_TRANSACTION"),
     ),

@@ -7,7 +7,7 @@ therefore closed with ``coalesce(..., false)`` on its own and never derived from
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -17,22 +17,24 @@ from tidemark.functions.text import json_payload
 from tidemark.functions.verdict import count_where, row_count, total
 from tidemark.schemas import OPEN_STATUS, Entity
 
-AsOf = Column
-
-
 @dataclass(frozen=True)
 class Rule:
+    """A rejection rule as data; ``fails`` is a SQL condition over the raw row and its resolved facts.
+
+    The date of the run is available to conditions as ``as_of``.
+    """
+
     rule_id: str
     severity: str
     message: str
-    fails: Callable[[AsOf], Column]
+    fails: str
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """Resolve ``column`` in ``dimension``; adds ``<name>_found`` and any extra aggregated facts.
+    """Resolve ``column`` in ``dimension``; adds ``<name>_found`` and any extra facts.
 
-    Extra facts are aggregates over the dimension rows of one key, so the joined side is unique per key and a
+    Extra facts (name -> SQL aggregate over the dimension rows of one key) keep the joined side unique per key, so a
     lookup can never multiply rows.
     """
 
@@ -40,56 +42,79 @@ class Lookup:
     column: str
     dimension: str
     key: str
-    facts: Callable[[], list[Column]] = list
+    facts: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
 class RuleBook:
     entity: Entity
-    accepts: Callable[[AsOf], Column]
+    accepts: str
     rules: tuple[Rule, ...]
     lookups: tuple[Lookup, ...] = ()
-    prepare: Callable[[DataFrame], DataFrame] | None = field(default=None)
+    prepare: Callable[[DataFrame], DataFrame] | None = None
 
     def rule(self, rule_id: str) -> Rule:
         return next(r for r in self.rules if r.rule_id == rule_id)
 
 
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def attach(df: DataFrame, lookup: Lookup, dimension: DataFrame) -> DataFrame:
     """Left-join the key facts of a dimension.
 
     No broadcast is forced: Spark broadcasts the key facts only while their measured size stays under its
     threshold, and otherwise sort-merges with adaptive splitting of hot foreign keys.
     """
-    known, found = f"{lookup.name}_known_key", f"{lookup.name}_found"
-    facts = dimension.groupBy(F.col(lookup.key).alias(known)).agg(F.lit(True).alias(found), *lookup.facts())
-    joined = df.join(facts, df[lookup.column] == facts[known], "left").drop(known)
-    return joined.withColumn(found, F.coalesce(found, F.lit(False)))
+    known = f"{lookup.name}_known_key"
+    facts = [F.expr(f"{text} AS {name}") for name, text in lookup.facts.items()]
+    per_key = dimension.groupBy(F.col(lookup.key).alias(known)).agg(
+        F.lit(True).alias(f"{lookup.name}_found"), *facts
+    )
+    return df.join(per_key, F.expr(f"{lookup.column} = {known}"), "left").drop(known)
 
 
 def evaluate(
     raw: DataFrame,
     book: RuleBook,
-    dimensions: dict[str, DataFrame] | None = None,
-    as_of: AsOf | None = None,
+    dimensions: Mapping[str, DataFrame] | None = None,
+    as_of: Column | None = None,
 ) -> DataFrame:
-    """Raw columns plus ``is_valid`` and ``failed_rules`` (ids of every failed rule, in rule order)."""
-    today = F.current_date() if as_of is None else as_of
+    """Raw columns plus ``is_valid`` and ``failed_rules``.
+
+    ``failed_rules`` is a bit mask, bit i standing for rule i of the book: eight bytes per row however many rules
+    fail, computed and tested inside whole-stage code generation (array functions with lambdas are not).
+    """
     known = raw if book.prepare is None else book.prepare(raw)
     for lookup in book.lookups:
         known = attach(known, lookup, (dimensions or {})[lookup.dimension])
-    verdicts = [
-        F.when(F.coalesce(r.fails(today), F.lit(False)), F.lit(r.rule_id)) for r in book.rules
-    ]
-    return known.select(
+    resolved = [f"coalesce({k.name}_found, FALSE) AS {k.name}_found" for k in book.lookups]
+    facts = [name for k in book.lookups for name in k.facts]
+    extra = [c for c in known.columns if c not in raw.columns and c not in facts and not c.endswith("_found")]
+    known = known.select(
+        *raw.columns,
+        *extra,
+        *facts,
+        *[F.expr(r) for r in resolved],
+        (F.current_date() if as_of is None else as_of).alias("as_of"),
+    )
+    bits = [f"CASE WHEN {r.fails} THEN {1 << i}L ELSE 0L END" for i, r in enumerate(book.rules)]
+    return known.selectExpr(
         *raw.columns,
-        F.coalesce(book.accepts(today), F.lit(False)).alias("is_valid"),
-        F.array_compact(F.array(*verdicts)).alias("failed_rules"),
+        f"coalesce({book.accepts}, FALSE) AS is_valid",
+        f"{' | '.join(bits)} AS failed_rules",
     )
 
 
 def is_rejected() -> Column:
-    return F.size("failed_rules") > 0
+    return F.col("failed_rules") != 0
+
+
+def failure_count() -> Column:
+    """How many rules a record failed."""
+    return F.bit_count("failed_rules").cast("bigint")
 
 
 def accepted(evaluated: DataFrame) -> DataFrame:
@@ -98,35 +123,28 @@ def accepted(evaluated: DataFrame) -> DataFrame:
 
 
 def _rule_rows(evaluated: DataFrame, book: RuleBook) -> DataFrame:
-    """One row per (record, failed rule). Rows without failures are dropped before the explode."""
-    texts = F.create_map(
-        *[
-            part
-            for r in book.rules
-            for part in (F.lit(r.rule_id), F.struct(F.lit(r.severity).alias("s"), F.lit(r.message).alias("m")))
-        ]
-    )
-    return (
-        evaluated.where(is_rejected())
-        .withColumn("rule_id", F.explode("failed_rules"))
-        .withColumn("text", F.element_at(texts, F.col("rule_id")))
-    )
+    """One row per (record, failed rule). Rows without failures are dropped before the rules are unfolded."""
+    listed = [
+        f"named_struct('bit', {1 << i}L, 'rule_id', '{r.rule_id}', 'severity', '{r.severity}', "
+        f"'error_message', {quoted(r.message)})"
+        for i, r in enumerate(book.rules)
+    ]
+    unfolded = evaluated.where(is_rejected()).selectExpr("*", f"inline(array({', '.join(listed)}))")
+    return unfolded.where(F.col("failed_rules").bitwiseAND(F.col("bit")) != 0)
 
 
 def quarantine(evaluated: DataFrame, book: RuleBook, rejected_at: Column) -> DataFrame:
     """The ten-column quarantine layout, one row per failed rule."""
     entity = book.entity
-    return _rule_rows(
-        evaluated.withColumn("raw_payload", json_payload(entity.schema, entity.payload)), book
-    ).select(
+    return _rule_rows(evaluated, book).select(
         "migration_batch_id",
         "source_system",
         "source_table",
         "source_record_key",
         "rule_id",
-        F.col("text.s").alias("severity"),
-        F.col("text.m").alias("error_message"),
-        "raw_payload",
+        "severity",
+        "error_message",
+        json_payload(entity.schema, entity.payload).alias("raw_payload"),
         rejected_at.cast("timestamp").alias("rejected_at"),
         F.lit(OPEN_STATUS).alias("resolution_status"),
     )
@@ -137,16 +155,14 @@ def source_quarantine(
 ) -> DataFrame:
     """Pre-migration variant: no batch id, and the whole source row as payload."""
     entity = book.entity
-    return _rule_rows(
-        evaluated.withColumn("raw_payload", json_payload(entity.schema, entity.columns)), book
-    ).select(
+    return _rule_rows(evaluated, book).select(
         F.lit(source_system).alias("source_system"),
         F.lit(entity.source_table).alias("source_table"),
         record_key.alias("source_record_key"),
         "rule_id",
-        F.col("text.s").alias("severity"),
-        F.col("text.m").alias("error_message"),
-        "raw_payload",
+        "severity",
+        "error_message",
+        json_payload(entity.schema, entity.columns).alias("raw_payload"),
         rejected_at.cast("timestamp").alias("rejected_at"),
         F.lit(OPEN_STATUS).alias("resolution_status"),
     )
@@ -196,7 +212,7 @@ def staging_counts(evaluated: DataFrame) -> DataFrame:
     per_key = evaluated.groupBy(rejected_key.alias("rejected_key")).agg(
         row_count().alias("raw_rows"),
         count_where(F.col("is_valid")).alias("valid_rows"),
-        F.sum(F.size("failed_rules")).alias("failures"),
+        F.sum(failure_count()).alias("failures"),
     )
     return per_key.agg(
         F.coalesce(F.sum("raw_rows"), F.lit(0)).alias("raw_rows"),

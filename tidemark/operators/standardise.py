@@ -2,88 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.schemas import LINEAGE_COLUMNS
 
-
-def _trimmed(name: str) -> Column:
-    return F.trim(name).alias(name)
-
-
-def _upper(name: str, renamed: str | None = None) -> Column:
-    return F.upper(name).alias(renamed or name)
-
-
-def _branch() -> list[Column]:
-    return [
-        F.col("branch_id"),
-        *[_trimmed(c) for c in ("branch_code", "branch_name", "city", "state")],
-        F.upper(F.trim("operating_region")).alias("operating_region"),
-        F.col("opened_date"),
-        _upper("status", "branch_status"),
-    ]
-
-
-def _customer() -> list[Column]:
-    return [
-        F.col("customer_id"),
-        _trimmed("customer_number"),
-        F.trim("full_name").alias("customer_name"),
-        F.col("date_of_birth"),
-        F.lower(F.trim("email")).alias("email_normalised"),
-        *[F.col(c) for c in ("phone", "country_code", "kyc_status", "customer_status")],
-    ]
-
-
-def _account() -> list[Column]:
-    return [
-        F.col("account_id"),
-        _trimmed("account_number"),
-        F.col("customer_id"),
-        F.col("branch_id"),
-        _upper("account_type"),
-        _upper("currency_code"),
-        F.col("opened_date"),
-        F.col("closed_date"),
-        _upper("status", "account_status"),
-    ]
-
-
-def _transaction() -> list[Column]:
-    return [
-        F.col("transaction_id"),
-        F.col("source_account_id"),
-        F.col("destination_account_id"),
-        F.col("transaction_ts").alias("transaction_timestamp_utc"),
-        _upper("transaction_type"),
-        F.col("amount").alias("transaction_amount"),
-        _upper("currency_code"),
-        _upper("payment_channel"),
-        F.col("aml_flag").alias("is_aml_flagged"),
-    ]
-
-
-def _daily_balance() -> list[Column]:
-    return [
-        F.col(c)
-        for c in (
-            "account_id", "business_date", "opening_balance",
-            "debit_total", "credit_total", "closing_balance",
-        )
-    ]
-
-
-_PROJECTIONS = {
-    "branch": _branch,
-    "customer": _customer,
-    "account": _account,
-    "transaction": _transaction,
-    "daily_balance": _daily_balance,
+# Staging column -> expression over the raw row.
+PROJECTIONS = {
+    "branch": {
+        "branch_id": "branch_id",
+        "branch_code": "trim(branch_code)",
+        "branch_name": "trim(branch_name)",
+        "city": "trim(city)",
+        "state": "trim(state)",
+        "operating_region": "upper(trim(operating_region))",
+        "opened_date": "opened_date",
+        "branch_status": "upper(status)",
+    },
+    "customer": {
+        "customer_id": "customer_id",
+        "customer_number": "trim(customer_number)",
+        "customer_name": "trim(full_name)",
+        "date_of_birth": "date_of_birth",
+        "email_normalised": "lower(trim(email))",
+        "phone": "phone",
+        "country_code": "country_code",
+        "kyc_status": "kyc_status",
+        "customer_status": "customer_status",
+    },
+    "account": {
+        "account_id": "account_id",
+        "account_number": "trim(account_number)",
+        "customer_id": "customer_id",
+        "branch_id": "branch_id",
+        "account_type": "upper(account_type)",
+        "currency_code": "upper(currency_code)",
+        "opened_date": "opened_date",
+        "closed_date": "closed_date",
+        "account_status": "upper(status)",
+    },
+    "transaction": {
+        "transaction_id": "transaction_id",
+        "source_account_id": "source_account_id",
+        "destination_account_id": "destination_account_id",
+        "transaction_timestamp_utc": "transaction_ts",
+        "transaction_type": "upper(transaction_type)",
+        "transaction_amount": "amount",
+        "currency_code": "upper(currency_code)",
+        "payment_channel": "upper(payment_channel)",
+        "is_aml_flagged": "aml_flag",
+    },
+    "daily_balance": {
+        "account_id": "account_id",
+        "business_date": "business_date",
+        "opening_balance": "opening_balance",
+        "debit_total": "debit_total",
+        "credit_total": "credit_total",
+        "closing_balance": "closing_balance",
+    },
 }
 
 
 def standardise(raw: DataFrame, entity_name: str) -> DataFrame:
     """Business columns cleaned and renamed, lineage columns carried along."""
-    return raw.select(*_PROJECTIONS[entity_name](), *LINEAGE_COLUMNS)
+    business = [f"{text} AS {name}" for name, text in PROJECTIONS[entity_name].items()]
+    return raw.selectExpr(*business, *LINEAGE_COLUMNS)

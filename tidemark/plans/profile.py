@@ -185,7 +185,7 @@ def critical_elements(tables: Tables) -> DataFrame:
     """
     parts = []
     for table, column in CRITICAL_ELEMENTS:
-        text = canonical_text(ENTITIES[table].schema[column])
+        text = F.expr(canonical_text(ENTITIES[table].schema[column]))
         values = tables[table].groupBy(column).agg(row_count().alias("copies"))
         parts.append(
             values.agg(

@@ -37,6 +37,12 @@ LINEAGE_COLUMNS = (
 )
 
 
+def one_of(column: str, allowed: tuple[str, ...]) -> str:
+    """SQL membership test against an enumeration; NULL stays NULL."""
+    members = ", ".join(f"'{v}'" for v in allowed)
+    return f"({column} IN ({members}))"
+
+
 def struct_of(ddl: dict[str, str], required: tuple[str, ...]) -> T.StructType:
     """Build a schema from ``name -> type name``; columns in ``required`` are NOT NULL."""
     kinds = {

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.balances import daily_balances
@@ -17,161 +17,153 @@ from tidemark.schemas import BALANCE, MONEY
 from tidemark.sources.readers import extract
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# Declared column types of the given tables; without them every read would first open files to infer a schema.
+STAR_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+}
+
 
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
-def _every(key: str, modulus: int, remainder: int = 0) -> Column:
-    return F.col(key) % modulus == remainder
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the cluster has cores, such as a single small file.
 
-def _choice(selector: Column, *values: str | None) -> Column:
-    """The value at the position ``selector``, the last one otherwise."""
-    result = F.lit(values[-1]).cast("string")
-    for position in range(len(values) - 2, -1, -1):
-        result = F.when(selector == position, F.lit(values[position])).otherwise(result)
-    return result
+    Large inputs have many splits and pass through without a shuffle. Rows are placed by a hash of all columns,
+    which is repeatable after a lost executor and needs no sort.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
 
 
-def _shift(instant: Column, seconds: Column) -> Column:
-    return F.timestamp_micros(F.unix_micros(instant) + seconds.cast("bigint") * 1_000_000)
+def project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Select SQL expressions under the given names."""
+    return df.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
 
 
-def _day(start: str) -> Column:
-    return F.lit(start).cast("date")
+def choice(selector: str, *values: str) -> str:
+    """The value at position ``selector`` (counted from 0)."""
+    return f"element_at(array({', '.join(repr(v) for v in values)}), CAST({selector} AS INT) + 1)"
 
 
 def branches(spark: SparkSession, folder: str) -> DataFrame:
-    key = "n_nationkey"
+    opened = "date_add(DATE '1995-01-01', n_nationkey)"
     rows = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    opened = F.date_add(_day("1995-01-01"), F.col(key))
-    return rows.select(
-        F.col(key).cast("bigint").alias("branch_id"),
-        F.when(_every(key, 12, 11), "   ")
-        .otherwise(F.concat(F.lit(" NB-"), F.lpad(F.col(key).cast("string"), 3, "0"), F.lit(" ")))
-        .alias("branch_code"),
-        F.when(~_every(key, 20, 19), F.col("n_name")).alias("branch_name"),
-        F.concat(F.lit(" City "), F.col(key).cast("string")).alias("city"),
-        F.concat("r_name", F.lit(" State ")).alias("state"),
-        F.concat(F.lit(" "), F.lower("r_name"), F.lit(" ")).alias("operating_region"),
-        F.when(~_every(key, 20, 13), opened).alias("opened_date"),
-        F.when(_every(key, 8, 7), "SUSPENDED")
-        .when(F.col(key) != 6, _choice(F.col(key) % 3, "ACTIVE", "INACTIVE", "CLOSED"))
-        .alias("status"),
-        opened.cast("timestamp").alias("created_at"),
-        F.date_add(opened, F.lit(30)).cast("timestamp").alias("updated_at"),
+    return project(
+        rows,
+        {
+            "branch_id": "CAST(n_nationkey AS BIGINT)",
+            "branch_code": "IF(n_nationkey % 12 = 11, '   ', concat(' NB-', lpad(n_nationkey, 3, '0'), ' '))",
+            "branch_name": "IF(n_nationkey % 20 = 19, NULL, n_name)",
+            "city": "concat(' City ', n_nationkey)",
+            "state": "concat(r_name, ' State ')",
+            "operating_region": "concat(' ', lower(r_name), ' ')",
+            "opened_date": f"IF(n_nationkey % 20 = 13, NULL, {opened})",
+            "status": "CASE WHEN n_nationkey % 8 = 7 THEN 'SUSPENDED' WHEN n_nationkey = 6 THEN NULL "
+            f"ELSE {choice('n_nationkey % 3', 'ACTIVE', 'INACTIVE', 'CLOSED')} END",
+            "created_at": f"CAST({opened} AS TIMESTAMP)",
+            "updated_at": f"CAST(date_add({opened}, 30) AS TIMESTAMP)",
+        },
     )
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    key = "c_custkey"
-    text = F.col(key).cast("string")
-    created = _shift(F.lit("2015-01-01 00:00:00").cast("timestamp"), F.col(key) * 60)
-    return table(spark, folder, "customer").select(
-        F.col(key).alias("customer_id"),
-        F.concat(F.lit(" CN-"), text).alias("customer_number"),
-        F.concat("c_name", F.lit("  ")).alias("full_name"),
-        F.when(~_every(key, 211, 210), F.date_add(_day("1990-01-01"), (F.col(key) * 97 % 14000).cast("int"))).alias(
-            "date_of_birth"
-        ),
-        F.when(_every(key, 50), "invalid-email")
-        .when(~_every(key, 77, 5), F.concat("c_name", F.lit("@Example.com ")))
-        .alias("email"),
-        F.when(~_every(key, 9, 4), F.concat(F.lit("+91"), F.lpad(text, 10, "0"))).alias("phone"),
-        F.col("c_mktsegment").alias("address_line_1"),
-        F.lit(None).cast("string").alias("address_line_2"),
-        F.when(~_every(key, 13), F.concat(F.lit("City "), F.col("c_nationkey").cast("string"))).alias("city"),
-        F.concat(F.lit("State "), F.col("c_nationkey").cast("string")).alias("state"),
-        F.lpad(F.col("c_nationkey").cast("string"), 6, "0").alias("postal_code"),
-        F.when(_every(key, 333, 7), "in").otherwise("IN").alias("country_code"),
-        _choice(F.col(key) % 4, "PENDING", "VERIFIED", "REVIEW_REQUIRED", "REJECTED").alias("kyc_status"),
-        F.when(_every(key, 401, 100), "UNKNOWN")
-        .otherwise(_choice(F.col(key) % 4, "ACTIVE", "INACTIVE", "BLOCKED", "CLOSED"))
-        .alias("customer_status"),
-        created.alias("created_at"),
-        F.when(_every(key, 499, 98), _shift(created, F.lit(-3600))).otherwise(created).alias("updated_at"),
+    created = "timestampadd(MINUTE, c_custkey, TIMESTAMP '2015-01-01 00:00:00')"
+    return project(
+        table(spark, folder, "customer"),
+        {
+            "customer_id": "c_custkey",
+            "customer_number": "concat(' CN-', c_custkey)",
+            "full_name": "concat(c_name, '  ')",
+            "date_of_birth": "IF(c_custkey % 211 = 210, NULL, "
+            "date_add(DATE '1990-01-01', CAST(c_custkey * 97 % 14000 AS INT)))",
+            "email": "CASE WHEN c_custkey % 50 = 0 THEN 'invalid-email' "
+            "WHEN c_custkey % 77 <> 5 THEN concat(c_name, '@Example.com ') END",
+            "phone": "IF(c_custkey % 9 = 4, NULL, concat('+91', lpad(c_custkey, 10, '0')))",
+            "address_line_1": "c_mktsegment",
+            "address_line_2": "CAST(NULL AS STRING)",
+            "city": "IF(c_custkey % 13 = 0, NULL, concat('City ', c_nationkey))",
+            "state": "concat('State ', c_nationkey)",
+            "postal_code": "lpad(c_nationkey, 6, '0')",
+            "country_code": "IF(c_custkey % 333 = 7, 'in', 'IN')",
+            "kyc_status": choice("c_custkey % 4", "PENDING", "VERIFIED", "REVIEW_REQUIRED", "REJECTED"),
+            "customer_status": "IF(c_custkey % 401 = 100, 'UNKNOWN', "
+            f"{choice('c_custkey % 4', 'ACTIVE', 'INACTIVE', 'BLOCKED', 'CLOSED')})",
+            "created_at": created,
+            "updated_at": f"IF(c_custkey % 499 = 98, {created} - INTERVAL '1' HOUR, {created})",
+        },
     )
 
 
 def accounts(spark: SparkSession, folder: str) -> DataFrame:
-    key = "o_orderkey"
-    opened = F.to_date("o_orderdate")
-    created = F.col("o_orderdate").cast("timestamp")
-    is_closed = F.col("o_orderstatus") == "F"
-    closed = F.when(_every(key, 61), F.date_sub(opened, 1)).otherwise(
-        F.date_add(opened, (F.col(key) % 2500).cast("int"))
-    )
-    return table(spark, folder, "orders").select(
-        F.col(key).alias("account_id"),
-        F.concat(F.lit(" AC-"), F.lpad(F.col(key).cast("string"), 12, "0"), F.lit(" ")).alias("account_number"),
-        F.col("o_custkey").alias("customer_id"),
-        F.when(~_every(key, 1013, 1012), F.col(key) % 26).alias("branch_id"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "SAVINGS")
-        .when(F.col("o_orderpriority") == "2-HIGH", "CURRENT")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "LOAN")
-        .when(F.col("o_orderpriority") == "5-LOW", "CREDIT_CARD")
-        .when(_every(key, 5), "NOT SPECIFIED")
-        .otherwise("SAVINGS")
-        .alias("account_type"),
-        F.when(_every(key, 40, 3), "USD")
-        .when(_every(key, 500, 77), "inr")
-        .when(~_every(key, 1000, 999), "INR")
-        .alias("currency_code"),
-        opened.alias("opened_date"),
-        F.when(is_closed, closed).alias("closed_date"),
-        F.when(is_closed, "CLOSED")
-        .when(F.col("o_orderstatus") == "O", _choice(F.col(key) % 2, "ACTIVE", "FROZEN"))
-        .when(_every(key, 11), "PENDING")
-        .otherwise("DORMANT")
-        .alias("status"),
-        created.alias("created_at"),
-        F.when(_every(key, 700, 699), _shift(created, F.lit(-86400)))
-        .otherwise(_shift(created, F.col(key) % 1440 * 60))
-        .alias("updated_at"),
+    created = "CAST(o_orderdate AS TIMESTAMP)"
+    return project(
+        table(spark, folder, "orders"),
+        {
+            "account_id": "o_orderkey",
+            "account_number": "concat(' AC-', lpad(o_orderkey, 12, '0'), ' ')",
+            "customer_id": "o_custkey",
+            "branch_id": "IF(o_orderkey % 1013 = 1012, NULL, o_orderkey % 26)",
+            "account_type": "CASE o_orderpriority WHEN '1-URGENT' THEN 'SAVINGS' WHEN '2-HIGH' THEN 'CURRENT' "
+            "WHEN '3-MEDIUM' THEN 'LOAN' WHEN '5-LOW' THEN 'CREDIT_CARD' "
+            "ELSE IF(o_orderkey % 5 = 0, 'NOT SPECIFIED', 'SAVINGS') END",
+            "currency_code": "CASE WHEN o_orderkey % 40 = 3 THEN 'USD' WHEN o_orderkey % 500 = 77 THEN 'inr' "
+            "WHEN o_orderkey % 1000 <> 999 THEN 'INR' END",
+            "opened_date": "to_date(o_orderdate)",
+            "closed_date": "IF(o_orderstatus = 'F', date_add(to_date(o_orderdate), "
+            "IF(o_orderkey % 61 = 0, -1, CAST(o_orderkey % 2500 AS INT))), NULL)",
+            "status": "CASE o_orderstatus WHEN 'F' THEN 'CLOSED' WHEN 'O' THEN IF(o_orderkey % 2 = 0, 'ACTIVE', "
+            "'FROZEN') ELSE IF(o_orderkey % 11 = 0, 'PENDING', 'DORMANT') END",
+            "created_at": created,
+            "updated_at": f"IF(o_orderkey % 700 = 699, {created} - INTERVAL '1' DAY, "
+            f"timestampadd(MINUTE, o_orderkey % 1440, {created}))",
+        },
     )
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Line items have no key of their own; the id is the leading 60 bits of an MD5 over the row's identity."""
-    price = F.col("l_extendedprice").cast(MONEY)
-    identity = F.concat_ws(
-        "|",
-        *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")],
-        price.cast("string"),
-        F.date_format("l_shipdate", "yyyy-MM-dd"),
+    lines = table(spark, folder, "lineitem").drop("l_discount", "l_tax")
+    rows = spread(lines).selectExpr(
+        "*",
+        "CAST(l_extendedprice AS DECIMAL(18, 2)) AS price",
+        "timestampadd(SECOND, l_linenumber * 3661, CAST(l_shipdate AS TIMESTAMP)) AS ts",
     )
-    ts = _shift(F.col("l_shipdate").cast("timestamp"), F.col("l_linenumber") * 3661)
-    line, flag = F.col("l_linenumber"), F.col("l_returnflag")
-    created = F.when((line == 7) & _every("l_suppkey", 10), _shift(ts, F.lit(-3600))).otherwise(ts)
-    is_open = F.col("l_linestatus") == "O"
-    return table(spark, folder, "lineitem").select(
-        F.conv(F.substring(F.md5(identity), 1, 15), 16, 10).cast("bigint").alias("transaction_id"),
-        F.col("l_orderkey").alias("source_account_id"),
-        F.col("l_partkey").alias("destination_account_id"),
-        ts.alias("transaction_ts"),
-        F.when((flag == "R") & (line == 7), "transfer")
-        .when((flag == "R") & (line == 6), "REFUND")
-        .when(flag == "R", "TRANSFER")
-        .when(flag == "A", F.when(is_open, "TRANSFER").otherwise("CARD_PAYMENT"))
-        .otherwise(F.when(is_open, "CASH_WITHDRAWAL").otherwise("DIRECT_DEBIT"))
-        .alias("transaction_type"),
-        F.when((F.col("l_quantity") == 50) & (line == 1), -price)
-        .when((F.col("l_quantity") == 50) & (line == 2), F.lit(0))
-        .otherwise(price)
-        .cast(MONEY)
-        .alias("amount"),
-        F.when(_every("l_partkey", 200), "ZZZ")
-        .when(_every("l_partkey", 300, 1), "inr")
-        .otherwise("INR")
-        .alias("currency_code"),
-        F.when(_every("l_suppkey", 97, 96), "KIOSK")
-        .otherwise(_choice(F.col("l_suppkey") % 5, "MOBILE", "ONLINE", "ATM", "BRANCH", "CARD"))
-        .alias("payment_channel"),
-        (F.col("l_quantity") >= 49).alias("aml_flag"),
-        created.alias("created_at"),
-        _shift(created, F.lit(3600)).alias("updated_at"),
+    identity = "concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, price, unix_date(to_date(l_shipdate)))"
+    created = "IF(l_linenumber = 7 AND l_suppkey % 10 = 0, ts - INTERVAL '1' HOUR, ts)"
+    return project(
+        rows,
+        {
+            "transaction_id": f"CAST(conv(substring(md5({identity}), 1, 15), 16, 10) AS BIGINT)",
+            "source_account_id": "l_orderkey",
+            "destination_account_id": "l_partkey",
+            "transaction_ts": "ts",
+            "transaction_type": "CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 'transfer' "
+            "WHEN l_returnflag = 'R' AND l_linenumber = 6 THEN 'REFUND' WHEN l_returnflag = 'R' THEN 'TRANSFER' "
+            "WHEN l_returnflag = 'A' THEN IF(l_linestatus = 'O', 'TRANSFER', 'CARD_PAYMENT') "
+            "ELSE IF(l_linestatus = 'O', 'CASH_WITHDRAWAL', 'DIRECT_DEBIT') END",
+            "amount": "CAST(CASE WHEN l_quantity = 50 AND l_linenumber = 1 THEN -price "
+            "WHEN l_quantity = 50 AND l_linenumber = 2 THEN 0 ELSE price END AS DECIMAL(18, 2))",
+            "currency_code": "CASE WHEN l_partkey % 200 = 0 THEN 'ZZZ' WHEN l_partkey % 300 = 1 THEN 'inr' "
+            "ELSE 'INR' END",
+            "payment_channel": "IF(l_suppkey % 97 = 96, 'KIOSK', "
+            f"{choice('l_suppkey % 5', 'MOBILE', 'ONLINE', 'ATM', 'BRANCH', 'CARD')})",
+            "aml_flag": "l_quantity >= 49",
+            "created_at": created,
+            "updated_at": f"{created} + INTERVAL '1' HOUR",
+        },
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import canonical_text
+from tidemark.functions.text import record_key
 from tidemark.functions.verdict import row_count
 from tidemark.schemas import SCHEMA_VERSION, SOURCE_SYSTEM, Entity
 from tidemark.sources.readers import EmptyExtract, extract, read_parquet
@@ -138,7 +138,7 @@ def dataset_manifest(tables: Mapping[str, DataFrame], entities: Mapping[str, Ent
     parts = []
     for name, df in tables.items():
         entity = entities[name]
-        key_text = F.concat_ws("|", *[canonical_text(entity.schema[k]) for k in entity.key])
+        key_text = record_key(entity.schema, entity.key)
         parts.append(
             df.agg(
                 row_count().alias("row_count"),

@@ -28,7 +28,7 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> N
     """One JSON object per line, keys in alphabetical order, everything that is not plain JSON as text."""
     plain = (T.StringType, T.LongType, T.IntegerType, T.BooleanType, T.StructType)
     columns = [
-        F.col(f.name) if isinstance(f.dataType, plain) else canonical_text(f).alias(f.name)
+        F.col(f.name) if isinstance(f.dataType, plain) else F.expr(canonical_text(f)).alias(f.name)
         for f in sorted(df.schema.fields, key=lambda f: f.name)
     ]
     df.select(*columns).write.mode(mode).option("ignoreNullFields", False).json(path)
