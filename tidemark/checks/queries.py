@@ -32,7 +32,7 @@ from tidemark.operators.rules import (
 from tidemark.plans import ledger, profile, reconcile
 from tidemark.plans.core import core_gates
 from tidemark.plans.facts import alerts_by_account_day
-from tidemark.plans.migration import ORDER, PARENTS, Layers, Run, settled
+from tidemark.plans.migration import ORDER, PARENTS, Layers, Run
 from tidemark.schemas import ACCOUNT, BALANCE, BRANCH, CUSTOMER, DEFECT_MANIFEST, ENTITIES, SOURCE_SYSTEM, TRANSACTION
 from tidemark.session import configure, materialise, scratch_path
 from tidemark.sources import bank_views as views
@@ -83,8 +83,9 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-def layers(spark: SparkSession, folder: str) -> Layers:
-    return Layers(views.bank(spark, folder), RUN)
+def layers(spark: SparkSession, folder: str, *settle: str) -> Layers:
+    """The layers over a folder; tables that a query reads several times are settled, the others stay lazy."""
+    return Layers(views.bank(spark, folder), RUN, settle)
 
 
 def run_at():
@@ -162,7 +163,7 @@ for position, entity_name in enumerate(ORDER, start=1):
         return staging_gate(layers(spark, folder).evaluated(name))
 
     def _core_gates(spark, folder, name=entity_name):
-        built = settled(views.bank(spark, folder), RUN)
+        built = layers(spark, folder, name, *PARENTS[name])
         dimensions = {p: built.core(p) for p in PARENTS[name]}
         return core_gates(name, built.core(name), built.staging(name), dimensions)
 
@@ -735,7 +736,7 @@ for audit_name, audit in AUDIT_BUILDERS.items():
 register(
     "ck_all_constraints",
     " UNION ALL ".join(line for lines in AUDITS.values() for line in lines),
-    lambda spark, folder: con.audit_constraints(views.bank(spark, folder)),
+    lambda spark, folder: con.audit_constraints(views.bank(spark, folder).settled("transaction", "daily_balance")),
 )
 
 # -- joins ------------------------------------------------------------------------------------------------------
@@ -797,7 +798,7 @@ REFERENCE_LOSSES = [
     ),
 )
 def _jn4(spark, folder):
-    built = settled(views.bank(spark, folder), RUN)
+    built = layers(spark, folder, "account")
     return _reference_losses(built.sources, built)
 
 
@@ -1034,7 +1035,7 @@ def _so3(spark, folder):
 @query("st1_union_of_quarantines", " UNION ALL ".join(
     f"SELECT source_table, source_record_key, rule_id, severity FROM rej_{n}" for n in ORDER))
 def _st1(spark, folder):
-    built = settled(views.bank(spark, folder), RUN)
+    built = layers(spark, folder, "account")
     return union_all(
         [built.rejected(n).select("source_table", "source_record_key", "rule_id", "severity") for n in ORDER]
     )
@@ -1129,7 +1130,7 @@ SOURCE_PROFILE = " UNION ALL ".join(
 @query("rp1_source_profile", SOURCE_PROFILE)
 def _profile(spark, folder):
     tables = views.bank(spark, folder)
-    tables = tables.replaced(daily_balance=materialise(tables["daily_balance"], "profiled-balances"))
+    tables = tables.settled("transaction", "daily_balance")
     return profile.source_profile(tables)
 
 
@@ -1212,17 +1213,16 @@ FINANCIAL_RECONCILIATION = _check_select(
 
 
 def _transaction_checks(spark: SparkSession, folder: str) -> DataFrame:
-    built = settled(views.bank(spark, folder), RUN)
     name = "transaction"
+    built = layers(spark, folder, name)
     return reconcile.reconcile_transactions(
         built.sources[name], built.raw(name), built.staging(name), built.core(name), built.rejected(name), run_at()
     )
 
 
 def _financial_checks(spark: SparkSession, folder: str) -> DataFrame:
-    sources = views.bank(spark, folder)
-    sources = sources.replaced(daily_balance=materialise(sources["daily_balance"], "source-balances"))
-    built = settled(sources, RUN)
+    sources = views.bank(spark, folder).settled("transaction", "daily_balance")
+    built = Layers(sources, RUN, settle=("daily_balance",))
     return reconcile.reconcile_financials(
         sources["transaction"], sources["daily_balance"], built.raw("transaction"), built.raw("daily_balance"),
         built.core("daily_balance"), built.rejected("daily_balance"), run_at(),
@@ -1279,7 +1279,7 @@ def _element(table: str, column: str) -> str:
 @query("rp9_critical_elements", " UNION ALL ".join(_element(t, c) for t, c in profile.CRITICAL_ELEMENTS))
 def _critical(spark, folder):
     tables = views.bank(spark, folder)
-    tables = tables.replaced(daily_balance=materialise(tables["daily_balance"], "critical-balances"))
+    tables = tables.settled("transaction", "daily_balance")
     return profile.critical_elements(tables)
 
 
@@ -1310,7 +1310,7 @@ EXPECTED_ROWS = {"branch": 25}
 )
 def _verify(spark, folder):
     tables = views.bank(spark, folder)
-    tables = tables.replaced(daily_balance=materialise(tables["daily_balance"], "verified-balances"))
+    tables = tables.settled("transaction", "daily_balance")
     return profile.verify_source(tables, EXPECTED_ROWS, run_at())
 
 
@@ -1507,7 +1507,7 @@ def _rollback(spark, folder):
 
 
 def _table_runs(spark: SparkSession, folder: str) -> DataFrame:
-    built = settled(views.bank(spark, folder), RUN)
+    built = layers(spark, folder)
     names = ("branch", "customer", "account")
     sources = {n: built.sources[n] for n in names}
     stamped = {n: built.raw(n) for n in names}

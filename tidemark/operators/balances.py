@@ -91,7 +91,7 @@ def with_previous_closing(balances: DataFrame) -> DataFrame:
         F.col("business_date").alias("p_date"),
         F.lag("day_closing").over(by_account).alias("previous_closing_balance"),
     ).where("previous_closing_balance IS NOT NULL")
-    on = (balances["account_id"] == previous["p_account"]) & (balances["business_date"] == previous["p_date"])
+    on = F.expr("account_id = p_account AND business_date = p_date")
     return balances.join(previous, on, "left").drop("p_account", "p_date")
 
 

@@ -23,7 +23,7 @@ def overlay(base: DataFrame, patch: DataFrame, key: str) -> DataFrame:
     changed = [
         F.coalesce(F.col(f"patch.{c}"), F.col(c)).alias(c) if c in values else F.col(c) for c in base.columns
     ]
-    return base.join(single, base[key] == single["patch_key"], "left").select(*changed)
+    return base.join(single, F.col(key) == F.col("patch_key"), "left").select(*changed)
 
 
 def insert_missing(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:

@@ -5,7 +5,7 @@ A check passes on NULL, so a violation is ``coalesce(NOT condition, false)``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -129,15 +129,19 @@ def _conditions(df: DataFrame, table: str, counts: dict[str, Column]) -> DataFra
     )
 
 
+def _check_counts(checks: Iterable[RowCheck]) -> dict[str, Column]:
+    return {c.name: F.expr(f"count_if(NOT ({c.holds}))") for c in checks}
+
+
+def _null_counts(entity: Entity) -> dict[str, Column]:
+    return {f"{c}_not_null": F.expr(f"count_if({c} IS NULL)") for c in entity.required}
+
+
 def audit_rows(tables: Tables, groups: dict[str, tuple[RowCheck, ...]]) -> DataFrame:
     """Row checks of a group, one scan per table."""
     return union_all(
         [
-            _conditions(
-                tables[table],
-                table,
-                {c.name: F.expr(f"count_if(NOT ({c.holds}))") for c in checks},
-            )
+            _conditions(tables[table], table, _check_counts(checks))
             for table, checks in groups.items()
         ]
     )
@@ -147,7 +151,7 @@ def audit_not_null(tables: Tables) -> DataFrame:
     """NULLs per required column, one scan per table."""
     return union_all(
         [
-            _conditions(tables[e.name], e.name, {f"{c}_not_null": F.expr(f"count_if({c} IS NULL)") for c in e.required})
+            _conditions(tables[e.name], e.name, _null_counts(e))
             for e in ENTITIES.values()
         ]
     )
@@ -200,18 +204,13 @@ def audit_foreign_keys(tables: Tables) -> DataFrame:
 
 def audit_constraints(tables: Tables) -> DataFrame:
     """Every constraint of every table: (table_name, constraint_name, violations)."""
-    row_checks = {
-        name: tuple(c for group in (ENUMERATIONS, CODES, ORDERINGS, AMOUNTS, EQUATIONS) for c in group.get(name, ()))
-        for name in ENTITIES
-    }
+    one_scan = []
+    for name, entity in ENTITIES.items():
+        checks = [c for group in (ENUMERATIONS, CODES, ORDERINGS, AMOUNTS, EQUATIONS) for c in group.get(name, ())]
+        counts = {**_null_counts(entity), **_check_counts(checks)}
+        one_scan.append(_conditions(tables[name], name, counts))
     return union_all(
-        [
-            audit_primary_keys(tables),
-            audit_unique(tables),
-            audit_not_null(tables),
-            audit_foreign_keys(tables),
-            audit_rows(tables, row_checks),
-        ]
+        [audit_primary_keys(tables), audit_unique(tables), audit_foreign_keys(tables), *one_scan]
     )
 
 

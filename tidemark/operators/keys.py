@@ -40,7 +40,8 @@ def distinct_count(df: DataFrame, key: str, name: str = "distinct_keys") -> Data
 def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
     """Foreign-key values without a parent and the number of child rows behind each; NULL counts as orphan."""
     used = child.groupBy(foreign_key).agg(row_count().alias("child_rows"))
-    return used.join(parent, used[foreign_key] == parent[key], "left_anti")
+    known = parent.select(F.col(key).alias("parent_key"))
+    return used.join(known, F.col(foreign_key) == F.col("parent_key"), "left_anti")
 
 
 def orphan_count(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
@@ -55,7 +56,7 @@ def either_orphan_count(child: DataFrame, first: str, second: str, parent: DataF
     pairs = child.groupBy(first, second).agg(row_count().alias("child_rows"))
     for column in (first, second):
         side = keys.select("known", F.lit(True).alias(f"{column}_found"))
-        pairs = pairs.join(side, pairs[column] == side["known"], "left").drop("known")
+        pairs = pairs.join(side, F.col(column) == F.col("known"), "left").drop("known")
     missing = F.col(f"{first}_found").isNull() | F.col(f"{second}_found").isNull()
     return pairs.where(missing).agg(F.coalesce(F.sum("child_rows"), F.lit(0)).alias("orphan_rows"))
 
@@ -67,11 +68,12 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
 
 def rows_with_listed_key(df: DataFrame, key: str, listed: DataFrame, listed_key: str) -> DataFrame:
     """Rows whose key, read as text, occurs in a text key list (``IN (SELECT DISTINCT ...)``)."""
-    keys = distinct_keys(listed, listed_key)
-    return df.join(keys, df[key].cast("string") == keys[listed_key], "left_semi")
+    keys = distinct_keys(listed, listed_key).withColumnRenamed(listed_key, "listed_key_text")
+    return df.join(keys, F.col(key).cast("string") == F.col("listed_key_text"), "left_semi")
 
 
 def missing_rows(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Set difference expected minus actual; columns are matched by position."""
-    on = [expected[e].eqNullSafe(actual[a]) for e, a in zip(expected.columns, actual.columns)]
-    return expected.distinct().join(actual, on, "left_anti")
+    found = actual.toDF(*[f"found_{i}" for i in range(len(actual.columns))])
+    on = [F.col(e).eqNullSafe(F.col(a)) for e, a in zip(expected.columns, found.columns)]
+    return expected.distinct().join(found, on, "left_anti")

@@ -6,7 +6,7 @@ reject their transactions and balances.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -52,14 +52,23 @@ class Run:
 
 @dataclass
 class Layers:
-    """Lazily built layers; asking for one entity builds only that entity and its parents."""
+    """Lazily built layers; asking for one entity builds only that entity and its parents.
+
+    The evaluated table of an entity in ``settle`` is written once and then read by everything downstream. It holds
+    every raw row next to its verdict, so the raw layer is served from it as well.
+    """
 
     sources: Mapping[str, DataFrame]
     run: Run
-    settle: Callable[[DataFrame, str], DataFrame] = lambda df, label: df
+    settle: tuple[str, ...] = ()
     _evaluated: dict[str, DataFrame] = field(default_factory=dict)
 
     def raw(self, name: str) -> DataFrame:
+        if name in self.settle:
+            return self.evaluated(name).drop("is_valid", "failed_rules")
+        return self._stamped(name)
+
+    def _stamped(self, name: str) -> DataFrame:
         return with_lineage(
             self.sources[name], ENTITIES[name], self.run.batch_id, self.run.instant("ingested_at")
         )
@@ -67,8 +76,8 @@ class Layers:
     def evaluated(self, name: str) -> DataFrame:
         if name not in self._evaluated:
             dimensions = {p: self.core(p) for p in PARENTS[name]}
-            verdict = evaluate(self.raw(name), BOOKS[name], dimensions, self.run.today())
-            self._evaluated[name] = self.settle(verdict, name)
+            verdict = evaluate(self._stamped(name), BOOKS[name], dimensions, self.run.today())
+            self._evaluated[name] = materialise(verdict, f"evaluated-{name}") if name in self.settle else verdict
         return self._evaluated[name]
 
     def staging(self, name: str) -> DataFrame:
@@ -81,11 +90,6 @@ class Layers:
         return build_core(accepted(self.evaluated(name)), name)
 
 
-def settled(sources: Mapping[str, DataFrame], run: Run) -> Layers:
-    """Layers whose evaluated tables are written once and then read by everything downstream."""
-    return Layers(sources, run, settle=lambda df, label: materialise(df, f"evaluated-{label}"))
-
-
 def migrate(sources: Mapping[str, DataFrame], run: Run, root: str) -> dict[str, DataFrame]:
     """Land, load, evaluate, gate and publish every table below ``root``; returns the core tables.
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.balances import daily_balances
 from tidemark.schemas import BALANCE, MONEY
+from tidemark.session import materialise
 from tidemark.sources.readers import extract
 
 
@@ -174,9 +175,12 @@ def with_broken_closings(balances: DataFrame) -> DataFrame:
     return balances.withColumn("closing_balance", closing)
 
 
+def balances_of(rows: DataFrame) -> DataFrame:
+    return extract(with_broken_closings(daily_balances(rows)), BALANCE)
+
+
 def balances(spark: SparkSession, folder: str) -> DataFrame:
-    derived = with_broken_closings(daily_balances(transactions(spark, folder)))
-    return extract(derived, BALANCE)
+    return balances_of(transactions(spark, folder))
 
 
 class Bank(Mapping):
@@ -187,8 +191,8 @@ class Bank(Mapping):
         "customer": customers,
         "account": accounts,
         "transaction": transactions,
-        "daily_balance": balances,
     }
+    NAMES = (*BUILDERS, "daily_balance")
 
     def __init__(self, spark: SparkSession, folder: str, **replaced: DataFrame):
         self._spark, self._folder = spark, folder
@@ -196,18 +200,30 @@ class Bank(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.BUILDERS[name](self._spark, self._folder)
+            self._tables[name] = (
+                balances_of(self["transaction"])
+                if name == "daily_balance"
+                else self.BUILDERS[name](self._spark, self._folder)
+            )
         return self._tables[name]
 
     def __iter__(self):
-        return iter(self.BUILDERS)
+        return iter(self.NAMES)
 
     def __len__(self) -> int:
-        return len(self.BUILDERS)
+        return len(self.NAMES)
+
+    def settled(self, *names: str) -> Bank:
+        """The same bank with the named tables written once, for reports that read them several times."""
+        bank = self
+        for name in names:
+            bank = bank.replaced(**{name: materialise(bank[name], f"source-{name}")})
+        return bank
 
     def replaced(self, **tables: DataFrame) -> Bank:
         """The same bank with some tables exchanged."""
-        return Bank(self._spark, self._folder, **{**self._tables, **tables})
+        kept = {n: t for n, t in self._tables.items() if n != "daily_balance" or "transaction" not in tables}
+        return Bank(self._spark, self._folder, **{**kept, **tables})
 
 
 def bank(spark: SparkSession, folder: str) -> Bank:
