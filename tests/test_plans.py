@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -12,8 +13,9 @@ from fixtures import RUN, balance, frame, hand_made, layers, txn
 from tidemark.checks.queries import QUERIES
 from tidemark.functions.verdict import Check, GateFailure, check_rows, metrics, row_count
 from tidemark.operators import constraints, keys
-from tidemark.operators.rules import staging_gate
-from tidemark.plans import core, profile, reconcile
+from tidemark.operators.balances import with_previous_closing
+from tidemark.operators.rules import Lookup, attach, staging_gate
+from tidemark.plans import core, migration, profile, reconcile
 from tidemark.plans.migration import ORDER, migrate
 from tidemark.session import scratch_path
 from tidemark.sources import bank_views
@@ -37,6 +39,42 @@ def test_migration_end_to_end(spark):
         migrate(hand_made(spark), RUN, root)
 
 
+def test_interrupted_migration_resumes_without_repeating_finished_tables(spark, monkeypatch):
+    root = scratch_path(spark, "migration")
+    real = migration.publish
+
+    def breaks(name, *rest):
+        if name == "transaction":
+            raise OSError("lost connection")
+        return real(name, *rest)
+
+    monkeypatch.setattr(migration, "publish", breaks)
+    with pytest.raises(OSError):
+        migrate(hand_made(spark), RUN, root)
+    published = []
+    monkeypatch.setattr(migration, "publish", lambda name, *rest: published.append(name) or real(name, *rest))
+    tables = migrate(hand_made(spark), RUN, root, resume=True)
+    assert published == ["transaction", "daily_balance"]
+    assert tables["transaction"].count() == 4 and tables["account"].count() == 5
+    assert spark.read.parquet(f"{root}/raw/transaction").count() == 13
+    runs = spark.read.json(f"{root}/control/table_run")
+    assert runs.count() == 5
+    got = {r.table_name: (r.loaded_rows, r.rejected_rows) for r in runs.collect()}
+    assert got["payments.bank_transaction"] == (13, 9)
+
+
+def test_second_full_batch_needs_the_newest_version_option(spark):
+    root = scratch_path(spark, "migration")
+    tables = hand_made(spark)
+    migrate(tables, RUN, root)
+    later = replace(RUN, batch_id="B-2", ingested_at="2026-08-27 00:00:00")
+    with pytest.raises(GateFailure, match="duplicate_keys: 1"):
+        migrate(tables, later, root)
+    core_tables = migrate(tables, replace(later, batch_id="B-3"), root, newest_only=True)
+    assert core_tables["transaction"].count() == 4
+    assert core_tables["daily_balance"].count() == 2
+
+
 def test_migration_stops_at_an_unaccounted_transaction(spark):
     tables = {**hand_made(spark), "transaction": frame(spark, "transaction", [txn(1, amount=None)])}
     with pytest.raises(GateFailure, match="raw=1, valid=0, rejected=0"):
@@ -190,3 +228,56 @@ def test_large_dimensions_are_not_broadcast(spark):
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def executed(df) -> str:
+    """The final adaptive plan after running the query."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture()
+def eager_skew_splitting(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_hot_foreign_key_is_split_over_tasks(spark, eager_skew_splitting):
+    hot = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id AS transaction_id", "IF(id % 3 = 0, 1, id) AS source_account_id", "sha2(CAST(id AS STRING), 256) AS filler"
+    )
+    accounts = spark.range(1, 60_000, 1, 4).selectExpr("id AS account_id", "'ACTIVE' AS account_status")
+    joined = attach(hot, Lookup("source_account", "source_account_id", "account", "account_id"), accounts)
+    plan = executed(joined)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert joined.where("source_account_found").count() == 60_000
+
+
+def test_hot_balance_day_is_split_over_tasks(spark, eager_skew_splitting):
+    rows = spark.range(0, 60_000, 1, 8).selectExpr(
+        "IF(id % 3 = 0, 1, id % 20000) AS account_id",
+        "date_add(DATE '2020-01-02', CAST(id % 2 AS INT)) AS business_date",
+        "CAST(1 AS DECIMAL(18, 2)) AS opening_balance", "CAST(1 AS DECIMAL(18, 2)) AS closing_balance",
+        "sha2(CAST(id AS STRING), 256) AS filler",
+    )
+    assert "SortMergeJoin(skew=true)" in executed(with_previous_closing(rows))
+
+
+def test_copies_are_limited_before_the_shuffle(spark):
+    rows = spark.range(0, 9_000, 1, 4).selectExpr("IF(id % 3 = 0, 1, id) AS k", "id AS v")
+    kept = keys.first_per_key(rows, ["k"], F.col("v").desc())
+    plan = plan_of(kept)
+    assert plan.index("Final") < plan.index("Exchange") < plan.rindex("Partial")
+    assert kept.where("k = 1").first().v == 8997

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.verdict import row_count
+from tidemark.operators.keys import first_per_key, unique_by
 
 VERSION_ORDER = ("source_updated_at", "ingested_at", "record_hash")
 
@@ -17,9 +18,7 @@ def overlay(base: DataFrame, patch: DataFrame, key: str) -> DataFrame:
     never multiply base rows.
     """
     values = [c for c in patch.columns if c != key]
-    single = patch.groupBy(F.col(key).alias("patch_key")).agg(
-        F.max(F.struct(*[F.col(c) for c in values])).alias("patch")
-    )
+    single = unique_by(patch, key, "patch_key", F.max(F.struct(*values)).alias("patch"))
     changed = [
         F.coalesce(F.col(f"patch.{c}"), F.col(c)).alias(c) if c in values else F.col(c) for c in base.columns
     ]
@@ -28,18 +27,13 @@ def overlay(base: DataFrame, patch: DataFrame, key: str) -> DataFrame:
 
 def insert_missing(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Rows of ``incoming`` whose key is not stored yet, one row per key."""
-    single = incoming.groupBy(key).agg(F.max(F.struct(*incoming.columns)).alias("row")).select("row.*")
+    single = first_per_key(incoming, [key], *[F.col(c).desc() for c in incoming.columns if c != key])
     return single.join(existing.select(key), key, "left_anti").select(*incoming.columns)
 
 
 def latest(df: DataFrame, key: str = "source_record_key", order: tuple[str, ...] = VERSION_ORDER) -> DataFrame:
-    """Newest version of every record.
-
-    ``max_by`` combines on the map side, so a record with very many copies is reduced before the shuffle; a
-    ``row_number`` window would send all of its copies to one task.
-    """
-    newest = F.max_by(F.struct(*df.columns), F.struct(*order)).alias("row")
-    return df.groupBy(key).agg(newest).select("row.*")
+    """Newest version of every record."""
+    return first_per_key(df, [key], *[F.col(c).desc() for c in order])
 
 
 def changes(old: DataFrame, new: DataFrame, key: str = "source_record_key") -> DataFrame:

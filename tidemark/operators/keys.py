@@ -6,12 +6,34 @@ table collapses to one partial row per map task instead of travelling to a singl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.verdict import row_count
 
 
+def unique_by(df: DataFrame, key: str, name: str, *facts: Column) -> DataFrame:
+    """One row per key, the key renamed to ``name``, with optional aggregated facts: the right side of a lookup.
+
+    The grouping includes a hash of the key, which changes no group but keeps the result from being laid out by the
+    key alone. A join on the key then shuffles both of its sides itself, and only in that shape does adaptive
+    execution split a hot key of the left side over several tasks.
+    """
+    aggregates = facts or (row_count().alias("copies"),)
+    grouped = df.groupBy(F.col(key).alias(name), F.xxhash64(key).alias("key_hash")).agg(*aggregates)
+    return grouped.drop("key_hash") if facts else grouped.select(name)
+
+
+def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
+    """The first row of every key in the given order.
+
+    Spark limits each key to one row per map task before the shuffle (WindowGroupLimit), so a record with very many
+    copies does not pile up in one task.
+    """
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("position", position).where("position = 1").drop("position")
+
+
 def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
     """Keys that occur more than once, with their number of copies."""
     return df.groupBy(*key).agg(row_count().alias("copies")).where("copies > 1")
@@ -52,7 +74,7 @@ def orphan_count(child: DataFrame, foreign_key: str, parent: DataFrame, key: str
 
 def either_orphan_count(child: DataFrame, first: str, second: str, parent: DataFrame, key: str) -> DataFrame:
     """One row: child rows of which at least one of two foreign keys has no parent."""
-    keys = parent.select(F.col(key).alias("known")).distinct()
+    keys = unique_by(parent, key, "known")
     pairs = child.groupBy(first, second).agg(row_count().alias("child_rows"))
     for column in (first, second):
         side = keys.select("known", F.lit(True).alias(f"{column}_found"))
@@ -62,13 +84,13 @@ def either_orphan_count(child: DataFrame, first: str, second: str, parent: DataF
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
-    """The distinct key list that feeds a semi-join."""
+    """SELECT DISTINCT key."""
     return df.select(key).distinct()
 
 
 def rows_with_listed_key(df: DataFrame, key: str, listed: DataFrame, listed_key: str) -> DataFrame:
     """Rows whose key, read as text, occurs in a text key list (``IN (SELECT DISTINCT ...)``)."""
-    keys = distinct_keys(listed, listed_key).withColumnRenamed(listed_key, "listed_key_text")
+    keys = unique_by(listed, listed_key, "listed_key_text")
     return df.join(keys, F.col(key).cast("string") == F.col("listed_key_text"), "left_semi")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import json_payload
 from tidemark.functions.verdict import count_where, row_count, total
+from tidemark.operators.keys import unique_by
 from tidemark.schemas import OPEN_STATUS, Entity
 
 @dataclass(frozen=True)
@@ -70,9 +71,7 @@ def attach(df: DataFrame, lookup: Lookup, dimension: DataFrame) -> DataFrame:
     """
     known = f"{lookup.name}_known_key"
     facts = [F.expr(f"{text} AS {name}") for name, text in lookup.facts.items()]
-    per_key = dimension.groupBy(F.col(lookup.key).alias(known)).agg(
-        F.lit(True).alias(f"{lookup.name}_found"), *facts
-    )
+    per_key = unique_by(dimension, lookup.key, known, F.lit(True).alias(f"{lookup.name}_found"), *facts)
     return df.join(per_key, F.expr(f"{lookup.column} = {known}"), "left").drop(known)
 
 

@@ -8,20 +8,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.verdict import GateFailure
+from tidemark.operators.changes import latest
 from tidemark.operators.lineage import with_lineage
 from tidemark.operators.rulebook import BOOKS
 from tidemark.operators.rules import accepted, evaluate, quarantine, staging_gate
 from tidemark.operators.standardise import standardise
 from tidemark.plans.core import CORE_NAMES, COUNTED, build_core, publish
-from tidemark.schemas import ENTITIES
+from tidemark.plans.ledger import SUCCEEDED
+from tidemark.schemas import ENTITIES, TABLE_RUN
 from tidemark.session import materialise
 from tidemark.sources.landing import land, read_batch
-from tidemark.sources.raw import load_raw, read_raw
+from tidemark.sources.raw import PARTITION, load_raw, read_raw, replace_batch
+from tidemark.sources.readers import path_exists
 from tidemark.sources.sinks import replace_path
 
 ORDER = ("branch", "customer", "account", "transaction", "daily_balance")
@@ -90,29 +94,61 @@ class Layers:
         return build_core(accepted(self.evaluated(name)), name)
 
 
-def migrate(sources: Mapping[str, DataFrame], run: Run, root: str) -> dict[str, DataFrame]:
+def _finished(spark: SparkSession, path: str, batch_id: str) -> set[str]:
+    """Tables of a batch that the ledger lists as succeeded; at most one row per migrated table is fetched."""
+    if not path_exists(spark, path):
+        return set()
+    runs = spark.read.schema(TABLE_RUN).json(path).where(F.col("batch_id") == batch_id)
+    return {r.table_name for r in runs.where(F.col("status") == SUCCEEDED).select("table_name").distinct().collect()}
+
+
+def migrate(
+    sources: Mapping[str, DataFrame], run: Run, root: str, resume: bool = False, newest_only: bool = False
+) -> dict[str, DataFrame]:
     """Land, load, evaluate, gate and publish every table below ``root``; returns the core tables.
 
-    Each raw batch is evaluated exactly once; staging and quarantine are two filters over that result.
+    Each raw batch is evaluated exactly once; staging and quarantine are two filters over that result. A ledger row
+    is written when a table is published. ``resume`` continues an interrupted run of the same batch: published
+    tables are skipped, a complete landing is reused, and the raw partition of the batch is overwritten rather
+    than appended to. ``newest_only`` keeps the newest version of every record before the rules see it; without it a
+    second full batch of a table stops at the duplicate-key gate.
     """
     core: dict[str, DataFrame] = {}
+    ledger_path = f"{root}/control/table_run"
     for name in ORDER:
         entity, spark = ENTITIES[name], sources[name].sparkSession
-        land(sources[name], entity, f"{root}/landing", run.batch_id, run.instant("ingested_at"))
+        core_path, raw_path = f"{root}/core/{CORE_NAMES[name]}", f"{root}/raw/{name}"
+        if resume and entity.source_table in _finished(spark, ledger_path, run.batch_id):
+            core[name] = spark.read.parquet(core_path)
+            continue
+        started = datetime.now(timezone.utc)
+        at = run.instant("ingested_at")
+        manifest = land(sources[name], entity, f"{root}/landing", run.batch_id, at, finish=resume)
         landed = read_batch(spark, entity, f"{root}/landing", run.batch_id)
-        load_raw(landed, entity, f"{root}/raw/{name}", run.batch_id, run.instant("ingested_at"))
-        raw = read_raw(spark, entity, f"{root}/raw/{name}")
+        if resume:
+            replace_batch(with_lineage(landed, entity, run.batch_id, at), raw_path)
+        else:
+            load_raw(landed, entity, raw_path, run.batch_id, at)
+
         dimensions = {p: core[p] for p in PARENTS[name]}
-        evaluated = materialise(evaluate(raw, BOOKS[name], dimensions, run.today()), f"evaluated-{name}")
-        if name in COUNTED:
-            gate = staging_gate(evaluated).first()
-            if gate.status != "PASS":
-                raise GateFailure(
-                    f"{name}: raw={gate.raw_rows}, valid={gate.valid_rows}, rejected={gate.rejected_records}"
-                )
+        raw = read_raw(spark, entity, raw_path)
+        loaded_rows = raw.where(F.col(PARTITION) == run.batch_id).count()
+        verdict = evaluate(latest(raw) if newest_only else raw, BOOKS[name], dimensions, run.today())
+        evaluated = materialise(verdict, f"evaluated-{name}")
+        counts = staging_gate(evaluated).first()
+        if name in COUNTED and counts.status != "PASS":
+            raise GateFailure(
+                f"{name}: raw={counts.raw_rows}, valid={counts.valid_rows}, rejected={counts.rejected_records}"
+            )
         staging = standardise(accepted(evaluated), name)
         replace_path(staging, f"{root}/staging/{name}")
         replace_path(quarantine(evaluated, BOOKS[name], run.instant("rejected_at")), f"{root}/quarantine/{name}")
         staging = spark.read.schema(staging.schema).parquet(f"{root}/staging/{name}")
-        core[name] = publish(name, staging, staging, dimensions, f"{root}/core/{CORE_NAMES[name]}")
+        core[name] = publish(name, staging, staging, dimensions, core_path)
+
+        landed_rows = manifest.agg(F.max("row_count")).first()[0]
+        done = datetime.now(timezone.utc)
+        row = (run.batch_id, entity.source_table, landed_rows, landed_rows, loaded_rows, counts.rejected_records,
+               started, done, SUCCEEDED, None)
+        spark.createDataFrame([row], TABLE_RUN).write.mode("append").json(ledger_path)
     return core

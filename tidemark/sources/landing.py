@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import record_key
 from tidemark.functions.verdict import row_count
 from tidemark.schemas import SCHEMA_VERSION, SOURCE_SYSTEM, Entity
-from tidemark.sources.readers import EmptyExtract, extract, read_parquet
+from tidemark.sources.readers import EmptyExtract, extract, path_exists, read_parquet
 
 # Keeps a part file far below the 2 GiB that one binary record may hold when it is hashed.
 MAX_RECORDS_PER_FILE = 2_000_000
@@ -53,6 +53,15 @@ def file_rows(landed: DataFrame) -> DataFrame:
     return landed.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(row_count().alias("file_row_count"))
 
 
+def read_manifest(spark: SparkSession, entity: Entity, root: str, batch_id: str) -> DataFrame:
+    return spark.read.json(manifest_path(root, entity, batch_id))
+
+
+def is_landed(spark: SparkSession, entity: Entity, root: str, batch_id: str) -> bool:
+    """A batch counts as landed once its manifest is written, which happens last."""
+    return path_exists(spark, manifest_path(root, entity, batch_id) + "/_SUCCESS")
+
+
 def land(
     df: DataFrame,
     entity: Entity,
@@ -60,21 +69,25 @@ def land(
     batch_id: str,
     extracted_at: Column,
     source_system: str = SOURCE_SYSTEM,
+    finish: bool = False,
 ) -> DataFrame:
     """Write one batch and its manifest; return the manifest, one row per part file.
 
     Fails if the batch was landed before, and refuses an empty extract before any file exists. Row count and
-    ranges are observed while the files are written, so the extract is read once.
+    ranges are observed by the writing tasks themselves, so the extract is read once and a retried task counts once.
+    ``finish`` continues an interrupted run: a batch with a manifest is complete and kept, one without is rewritten.
     """
     spark = df.sparkSession
+    if finish and is_landed(spark, entity, root, batch_id):
+        return read_manifest(spark, entity, root, batch_id)
     rows = extract(df, entity)
     if rows.isEmpty():
         raise EmptyExtract(f"no rows extracted from {entity.source_table}")
     seen = Observation(f"{entity.name}-{batch_id}")
     target = batch_path(root, entity, batch_id)
-    rows.observe(seen, *range_aggregates(entity)).write.mode("errorifexists").option(
-        "maxRecordsPerFile", MAX_RECORDS_PER_FILE
-    ).parquet(target)
+    rows.observe(seen, *range_aggregates(entity)).write.mode(
+        "overwrite" if finish else "errorifexists"
+    ).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(target)
 
     observed = seen.get
     manifest = file_checksums(spark, target).select(
@@ -90,7 +103,7 @@ def land(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
     )
     stored = manifest_path(root, entity, batch_id)
-    manifest.write.mode("errorifexists").json(stored)
+    manifest.write.mode("overwrite" if finish else "errorifexists").json(stored)
     return spark.read.schema(manifest.schema).json(stored)
 
 
@@ -100,7 +113,7 @@ def read_batch(spark: SparkSession, entity: Entity, root: str, batch_id: str) ->
 
 def verify_landing(spark: SparkSession, entity: Entity, root: str, batch_id: str) -> DataFrame:
     """One row: manifest against files. Mismatches cover changed, missing and unlisted files."""
-    manifest = spark.read.json(manifest_path(root, entity, batch_id))
+    manifest = read_manifest(spark, entity, root, batch_id)
     path = batch_path(root, entity, batch_id)
     listed = manifest.select("file_name", F.col("sha256").alias("listed"), F.lit(None).cast("string").alias("found"))
     actual = file_checksums(spark, path).select(

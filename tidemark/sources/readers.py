@@ -12,6 +12,12 @@ class EmptyExtract(RuntimeError):
     """An extract returned no rows."""
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the file system its path belongs to."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def _relaxed(entity: Entity):
     """The declared schema without NOT NULL: files do not enforce it, the audits do."""
     return type(entity.schema)([type(f)(f.name, f.dataType, True) for f in entity.schema.fields])
