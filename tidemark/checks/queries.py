@@ -1221,7 +1221,7 @@ def _transaction_checks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _financial_checks(spark: SparkSession, folder: str) -> DataFrame:
-    sources = views.bank(spark, folder).settled("transaction", "daily_balance")
+    sources = views.bank(spark, folder).settled("daily_balance")
     built = Layers(sources, RUN, settle=("daily_balance",))
     return reconcile.reconcile_financials(
         sources["transaction"], sources["daily_balance"], built.raw("transaction"), built.raw("daily_balance"),
@@ -1567,7 +1567,7 @@ def _flagged(spark, folder):
 @query(
     "mv1_verify_landing",
     """SELECT 'payments.bank_transaction' AS source_table, count(*) AS manifest_rows, count(*) AS landed_rows,
-              0 AS file_mismatches, 'PASS' AS status FROM src_transaction""",
+              CAST(0 AS BIGINT) AS file_mismatches, 'PASS' AS status FROM src_transaction""",
 )
 def _verify_landing(spark, folder):
     root, _ = _land(spark, folder, "transaction")

@@ -96,7 +96,7 @@ def land(
         F.lit(entity.source_table).alias("source_table"),
         "file_name",
         F.lit("parquet").alias("file_format"),
-        *[F.lit(str(v)).alias(n) if n != "row_count" else F.lit(v).alias(n) for n, v in observed.items()],
+        *[F.lit(str(v)).alias(n) if n != "row_count" else F.lit(v).cast("bigint").alias(n) for n, v in observed.items()],
         extracted_at.cast("timestamp").alias("extracted_at"),
         "sha256",
         "file_bytes",
