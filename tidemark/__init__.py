@@ -1,0 +1 @@
+"""Controlled data migration and financial data quality on Spark."""

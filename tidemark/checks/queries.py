@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.checks import oracle as sql
 from tidemark.functions.text import record_key
-from tidemark.functions.verdict import check_rows, count_where, failed_checks, row_count, total, union_all
+from tidemark.functions.verdict import count_where, failed_checks, row_count, total, union_all
 from tidemark.operators import balances as bal
 from tidemark.operators import changes as chg
 from tidemark.operators import constraints as con
@@ -33,7 +33,7 @@ from tidemark.plans import ledger, profile, reconcile
 from tidemark.plans.core import core_gates
 from tidemark.plans.facts import alerts_by_account_day
 from tidemark.plans.migration import ORDER, PARENTS, Layers, Run
-from tidemark.schemas import ACCOUNT, BALANCE, BRANCH, CUSTOMER, DEFECT_MANIFEST, ENTITIES, SOURCE_SYSTEM, TRANSACTION
+from tidemark.schemas import ACCOUNT, CUSTOMER, DEFECT_MANIFEST, ENTITIES, SOURCE_SYSTEM, TRANSACTION
 from tidemark.session import configure, materialise, scratch_path
 from tidemark.sources import bank_views as views
 from tidemark.sources import landing, raw, sinks

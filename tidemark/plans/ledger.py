@@ -63,5 +63,9 @@ def batch_ledger(runs: DataFrame, migration_type: str, initiated_by: str) -> Dat
 
 def pending(planned: DataFrame, runs: DataFrame) -> DataFrame:
     """Planned (batch_id, table_name) pairs that have not succeeded, i.e. what a restart still has to do."""
-    done = runs.where(F.col("status") == SUCCEEDED).select("batch_id", "table_name")
-    return planned.join(done, ["batch_id", "table_name"], "left_anti")
+    pair = ["batch_id", "table_name"]
+    marked = planned.select(*pair, F.lit(False).alias("is_done"), F.lit(True).alias("is_planned")).unionByName(
+        runs.select(*pair, (F.col("status") == SUCCEEDED).alias("is_done"), F.lit(False).alias("is_planned"))
+    )
+    folded = marked.groupBy(*pair).agg(F.bool_or("is_done").alias("done"), F.bool_or("is_planned").alias("planned"))
+    return folded.where("planned AND NOT done").select(*pair)
