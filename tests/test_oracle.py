@@ -7,7 +7,8 @@ from collections import Counter
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidemark.checks.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -27,14 +28,14 @@ def bag(columns, rows):
     return sorted(columns), Counter(tuple(None if r[i] is None else str(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     mine = bag(df.columns, [tuple(r) for r in df.collect()])
-    if name not in oracle_sql():
+    if name not in ORACLES:
         assert name == "io6_file_checksums" and sum(mine[1].values()) == len(TABLES)
         return
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(ORACLES[name])
     assert mine == bag([c[0] for c in result.description], result.fetchall())
 
 
