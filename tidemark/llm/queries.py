@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.quality import quality_rules
+from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.substrings import dedup_substrings
 from tidemark.session import configure
 
@@ -54,3 +56,49 @@ FROM d LEFT JOIN k USING (doc_id)
 def _substrings(spark, folder):
     found = dedup_substrings(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+QUALITY_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS_SQL} AS ws FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i FROM d),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS seq
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, seq) AS n FROM g) WHERE n > 1),
+m AS (SELECT w.doc_id, w.i, max(r.i) OVER (PARTITION BY w.doc_id ORDER BY w.i) AS last
+      FROM w LEFT JOIN r USING (doc_id, i)),
+repeats AS (SELECT doc_id, count(*) AS n_repeat_words FROM m WHERE last >= i - 4 GROUP BY doc_id),
+l AS (SELECT doc_id, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws, pos
+      FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                   unnest(range(1, len(string_split(text, chr(10))) + 1)) AS pos FROM d)),
+j AS (SELECT doc_id, length(array_to_string(ws, '')) AS chars, row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) AS nth,
+             2 * length(regexp_replace(line, '[^!-/:-@\[-`{{-~]', '', 'g')) > 3 * len(ws)
+             OR len(list_filter(ws, lambda x: x IN ('|', '»', '›', '>', '/'))) * 4 >= greatest(len(ws), 1)
+             OR len(ws) <= 15 AND regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                'all rights reserved|cookie policy|privacy policy|terms of use|terms of service|click here|read more|share this|sign in|log in|subscribe to|lorem ipsum|enable javascript') AS failed
+      FROM l WHERE len(ws) > 0),
+lines AS (SELECT doc_id, count(*) FILTER (nth > 1) AS n_dup_lines, coalesce(sum(chars) FILTER (failed), 0) AS lost FROM j GROUP BY doc_id),
+b AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+             coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(lost, 0) AS lost
+      FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND 100 * lost <= 30 * word_chars AS kept
+FROM f
+"""
+
+
+@query("op2_quality_rules", QUALITY_SQL)
+def _quality(spark, folder):
+    judged = quality_rules(table(spark, folder, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def hex_digits(fingerprint: str):
+    return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
+
+
+@query("op7_simhash_near_dedup")
+def _simhash(spark, folder):
+    found = near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", hex_digits("fingerprint").alias("fingerprint"), "component_id")
