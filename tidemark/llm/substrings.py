@@ -155,8 +155,8 @@ def dedup_substrings(
     width: int = 13,
     id_column: str = "doc_id",
     text_column: str = "text",
-    chunk_bytes: int = 12 << 20,
-    bucket_windows: int = 2_000_000,
+    chunk_bytes: int = 6 << 20,
+    bucket_windows: int = 1_000_000,
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_text (kept words joined by one space), removed (word intervals).
 
