@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.lines import dedup_lines
+from tidemark.llm.mixing import plan_mix
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.substrings import dedup_substrings
@@ -102,3 +104,60 @@ def hex_digits(fingerprint: str):
 def _simhash(spark, folder):
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", hex_digits("fingerprint").alias("fingerprint"), "component_id")
+
+
+LINES_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+           FROM documents WHERE text IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+w AS (SELECT *, line || chr(10) || lead(line) OVER o || chr(10) || lead(line, 2) OVER o AS win FROM n
+      WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+r AS (SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY win ORDER BY doc_id, k) AS nth FROM w
+                             WHERE win IS NOT NULL) WHERE nth > 1),
+c AS (SELECT DISTINCT doc_id, unnest([k, k + 1, k + 2]) AS k FROM r),
+m AS (SELECT l.doc_id, l.line, l.pos, n.k, c.k IS NOT NULL AS gone FROM l LEFT JOIN n USING (doc_id, pos)
+      LEFT JOIN c ON c.doc_id = l.doc_id AND c.k = n.k),
+a AS (SELECT doc_id, count(k) AS n_lines, count(*) FILTER (gone) AS n_removed,
+             string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS kept FROM m GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       CASE WHEN text IS NOT NULL THEN sha256(coalesce(kept, '')) END AS kept_sha256
+FROM documents LEFT JOIN a USING (doc_id)
+"""
+
+
+@query("op5_line_dedup", LINES_SQL)
+def _lines(spark, folder):
+    found = dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.col("dedup_lines").alias("n_lines"),
+        F.size("dedup_removed").cast("long").alias("n_removed"),
+        F.sha2("dedup_text", 256).alias("kept_sha256"),
+    )
+
+
+MIX_SQL = rf"""
+WITH u AS (SELECT doc_id, source, md5(coalesce(text, '')) AS text_md5, len({WORDS_SQL})::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS no FROM u GROUP BY source),
+k AS (SELECT *, [5, 2, 1][(no - 1) % 3 + 1] AS weight, source_size * 2 AS cap FROM s),
+f AS (SELECT *, sum(source_size) OVER () * 1.5::DOUBLE AS budget, sum(cap) OVER o - cap AS filled,
+             sum(weight) OVER () - sum(weight) OVER o + weight AS open_weight
+      FROM k WINDOW o AS (ORDER BY cap::DOUBLE / weight::DOUBLE, no)),
+g AS (SELECT *, (cap * open_weight)::DOUBLE <= weight::DOUBLE * (budget - filled::DOUBLE) AS is_full FROM f),
+h AS (SELECT *, budget - coalesce(sum(cap) FILTER (is_full) OVER (), 0)::DOUBLE AS rest, sum(weight) FILTER (NOT is_full) OVER () AS rest_weight FROM g),
+t AS (SELECT source, source_size, budget, CASE WHEN is_full THEN cap::DOUBLE ELSE weight::DOUBLE * rest / rest_weight::DOUBLE END AS target FROM h),
+p AS (SELECT u.*, source_size, target, budget, md5(concat_ws(':', '0', coalesce(doc_id::VARCHAR, ''), text_md5)) AS place
+      FROM u JOIN t ON u.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY place ROWS UNBOUNDED PRECEDING)::BIGINT AS so_far FROM p),
+q AS (SELECT *, (turn * source_size + so_far)::DOUBLE / target AS finish FROM (SELECT *, unnest([0, 1]) AS turn FROM c WHERE target > 0)),
+r AS (SELECT doc_id, sum(size) OVER (ORDER BY finish, place, turn ROWS UNBOUNDED PRECEDING) AS reached, budget FROM q),
+n AS (SELECT doc_id, count(*) AS copies FROM r WHERE reached <= budget GROUP BY doc_id)
+SELECT doc_id, size, source_size, target, coalesce(copies, 0)::BIGINT * size AS taken FROM p LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op6_source_mixing", MIX_SQL)
+def _mixing(spark, folder):
+    plan = plan_mix(table(spark, folder, "documents"))
+    each = plan.select("*", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))).alias("nth"))
+    return each.select("doc_id", "size", "source_size", "target", "taken")
