@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import plan_mix
+from tidemark.llm.pieces import encode_pieces
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.substrings import dedup_substrings
+from tidemark.llm.token_counts import token_counts
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +164,26 @@ def _mixing(spark, folder):
     plan = plan_mix(table(spark, folder, "documents"))
     each = plan.select("*", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))).alias("nth"))
     return each.select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: Tokens that fit a training context.
+TOKEN_LIMIT = 1024
+
+
+@query("op4_token_counts")
+def _token_counts(spark, folder):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counted = token_counts(table(spark, folder, "documents").select("doc_id", "text"), path)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@query("op8_sentencepiece")
+def _sentencepiece(spark, folder):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_pieces(table(spark, folder, "documents").select("doc_id", "text"), path)
+    return encoded.select(
+        "doc_id",
+        F.size("piece_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("piece_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
