@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,8 @@ from tidemark.session import materialise
 
 BITS = 64
 SEED = 42
+#: Stands for a null id: after every other.
+LAST = (1 << 63) - 1
 #: Shingle hashes whose bits are counted at a time.
 PIECE = 1 << 15
 FINGERPRINT = T.StructType([T.StructField("fingerprint", T.LongType())])
@@ -134,22 +136,42 @@ def near_duplicates(
     distance: int = 2,
     blocks: int = 4,
 ) -> DataFrame:
-    """Per document: doc_id, fingerprint (long) and component_id, the smallest doc_id reachable over close fingerprints.
+    """Per document: doc_id, text_hash, fingerprint (long), component_id and component.
 
-    Texts are lower-cased in A-Z and cut into words at ASCII white space; shingles are ``width`` words. Fewer words: the
-    whole sequence is the only shingle; none or a null text: fingerprint zero, linked like any other. Null ids count
-    after all others; a component of null ids only has a null id. Rows that repeat an id are answered for one by one. An
-    empty table gives none. Other columns are not read.
+    ``component_id`` is the smallest doc_id reachable over fingerprints within ``distance`` bits, ``component`` the
+    smallest fingerprint reached. Texts are lower-cased in A-Z and cut into words at ASCII white space; shingles are
+    ``width`` words. Fewer words: the whole sequence is the only shingle; none or a null text: fingerprint zero, linked
+    like any other. Null ids count after all others; a component of null ids only has a null id. Rows that repeat an id
+    are answered for one by one. An empty table gives none. Other columns are not read.
     """
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    prints = materialise(fingerprints(rows, "text", width).select("doc_id", "fingerprint"), "prints")
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).alias("text"))
+    prints = materialise(fingerprints(rows, "text", width).select("doc_id", "text_hash", "fingerprint"), "prints")
     classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
     classes = materialise(classes, "classes")
 
     nodes = connected(close_links(classes.select("fingerprint"), distance, blocks))
     linked = nodes.join(classes, F.col("node") == F.col("fingerprint"))
     least = linked.groupBy("root", with_hash("root")).agg(F.min("first_id").alias("least_id")).drop("key_hash")
-    of_linked = linked.select("root", "fingerprint").join(least, "root").select(F.col("fingerprint").alias("linked"), "least_id")
-    known = classes.join(of_linked, F.col("fingerprint") == F.col("linked"), "left")
-    known = known.select("fingerprint", F.when(F.col("linked").isNull(), F.col("first_id")).otherwise(F.col("least_id")).alias("component_id"))
-    return prints.join(materialise(known, "components"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+    of_linked = linked.select("root", "node").join(least, "root")
+    known = classes.join(of_linked, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint",
+        F.when(F.col("node").isNull(), F.col("first_id")).otherwise(F.col("least_id")).alias("component_id"),
+        F.coalesce("root", "fingerprint").alias("component"),
+    )
+    return prints.join(materialise(known, "components"), "fingerprint").select(
+        "doc_id", "text_hash", "fingerprint", "component_id", "component"
+    )
+
+
+def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
+    """The documents without near-duplicates: of each component the one with the smallest id, nulls last, stays.
+
+    Of several rows with that id the text with the smallest hash stays, and of equal rows a single one.
+    """
+    found = near_duplicates(docs, id_column, text_column, **how)
+    place = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("place")
+    chosen = found.select("component", F.coalesce("doc_id", F.lit(LAST)).alias("place"), "text_hash")
+    chosen = chosen.groupBy("component").agg(F.min(F.struct("place", "text_hash")).alias("one")).select("one.*")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), place, F.xxhash64(text_column).alias("text_hash"))
+    nth = F.row_number().over(Window.partitionBy("place", "text_hash").orderBy("place"))  # in the layout of the join
+    return rows.join(chosen, ["place", "text_hash"]).withColumn("nth", nth).where("nth = 1").select("row.*")
