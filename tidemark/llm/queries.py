@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.lines import dedup_lines
+from tidemark.llm.maxscore import quantised, top_k
 from tidemark.llm.mixing import plan_mix
 from tidemark.llm.pieces import encode_pieces
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.substrings import dedup_substrings
 from tidemark.llm.token_counts import token_counts
-from tidemark.session import configure
+from tidemark.llm.token_files import read_token_files, with_crc32, write_token_files
+from tidemark.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -187,3 +189,27 @@ def _sentencepiece(spark, folder):
         F.sha2(F.array_join(F.col("piece_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+TOP_K_SQL = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op9_maxscore_top_k", TOP_K_SQL)
+def _top_k(spark, folder):
+    vectors = quantised(table(spark, folder, "embeddings"))
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@query("op10_token_files")
+def _token_files(spark, folder):
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return with_crc32(read_token_files(spark, path))
