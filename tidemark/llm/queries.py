@@ -17,6 +17,7 @@ from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.substrings import dedup_substrings
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.token_files import read_token_files, with_crc32, write_token_files
+from tidemark.llm.warc import page_of, read_archives, write_archives
 from tidemark.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,3 +214,26 @@ def _token_files(spark, folder):
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return with_crc32(read_token_files(spark, path))
+
+
+ARCHIVES_SQL = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+h AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex,
+             min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h
+"""
+
+
+@query("op3_warc_archives", ARCHIVES_SQL)
+def _archives(spark, folder):
+    path = scratch_path(spark, "archives")
+    write_archives(table(spark, folder, "pages"), path)
+    records = read_archives(spark, path)
+    return records.select(
+        page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of("refers_to").alias("refers_to")
+    )
