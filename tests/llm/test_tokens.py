@@ -22,7 +22,7 @@ from tidemark.llm.token_files import read_token_files, with_crc32, write_token_f
 BYTES, WORDS, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
 ATOMS = [
     "a", "the", "Zürich", "tion", " ", "  ", "\n", "\t", "\r\n", " ", " ", "\u0085", "\x1c", "▁", "é", "é", "́",
-    "日本", "😀", "ﬁ", "Σ", "İ", "'s", "'LL", "123", "!!", "<|endoftext|>", "<|startoftext|>", "</s>", "<unk>", "<0x0A>", "\x00",
+    "日本", "😀", "ﬁ", "Σ", "İ", "'s", "'LL", "123", "!!", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "</s>", "<unk>", "<0x0A>", "\x00",
 ]
 
 
@@ -50,14 +50,16 @@ def test_unknown_descriptions_are_not_cut():
     assert cut_rule(base | {"added_tokens": [odd], "pre_tokenizer": {"type": "ByteLevel", "use_regex": True}}) == "none"
 
 
-def test_memory_begins_anew(monkeypatch):
-    monkeypatch.setattr(segments, "REMEMBERED", 5)
-    own = Remembered(lambda texts: [len(t) for t in texts])
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(segments, "REMEMBERED", 6)
+    asked_for = []
+    own = Remembered(lambda texts: asked_for.extend(texts) or [len(t) for t in texts])
     for i in range(30):
-        asked = [[b"%d" % j for j in range(i, i + 4)], [b"x" * 300]]
+        asked = [[b"often"], [b"%d" % j for j in range(i, i + 4)], [b"x" * 300]]
         found = own.of(asked)
         assert all(found[s] == len(s) for text in asked for s in text)
-        assert len(own.known) <= 5 and b"x" * 300 not in own.known
+        assert len(own.young) <= 6 and len(own.old) <= 6 and b"x" * 300 not in own.young
+    assert asked_for.count("often") == 1 and asked_for.count("x" * 300) == 30
 
 
 def test_counts(spark):

@@ -9,11 +9,11 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-#: Distinct segments that a worker remembers; when so many are known, it begins anew.
-REMEMBERED = 300_000
+#: Distinct segments that a worker remembers in each of two generations.
+REMEMBERED = 700_000
 #: Longer segments are encoded each time, so that memory does not follow the longest.
 LONG_SEGMENT = 256
 #: Bytes of distinct segments given to the library at a time.
@@ -26,30 +26,45 @@ OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x8
 
 
 class Remembered:
-    """Results by segment: ``encode`` takes distinct segments as str and returns a result for each."""
+    """Results by segment: ``encode`` takes distinct segments as str and returns a result for each.
+
+    When the young generation is full it becomes the old one, so segments that keep coming are not encoded again.
+    """
 
     def __init__(self, encode: Callable[[list[str]], list]):
-        self.encode, self.known = encode, {}
+        self.encode, self.young, self.old = encode, {}, {}
 
     def of(self, segments: list[list[bytes]]) -> dict[bytes, object]:
         """A mapping that has the result of every given segment."""
-        known = self.known
-        new = {s for text in segments for s in text if s not in known}
-        if not new:
-            return known
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = {s for text in segments for s in text}
-        fresh, at, todo = {}, 0, list(new)
-        while at < len(todo):
-            stop, size = at, 0
-            while stop < len(todo) and (stop == at or size + len(todo[stop]) <= BATCH_BYTES):
-                size += len(todo[stop])
-                stop += 1
-            fresh.update(zip(todo[at:stop], self.encode([s.decode() for s in todo[at:stop]]), strict=True))
-            at = stop
-        known.update((s, r) for s, r in fresh.items() if len(s) <= LONG_SEGMENT)
-        return known | fresh if any(len(s) > LONG_SEGMENT for s in fresh) else known
+        asked = {s for text in segments for s in text}
+        if len(self.young) + len(asked) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        new, long = [], {}
+        for s in asked:
+            if s in young:
+                continue
+            if s in old:
+                young[s] = old[s]
+            else:
+                new.append(s)
+        for batch in batches(new):
+            for s, result in zip(batch, self.encode([s.decode() for s in batch]), strict=True):
+                (young if len(s) <= LONG_SEGMENT else long)[s] = result
+        return young | long if long else young
+
+
+def batches(segments: list[bytes]) -> Iterator[list[bytes]]:
+    """Runs of segments of about BATCH_BYTES; a longer segment comes alone."""
+    batch, size = [], 0
+    for s in segments:
+        if batch and size + len(s) > BATCH_BYTES:
+            yield batch
+            batch, size = [], 0
+        batch.append(s)
+        size += len(s)
+    if batch:
+        yield batch
 
 
 def cut_rule(description: dict) -> str:
@@ -91,13 +106,17 @@ class Tokens:
         self.library.no_truncation()
         self.library.no_padding()
         self.rule = cut_rule(description)
+        steps = (description.get("normalizer") or {}).get("normalizers", [])
+        self.lowers = self.rule == "words" and any(n["type"] == "Lowercase" for n in steps)
+        self.special = re.compile(b"|".join(re.escape(t["content"].encode()) for t in description["added_tokens"]) or b"$^", re.I)
         self.remembered = Remembered(
             lambda texts: [result(e) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         )
 
     def cut(self, text: bytes) -> list[bytes]:
         if self.rule == "words":
-            return text.split()
+            # the tokenizer lowers letters itself, behind special strings; lowering first makes fewer distinct segments
+            return (text.lower() if self.lowers and not self.special.search(text) else text).split()
         if self.rule == "spaces" and not OTHER_SPACE.search(text):
             return SPACE_LED.findall(text)
         return [text] if text else []
