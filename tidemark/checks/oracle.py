@@ -18,7 +18,7 @@ SOURCES = {
     "src_branch": """
         SELECT CAST(n_nationkey AS BIGINT) AS branch_id,
                CASE WHEN n_nationkey % 12 = 11 THEN '   '
-                    ELSE ' NB-' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') || ' ' END AS branch_code,
+                    ELSE ' NB-' || lpad(CAST(n_nationkey AS VARCHAR), greatest(3, length(CAST(n_nationkey AS VARCHAR)))::INT, '0') || ' ' END AS branch_code,
                CASE WHEN n_nationkey % 20 <> 19 THEN n_name END AS branch_name,
                ' City ' || n_nationkey AS city,
                r_name || ' State ' AS state,
@@ -38,12 +38,12 @@ SOURCES = {
                     THEN DATE '1990-01-01' + CAST(c_custkey * 97 % 14000 AS INTEGER) END AS date_of_birth,
                CASE WHEN c_custkey % 50 = 0 THEN 'invalid-email'
                     WHEN c_custkey % 77 <> 5 THEN c_name || '@Example.com ' END AS email,
-               CASE WHEN c_custkey % 9 <> 4 THEN '+91' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS phone,
+               CASE WHEN c_custkey % 9 <> 4 THEN '+91' || lpad(CAST(c_custkey AS VARCHAR), greatest(10, length(CAST(c_custkey AS VARCHAR)))::INT, '0') END AS phone,
                c_mktsegment AS address_line_1,
                CAST(NULL AS VARCHAR) AS address_line_2,
                CASE WHEN c_custkey % 13 <> 0 THEN 'City ' || c_nationkey END AS city,
                'State ' || c_nationkey AS state,
-               lpad(CAST(c_nationkey AS VARCHAR), 6, '0') AS postal_code,
+               lpad(CAST(c_nationkey AS VARCHAR), greatest(6, length(CAST(c_nationkey AS VARCHAR)))::INT, '0') AS postal_code,
                CASE WHEN c_custkey % 333 = 7 THEN 'in' ELSE 'IN' END AS country_code,
                (['PENDING', 'VERIFIED', 'REVIEW_REQUIRED', 'REJECTED'])[1 + c_custkey % 4] AS kyc_status,
                CASE WHEN c_custkey % 401 = 100 THEN 'UNKNOWN'
@@ -54,7 +54,7 @@ SOURCES = {
         FROM customer""",
     "src_account": """
         SELECT o_orderkey AS account_id,
-               ' AC-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || ' ' AS account_number,
+               ' AC-' || lpad(CAST(o_orderkey AS VARCHAR), greatest(12, length(CAST(o_orderkey AS VARCHAR)))::INT, '0') || ' ' AS account_number,
                o_custkey AS customer_id,
                CASE WHEN o_orderkey % 1013 <> 1012 THEN o_orderkey % 26 END AS branch_id,
                CASE o_orderpriority WHEN '1-URGENT' THEN 'SAVINGS' WHEN '2-HIGH' THEN 'CURRENT'
@@ -146,7 +146,9 @@ SOURCES = {
 
 # -- raw layer --------------------------------------------------------------------------------------------------
 
-_STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S+00')"
+#: An instant as text with the non-zero digits of its fraction, without and with the zone offset.
+INSTANT = "CAST(CAST({0} AS TIMESTAMP) AS VARCHAR)"
+STAMP = INSTANT + " || '+00'"
 
 
 def _raw(name: str, table: str, key: str, hashed: str) -> str:
@@ -175,7 +177,7 @@ RAW = {
     ),
     "raw_transaction": _raw(
         "transaction", "payments.bank_transaction", "CAST(transaction_id AS VARCHAR)",
-        f"transaction_id, source_account_id, destination_account_id, {_STAMP.format('transaction_ts')}, "
+        f"transaction_id, source_account_id, destination_account_id, {STAMP.format('transaction_ts')}, "
         "transaction_type, amount, currency_code, payment_channel, aml_flag",
     ),
     "raw_daily_balance": _raw(
@@ -244,7 +246,7 @@ STAGING = {
 
 
 def _payload(*columns: str) -> str:
-    items = [f"'{c}', " + (_STAMP.format(c) if c.endswith(("_ts", "_at")) else c) for c in columns]
+    items = [f"'{c}', " + (STAMP.format(c) if c.endswith(("_ts", "_at")) else c) for c in columns]
     return f"CAST(json_object({', '.join(items)}) AS VARCHAR)"
 
 
@@ -378,5 +380,5 @@ def text(*columns: str) -> str:
 
 
 def moment(*columns: str) -> str:
-    """Instants rendered as whole seconds."""
-    return ", ".join(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in columns)
+    """Instants rendered as text, fractions included."""
+    return ", ".join(f"{INSTANT.format(c)} AS {c}" for c in columns)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.checks import oracle as sql
-from tidemark.functions.text import record_key
+from tidemark.functions.text import instant_text, record_key
 from tidemark.functions.verdict import count_where, failed_checks, row_count, total, union_all
 from tidemark.operators import balances as bal
 from tidemark.operators import changes as chg
@@ -33,7 +33,7 @@ from tidemark.plans import ledger, profile, reconcile
 from tidemark.plans.core import core_gates
 from tidemark.plans.facts import alerts_by_account_day
 from tidemark.plans.migration import ORDER, PARENTS, Layers, Run
-from tidemark.schemas import ACCOUNT, CUSTOMER, DEFECT_MANIFEST, ENTITIES, SOURCE_SYSTEM, TRANSACTION
+from tidemark.schemas import ACCOUNT, BALANCE, CUSTOMER, DEFECT_MANIFEST, ENTITIES, SOURCE_SYSTEM, TRANSACTION
 from tidemark.session import configure, materialise, scratch_path
 from tidemark.sources import bank_views as views
 from tidemark.sources import landing, raw, sinks
@@ -74,9 +74,7 @@ def plain(df: DataFrame) -> DataFrame:
 
     def shown(field: T.StructField):
         column = F.col(field.name)
-        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(field.name)
-        if isinstance(field.dataType, (T.DecimalType, T.DateType)):
+        if isinstance(field.dataType, (T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)):
             return column.cast("string").alias(field.name)
         return column
 
@@ -307,8 +305,8 @@ def _checksums(spark, folder):
     " UNION ALL ".join(
         f"""SELECT '{ENTITIES[n].source_table}' AS source_table, count(*) AS row_count,
             min(source_record_key) AS min_key_text, max(source_record_key) AS max_key_text,
-            strftime(min(updated_at), '%Y-%m-%d %H:%M:%S') AS min_updated_at,
-            strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') AS max_updated_at FROM raw_{n}"""
+            {sql.INSTANT.format("min(updated_at)")} AS min_updated_at,
+            {sql.INSTANT.format("max(updated_at)")} AS max_updated_at FROM raw_{n}"""
         for n in ORDER
     ),
 )
@@ -733,6 +731,20 @@ for audit_name, audit in AUDIT_BUILDERS.items():
 
     register(audit_name, " UNION ALL ".join(AUDITS[audit_name]), _audit)
 
+
+@query(
+    "ck1_event_primary_keys",
+    f"""SELECT '{TRANSACTION.source_table}' AS table_name, 'primary_key' AS constraint_name,
+               (SELECT count(*) FROM (SELECT 1 FROM event_txn GROUP BY transaction_id HAVING count(*) > 1)) AS violations
+        UNION ALL SELECT '{BALANCE.source_table}', 'primary_key',
+               (SELECT count(*) FROM (SELECT 1 FROM event_balance GROUP BY account_id, business_date HAVING count(*) > 1))""",
+)
+def _event_keys(spark, folder):
+    """Events carry ids of their own, unique by construction at any size."""
+    rows = views.event_transactions(spark, folder)
+    return con.audit_primary_keys({"transaction": rows, "daily_balance": views.balances_of(rows)})
+
+
 register(
     "ck_all_constraints",
     " UNION ALL ".join(line for lines in AUDITS.values() for line in lines),
@@ -902,8 +914,8 @@ def _ag4(spark, folder):
 
 @query(
     "ag5_transaction_range",
-    """SELECT strftime(min(transaction_ts), '%Y-%m-%d %H:%M:%S+00') AS earliest_transaction,
-              strftime(max(transaction_ts), '%Y-%m-%d %H:%M:%S+00') AS latest_transaction,
+    f"""SELECT {sql.STAMP.format("min(transaction_ts)")} AS earliest_transaction,
+              {sql.STAMP.format("max(transaction_ts)")} AS latest_transaction,
               CAST(CAST(sum(amount) AS DECIMAL(38, 2)) AS VARCHAR) AS transaction_total FROM src_transaction""",
 )
 def _ag5(spark, folder):
@@ -1075,7 +1087,7 @@ def _fn_text(spark, folder):
 @query(
     "fn_casts_dates_decimals",
     f"""SELECT transaction_id, CAST(amount AS VARCHAR) AS amount_text,
-               strftime(transaction_ts, '%Y-%m-%d %H:%M:%S+00') AS instant_text,
+               {sql.STAMP.format("transaction_ts")} AS instant_text,
                CAST(CAST(transaction_ts AS DATE) AS VARCHAR) AS day_text,
                CAST(CAST(transaction_ts AS DATE) + 365 AS VARCHAR) AS next_year,
                CAST(CAST(transaction_ts AS DATE) - 1 AS VARCHAR) AS day_before,
@@ -1088,7 +1100,7 @@ def _fn_casts(spark, folder):
     return views.transactions(spark, folder).select(
         "transaction_id",
         F.col("amount").cast("string").alias("amount_text"),
-        F.date_format("transaction_ts", "yyyy-MM-dd HH:mm:ssx").alias("instant_text"),
+        F.expr(instant_text("transaction_ts")).alias("instant_text"),
         day.cast("string").alias("day_text"),
         F.date_add(day, 365).cast("string").alias("next_year"),
         F.date_sub(day, 1).cast("string").alias("day_before"),
@@ -1114,8 +1126,8 @@ SOURCE_PROFILE = " UNION ALL ".join(
         "LEFT JOIN src_account a ON a.account_id = t.source_account_id "
         "LEFT JOIN src_account b ON b.account_id = t.destination_account_id "
         "WHERE a.account_id IS NULL OR b.account_id IS NULL",
-        "SELECT 'transactions', 'earliest_transaction', strftime(min(transaction_ts), '%Y-%m-%d %H:%M:%S+00') FROM src_transaction",
-        "SELECT 'transactions', 'latest_transaction', strftime(max(transaction_ts), '%Y-%m-%d %H:%M:%S+00') FROM src_transaction",
+        f"SELECT 'transactions', 'earliest_transaction', {sql.STAMP.format('min(transaction_ts)')} FROM src_transaction",
+        f"SELECT 'transactions', 'latest_transaction', {sql.STAMP.format('max(transaction_ts)')} FROM src_transaction",
         "SELECT 'transactions', 'transaction_total', CAST(CAST(sum(amount) AS DECIMAL(38, 2)) AS VARCHAR) FROM src_transaction",
         "SELECT 'balances', 'equation_failures', CAST(count(*) AS VARCHAR) FROM src_daily_balance "
         "WHERE opening_balance + credit_total - debit_total <> closing_balance",
@@ -1267,7 +1279,7 @@ def _element(table: str, column: str) -> str:
 
     def shown(side: str) -> str:
         value = f"{side}({column})"
-        return f"strftime({value}, '%Y-%m-%d %H:%M:%S+00')" if instant else f"CAST({value} AS VARCHAR)"
+        return sql.STAMP.format(value) if instant else f"CAST({value} AS VARCHAR)"
 
     return (
         f"SELECT '{ENTITIES[table].source_table}' AS table_name, '{column}' AS column_name, "
@@ -1355,7 +1367,7 @@ def _slices(spark, folder):
 
 @query(
     "in1_extract_control",
-    f"""SELECT 'events' AS source_table, strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_watermark_ts,
+    f"""SELECT 'events' AS source_table, {sql.INSTANT.format("ts")} AS last_watermark_ts,
                CAST(event_id AS VARCHAR) AS last_watermark_key, '{sql.BATCH}' AS last_successful_batch_id,
                '{sql.RUN_AT}' AS updated_at
         FROM events WHERE (ts, event_id) = (SELECT max((ts, event_id)) FROM events)""",
@@ -1432,6 +1444,55 @@ ACCOUNT_BATCHES = {
 }
 
 
+def _event_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Two raw batches of events; in the second every seventh one happens a millisecond later."""
+    first = views.event_transactions(spark, folder)
+    moved = F.when(F.col("transaction_id") % 7 == 0, F.col("transaction_ts") + F.expr("INTERVAL '0.001' SECOND"))
+    second = first.withColumn("transaction_ts", F.coalesce(moved, "transaction_ts"))
+    return (
+        with_lineage(first, TRANSACTION, sql.BATCH, RUN.instant("ingested_at")),
+        with_lineage(second, TRANSACTION, SECOND_BATCH, RUN.instant("rejected_at")),
+    )
+
+
+EVENT_BATCHES = {
+    f"event_raw_{n}": f"""SELECT transaction_id, transaction_ts, CAST(transaction_id AS VARCHAR) AS source_record_key,
+        transaction_ts AS source_updated_at, sha256(concat_ws('|', transaction_id, source_account_id,
+            destination_account_id, {sql.STAMP.format(at)}, event_type, amount, 'INR', 'ONLINE', FALSE)) AS record_hash
+        FROM event_txn JOIN events ON event_id = transaction_id"""
+    for n, at in (
+        (1, "transaction_ts"),
+        (2, "CASE WHEN transaction_id % 7 = 0 THEN transaction_ts + INTERVAL 1 MILLISECOND ELSE transaction_ts END"),
+    )
+}
+
+
+@query(
+    "pr1_lineage_events",
+    f"""SELECT transaction_id, source_record_key, {sql.INSTANT.format("source_updated_at")} AS source_updated_at, record_hash
+        FROM event_raw_1""",
+    **EVENT_BATCHES,
+)
+def _event_lineage(spark, folder):
+    """Instants with fractions: none of their digits is lost in the hash."""
+    return _event_batches(spark, folder)[0].select("transaction_id", "source_record_key", "source_updated_at", "record_hash")
+
+
+@query(
+    "dd2_in3_changes_below_a_second",
+    """SELECT 'CHANGED' AS kind, count(*) AS records FROM event_raw_1 o JOIN event_raw_2 n USING (transaction_id)
+              WHERE o.record_hash <> n.record_hash
+       UNION ALL SELECT 'UNCHANGED', count(*) FROM event_raw_1 o JOIN event_raw_2 n USING (transaction_id)
+              WHERE o.record_hash = n.record_hash
+       UNION ALL SELECT 'NEW_VERSIONS', count(*) FROM event_raw_2 ANTI JOIN event_raw_1 USING (source_record_key, record_hash)""",
+    **EVENT_BATCHES,
+)
+def _event_changes(spark, folder):
+    first, second = _event_batches(spark, folder)
+    fresh = raw.unseen(second, first).agg(row_count().alias("records")).select(F.lit("NEW_VERSIONS").alias("kind"), "records")
+    return chg.change_summary(chg.changes(first, second)).withColumnRenamed("change", "kind").unionByName(fresh)
+
+
 @query(
     "dd1_latest_version",
     """SELECT source_record_key, status, migration_batch_id, record_hash FROM (
@@ -1478,8 +1539,8 @@ def _rerun(spark, folder):
 
 @query(
     "sh1_account_status_history",
-    """SELECT account_id, status, strftime(source_updated_at, '%Y-%m-%d %H:%M:%S') AS valid_from,
-              strftime(next_at, '%Y-%m-%d %H:%M:%S') AS valid_to, next_at IS NULL AS is_current
+    f"""SELECT account_id, status, {sql.INSTANT.format("source_updated_at")} AS valid_from,
+              {sql.INSTANT.format("next_at")} AS valid_to, next_at IS NULL AS is_current
        FROM (SELECT *, lead(source_updated_at) OVER (PARTITION BY account_id ORDER BY source_updated_at) AS next_at
              FROM (SELECT *, lag(status) OVER (PARTITION BY account_id ORDER BY source_updated_at) AS before
                    FROM (SELECT account_id, source_updated_at, max(status) AS status FROM both_batches GROUP BY ALL))

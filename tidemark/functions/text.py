@@ -9,8 +9,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Whole seconds followed by a two-digit zone offset, e.g. 2024-01-02 03:04:05+00.
-INSTANT_FORMAT = "yyyy-MM-dd HH:mm:ssx"
+
+def instant_text(value: str) -> str:
+    """SQL for an instant as text with the non-zero digits of its fraction and the zone offset.
+
+    Examples: 2024-01-02 03:04:05+00, 2024-01-02 03:04:05.25+00. No digit is lost, so two versions of a record that
+    differ below the second have different hashes, keys and payloads.
+    """
+    return f"concat(CAST({value} AS STRING), date_format({value}, 'x'))"
 
 
 def canonical_text(field: T.StructField) -> str:
@@ -18,7 +24,7 @@ def canonical_text(field: T.StructField) -> str:
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
         raise TypeError(f"{field.name}: floating point has no canonical text")
     if isinstance(field.dataType, T.TimestampType):
-        return f"date_format({field.name}, '{INSTANT_FORMAT}')"
+        return instant_text(field.name)
     if isinstance(field.dataType, T.StringType):
         return field.name
     return f"CAST({field.name} AS STRING)"
@@ -42,7 +48,7 @@ def record_hash(schema: T.StructType, columns: tuple[str, ...], blank_when_null:
 
 
 def json_payload(schema: T.StructType, columns: tuple[str, ...]) -> Column:
-    """JSON object of the raw values in the given order, NULLs kept, instants as whole seconds."""
+    """JSON object of the raw values in the given order, NULLs kept, instants as text."""
     fields = [
         f"'{c}', {canonical_text(schema[c])}" if isinstance(schema[c].dataType, T.TimestampType) else f"'{c}', {c}"
         for c in columns

@@ -175,6 +175,7 @@ def audit_primary_keys(tables: Tables) -> DataFrame:
         [
             _labelled(primary_key_violations(tables[e.name], e), e.name, "primary_key")
             for e in ENTITIES.values()
+            if e.name in tables
         ]
     )
 

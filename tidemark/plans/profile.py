@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import canonical_text
+from tidemark.functions.text import canonical_text, instant_text
 from tidemark.functions.verdict import Check, check_rows, count_where, metrics, row_count, total, union_all
 from tidemark.operators.balances import failure_counts
 from tidemark.operators.keys import duplicate_key_count, either_orphan_count, orphan_count
@@ -39,8 +39,8 @@ def table_counts(tables: Tables) -> DataFrame:
 def transaction_range(transactions: DataFrame) -> DataFrame:
     """Earliest and latest instant and the total, NULL on an empty table."""
     return transactions.agg(
-        F.date_format(F.min("transaction_ts"), "yyyy-MM-dd HH:mm:ssx").alias("earliest_transaction"),
-        F.date_format(F.max("transaction_ts"), "yyyy-MM-dd HH:mm:ssx").alias("latest_transaction"),
+        F.expr(instant_text("min(transaction_ts)")).alias("earliest_transaction"),
+        F.expr(instant_text("max(transaction_ts)")).alias("latest_transaction"),
         F.sum("amount").cast("decimal(38,2)").alias("transaction_total"),
     )
 
@@ -200,7 +200,7 @@ def critical_elements(tables: Tables) -> DataFrame:
                 "distinct_values",
                 text.alias("min_value"),
                 (
-                    F.date_format("greatest", "yyyy-MM-dd HH:mm:ssx")
+                    F.expr(instant_text("greatest"))
                     if column in ("transaction_ts", "updated_at")
                     else F.col("greatest").cast("string")
                 ).alias("max_value"),
