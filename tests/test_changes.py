@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import RUN, customer, frame, hand_made
@@ -114,7 +115,8 @@ def test_stream_replay_is_exactly_once(spark):
     inc.stream_to_raw(spark, source, schema, target, progress, stamp)
     inc.stream_to_raw(spark, source, schema, target, progress, stamp)
     assert spark.read.parquet(target).count() == 50
-    inc.stream_to_raw(spark, source, schema, target, scratch_path(spark, "lost-progress"), stamp)
+    with pytest.raises(Exception, match="written by another query"):
+        inc.stream_to_raw(spark, source, schema, target, scratch_path(spark, "lost-progress"), stamp)
     assert spark.read.parquet(target).count() == 50
     spark.range(50, 60).write.mode("append").parquet(source)
     inc.stream_to_raw(spark, source, schema, target, progress, stamp)

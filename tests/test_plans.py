@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import replace
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -16,9 +17,11 @@ from tidemark.operators import constraints, keys
 from tidemark.operators.balances import with_previous_closing
 from tidemark.operators.rules import Lookup, attach, staging_gate
 from tidemark.plans import core, migration, profile, reconcile
-from tidemark.plans.migration import ORDER, migrate
-from tidemark.session import scratch_path
+from tidemark.plans.migration import ORDER, migrate, roll_back
+from tidemark.session import materialise, scratch_path
+from tidemark.plans.ledger import Ledgers
 from tidemark.sources import bank_views
+from tidemark.sources.sinks import read_published
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -35,6 +38,12 @@ def test_migration_end_to_end(spark):
     }
     assert spark.read.parquet(f"{root}/quarantine/transaction").count() == 10
     assert spark.read.parquet(f"{root}/raw/transaction").count() == 13
+    checks = spark.read.parquet(f"{root}/reconciliation/transaction_reconciliation")
+    assert checks.count() == 7 and checks.where("status = 'FAIL'").count() == 0
+    assert spark.read.parquet(f"{root}/reconciliation/financial_reconciliation").count() == 12
+    assert spark.read.parquet(f"{root}/reconciliation/constraint_audit").where("violations > 0").count() > 0
+    positions = {r.source_table: r.last_watermark_key for r in Ledgers(spark, root).positions().collect()}
+    assert positions["core.account"] == "11" and positions["finance.daily_account_balance"] == "3|2020-01-01"
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         migrate(hand_made(spark), RUN, root)
 
@@ -43,24 +52,50 @@ def test_interrupted_migration_resumes_without_repeating_finished_tables(spark,
     root = scratch_path(spark, "migration")
     real = migration.publish
 
-    def breaks(name, *rest):
+    def breaks(name, *rest, **more):
         if name == "transaction":
             raise OSError("lost connection")
-        return real(name, *rest)
+        return real(name, *rest, **more)
 
     monkeypatch.setattr(migration, "publish", breaks)
     with pytest.raises(OSError):
         migrate(hand_made(spark), RUN, root)
     published = []
-    monkeypatch.setattr(migration, "publish", lambda name, *rest: published.append(name) or real(name, *rest))
+    monkeypatch.setattr(migration, "publish", lambda name, *rest, **more: published.append(name) or real(name, *rest, **more))
     tables = migrate(hand_made(spark), RUN, root, resume=True)
     assert published == ["transaction", "daily_balance"]
     assert tables["transaction"].count() == 4 and tables["account"].count() == 5
     assert spark.read.parquet(f"{root}/raw/transaction").count() == 13
-    runs = spark.read.json(f"{root}/control/table_run")
-    assert runs.count() == 5
-    got = {r.table_name: (r.loaded_rows, r.rejected_rows) for r in runs.collect()}
+    runs = Ledgers(spark, root).read("table_run")
+    assert runs.count() == 6
+    broken = runs.where("status = 'FAILED'").first()
+    assert broken.table_name == "payments.bank_transaction" and broken.error_message == "OSError: lost connection"
+    got = {r.table_name: (r.loaded_rows, r.rejected_rows) for r in runs.where("status = 'SUCCEEDED'").collect()}
     assert got["payments.bank_transaction"] == (13, 9)
+    batches = Ledgers(spark, root)
+    assert batches.batches().first().status == "SUCCEEDED"
+    assert {r.status for r in batches.read("migration_batch").collect()} == {"RUNNING", "FAILED", "SUCCEEDED"}
+
+
+def test_increments_and_rollback_rebuild_core(spark):
+    root = scratch_path(spark, "migration")
+    tables = hand_made(spark)
+    migrate(tables, RUN, root)
+    late = datetime(2020, 1, 2)
+    changed = tables["customer"].withColumn("updated_at", F.when(F.col("customer_id") == 1, F.lit(late)).otherwise(F.col("updated_at")))
+    changed = changed.withColumn("date_of_birth", F.when(F.col("customer_id") == 1, F.lit("1990-01-01").cast("date")).otherwise(F.col("date_of_birth")))
+    second = replace(RUN, batch_id="B-2", ingested_at="2026-08-27 00:00:00")
+    built = migrate({**tables, "customer": changed}, second, root, incremental=True)
+    raw_rows = spark.read.parquet(f"{root}/raw/customer").groupBy("migration_batch_id").count().collect()
+    assert {tuple(r) for r in raw_rows} == {("B-1", 10), ("B-2", 1)}  # one new version, nothing else
+    assert built["customer"].count() == 5 and built["account"].count() == 6  # the customer and the account are valid now
+    plan = migration.Migration({}, RUN, root, Ledgers(spark, root), True)
+    back = roll_back(spark, RUN, root, "B-2", "wrong birth date")
+    assert back["customer"].count() == 4 and back["account"].count() == 5
+    assert read_published(spark, f"{root}/core/dim_customer").count() == 4
+    shown = plan.visible_raw("customer")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*NOT \(migration_batch_id", shown)
+    assert Ledgers(spark, root).positions().where("source_table = 'core.customer'").first().last_successful_batch_id == "B-1"
 
 
 def test_second_full_batch_needs_the_newest_version_option(spark):
@@ -90,7 +125,27 @@ def test_failing_gate_leaves_the_published_table(spark):
     doubled = good.unionByName(good)
     with pytest.raises(GateFailure, match="duplicate_keys: 5"):
         core.publish("account", doubled, doubled, dims, path)
-    assert spark.read.parquet(path).count() == 5
+    assert read_published(spark, path).count() == 5
+
+
+def test_a_writer_that_loses_a_row_or_breaks_leaves_the_published_table(spark):
+    path = scratch_path(spark, "core")
+    facts = materialise(layers(spark).core("transaction"), "facts")
+    dims = {"account": layers(spark).core("account")}
+    core.publish("transaction", facts, facts, dims, path)
+
+    def loses(df, folder):
+        df.where("transaction_id <> 12").write.parquet(folder)
+
+    def breaks(df, folder):
+        df.limit(1).write.parquet(folder)
+        raise OSError("disk full")
+
+    with pytest.raises(GateFailure, match="staging_core_difference: 1"):
+        core.publish("transaction", facts, facts, dims, path, write=loses)
+    with pytest.raises(OSError):
+        core.publish("transaction", facts, facts, dims, path, write=breaks)
+    assert read_published(spark, path).count() == facts.count() == 4
 
 
 def test_core_gates_count_every_violation(spark):

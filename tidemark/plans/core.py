@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,7 @@ from tidemark.operators.balances import equation_failures
 from tidemark.operators.keys import duplicate_keys, orphan_count
 from tidemark.operators.standardise import standardise
 from tidemark.schemas import ENTITIES
-from tidemark.sources.sinks import replace_path
+from tidemark.sources.sinks import point_to, replace_path
 
 CORE_NAMES = {
     "branch": "dim_branch",
@@ -69,8 +70,16 @@ def publish(
     dimensions: dict[str, DataFrame],
     path: str,
     write: Callable[[DataFrame, str], None] = replace_path,
+    label: str = "",
 ) -> DataFrame:
-    """Write the core table after its gates hold; a failing build leaves the previous table untouched."""
-    enforce(core_gates(entity_name, core, staging, dimensions))
-    write(core, path)
-    return core.sparkSession.read.schema(core.schema).parquet(path)
+    """Write a candidate to a folder of its own, read it back, and make it current once its gates hold.
+
+    The gates see the files written, not the plan they came from, so rows lost on the way are noticed. A failing gate or
+    a write that breaks leaves the current version as it is, for readers too.
+    """
+    spark, folder = core.sparkSession, f"{path}/version-{uuid.uuid4().hex}"
+    write(core, folder)
+    candidate = spark.read.schema(core.schema).parquet(folder)
+    enforce(core_gates(entity_name, candidate, staging, dimensions))
+    point_to(spark, path, folder, label)
+    return candidate

@@ -2,14 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.verdict import row_count, union_all
-from tidemark.operators.keys import distinct_count
-from tidemark.schemas import ENTITIES, TABLE_RUN
+from tidemark.operators.keys import distinct_count, first_per_key
+from tidemark.schemas import ENTITIES, EXTRACT_CONTROL, MIGRATION_BATCH, ROLLED_BACK, TABLE_RUN
+from tidemark.sources.readers import path_exists
+
+SUCCEEDED, FAILED, RUNNING = "SUCCEEDED", "FAILED", "RUNNING"
+#: Longest error text a ledger row holds.
+MESSAGE_CHARS = 1000
+
+
+@dataclass(frozen=True)
+class Ledgers:
+    """The control tables below a folder. They only grow: the newest row of a key is the one that counts."""
+
+    spark: SparkSession
+    root: str
+
+    SCHEMAS = {
+        "migration_batch": MIGRATION_BATCH,
+        "table_run": TABLE_RUN,
+        "source_extract_control": EXTRACT_CONTROL,
+        "rolled_back_batch": ROLLED_BACK,
+    }
+
+    def append(self, name: str, *row: object) -> None:
+        rows = self.spark.createDataFrame([row], self.SCHEMAS[name]).coalesce(1)
+        rows.write.mode("append").json(f"{self.root}/control/{name}")
+
+    def read(self, name: str) -> DataFrame:
+        path = f"{self.root}/control/{name}"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], self.SCHEMAS[name])
+        return self.spark.read.schema(self.SCHEMAS[name]).json(path)
+
+    def batches(self) -> DataFrame:
+        """The state of every batch: its newest row."""
+        newest = [F.col("started_at").desc(), F.col("completed_at").desc_nulls_last()]
+        return first_per_key(self.read("migration_batch"), ["batch_id"], *newest)
+
+    def positions(self) -> DataFrame:
+        """How far each source table has been extracted, leaving out batches that were rolled back."""
+        kept = without(self.read("source_extract_control"), "last_successful_batch_id", self.rolled_back())
+        return first_per_key(kept, ["source_table"], F.col("updated_at").desc())
+
+    def finished(self, batch_id: str) -> set[str]:
+        """Tables of a batch whose newest run succeeded; at most one row per migrated table is fetched."""
+        runs = self.read("table_run").where(F.col("batch_id") == batch_id)
+        newest = first_per_key(runs, ["table_name"], F.col("completed_at").desc())
+        return {r.table_name for r in newest.where(F.col("status") == SUCCEEDED).collect()}
+
+    def rolled_back(self) -> list[str]:
+        """Ids of rolled back batches, a handful."""
+        return sorted(r.batch_id for r in self.read("rolled_back_batch").select("batch_id").distinct().collect())
+
 
-SUCCEEDED, FAILED = "SUCCEEDED", "FAILED"
+def without(rows: DataFrame, column: str, values: list[str]) -> DataFrame:
+    return rows.where(~F.col(column).isin(*values)) if values else rows
 
 
 def table_runs(

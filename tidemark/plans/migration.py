@@ -15,18 +15,21 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.verdict import GateFailure
 from tidemark.operators.changes import latest
+from tidemark.operators.constraints import audit_constraints
 from tidemark.operators.lineage import with_lineage
 from tidemark.operators.rulebook import BOOKS
 from tidemark.operators.rules import accepted, evaluate, quarantine, staging_gate
 from tidemark.operators.standardise import standardise
 from tidemark.plans.core import CORE_NAMES, COUNTED, build_core, publish
-from tidemark.plans.ledger import SUCCEEDED
-from tidemark.schemas import ENTITIES, TABLE_RUN
+from tidemark.plans.ledger import FAILED, MESSAGE_CHARS, RUNNING, SUCCEEDED, Ledgers
+from tidemark.plans.reconcile import reconcile_financials, reconcile_transactions
+from tidemark.schemas import ENTITIES
 from tidemark.session import materialise
-from tidemark.sources.landing import land, read_batch
-from tidemark.sources.raw import PARTITION, load_raw, read_raw, replace_batch
-from tidemark.sources.readers import path_exists
-from tidemark.sources.sinks import replace_path
+from tidemark.sources.landing import land, read_batch, verify_landing
+from tidemark.sources.raw import PARTITION, load_raw, read_raw, replace_batch, without_batches
+from tidemark.sources.readers import EmptyExtract
+from tidemark.sources.sinks import read_published, replace_path
+from tidemark.streaming.incremental import after, extract_control, stored_checkpoint
 
 ORDER = ("branch", "customer", "account", "transaction", "daily_balance")
 PARENTS = {
@@ -94,61 +97,165 @@ class Layers:
         return build_core(accepted(self.evaluated(name)), name)
 
 
-def _finished(spark: SparkSession, path: str, batch_id: str) -> set[str]:
-    """Tables of a batch that the ledger lists as succeeded; at most one row per migrated table is fetched."""
-    if not path_exists(spark, path):
-        return set()
-    runs = spark.read.schema(TABLE_RUN).json(path).where(F.col("batch_id") == batch_id)
-    return {r.table_name for r in runs.where(F.col("status") == SUCCEEDED).select("table_name").distinct().collect()}
+class LandingMismatch(RuntimeError):
+    """Files of a landed batch differ from its manifest."""
 
 
-def migrate(
-    sources: Mapping[str, DataFrame], run: Run, root: str, resume: bool = False, newest_only: bool = False
-) -> dict[str, DataFrame]:
-    """Land, load, evaluate, gate and publish every table below ``root``; returns the core tables.
+@dataclass
+class Migration:
+    """One run over a folder: what the tables share, and what has been built so far."""
 
-    Each raw batch is evaluated exactly once; staging and quarantine are two filters over that result. A ledger row
-    is written when a table is published. ``resume`` continues an interrupted run of the same batch: published
-    tables are skipped, a complete landing is reused, and the raw partition of the batch is overwritten rather
-    than appended to. ``newest_only`` keeps the newest version of every record before the rules see it; without it a
-    second full batch of a table stops at the duplicate-key gate.
-    """
-    core: dict[str, DataFrame] = {}
-    ledger_path = f"{root}/control/table_run"
-    for name in ORDER:
-        entity, spark = ENTITIES[name], sources[name].sparkSession
-        core_path, raw_path = f"{root}/core/{CORE_NAMES[name]}", f"{root}/raw/{name}"
-        if resume and entity.source_table in _finished(spark, ledger_path, run.batch_id):
-            core[name] = spark.read.parquet(core_path)
-            continue
-        started = datetime.now(timezone.utc)
-        at = run.instant("ingested_at")
-        manifest = land(sources[name], entity, f"{root}/landing", run.batch_id, at, finish=resume)
-        landed = read_batch(spark, entity, f"{root}/landing", run.batch_id)
+    sources: Mapping[str, DataFrame]
+    run: Run
+    root: str
+    ledgers: Ledgers
+    newest_only: bool
+    core: dict[str, DataFrame] = field(default_factory=dict)
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.ledgers.spark
+
+    def path(self, layer: str, name: str) -> str:
+        return f"{self.root}/{layer}/{name}"
+
+    def load(self, name: str, incremental: bool, resume: bool) -> int:
+        """Land the rows of a table, verify the files, append them to raw and store the position; returns their number."""
+        entity, run, spark = ENTITIES[name], self.run, self.spark
+        at, rows = run.instant("ingested_at"), self.sources[name]
+        if incremental:
+            schema = entity.schema
+            rows = after(rows, "updated_at", entity.key, stored_checkpoint(self.ledgers.positions(), entity.source_table, schema, entity.key))
+        try:
+            manifest = land(rows, entity, f"{self.root}/landing", run.batch_id, at, finish=resume)
+        except EmptyExtract:
+            if not incremental:
+                raise
+            return 0  # nothing new
+        verified = verify_landing(spark, entity, f"{self.root}/landing", run.batch_id).first()
+        if verified.status != "PASS":
+            raise LandingMismatch(f"{name}: {verified.file_mismatches} files differ, {verified.landed_rows} of {verified.manifest_rows} rows")
+        landed = read_batch(spark, entity, f"{self.root}/landing", run.batch_id)
         if resume:
-            replace_batch(with_lineage(landed, entity, run.batch_id, at), raw_path)
+            replace_batch(with_lineage(landed, entity, run.batch_id, at), self.path("raw", name))
         else:
-            load_raw(landed, entity, raw_path, run.batch_id, at)
+            load_raw(landed, entity, self.path("raw", name), run.batch_id, at)
+        return manifest.agg(F.max("row_count")).first()[0]
 
-        dimensions = {p: core[p] for p in PARENTS[name]}
-        raw = read_raw(spark, entity, raw_path)
-        loaded_rows = raw.where(F.col(PARTITION) == run.batch_id).count()
-        verdict = evaluate(latest(raw) if newest_only else raw, BOOKS[name], dimensions, run.today())
-        evaluated = materialise(verdict, f"evaluated-{name}")
+    def visible_raw(self, name: str) -> DataFrame:
+        """Raw without rolled back batches."""
+        return without_batches(read_raw(self.spark, ENTITIES[name], self.path("raw", name)), self.ledgers.rolled_back())
+
+    def build(self, name: str) -> int:
+        """Evaluate raw once, gate and write staging and quarantine, and publish core; returns the records rejected."""
+        raw, book, spark = self.visible_raw(name), BOOKS[name], self.spark
+        dimensions = {p: self.core[p] for p in PARENTS[name]}
+        verdict = evaluate(latest(raw) if self.newest_only else raw, book, dimensions, self.run.today())
+        replace_path(verdict, self.path("evaluated", name))
+        evaluated = self.evaluated(name)
         counts = staging_gate(evaluated).first()
         if name in COUNTED and counts.status != "PASS":
             raise GateFailure(
                 f"{name}: raw={counts.raw_rows}, valid={counts.valid_rows}, rejected={counts.rejected_records}"
             )
         staging = standardise(accepted(evaluated), name)
-        replace_path(staging, f"{root}/staging/{name}")
-        replace_path(quarantine(evaluated, BOOKS[name], run.instant("rejected_at")), f"{root}/quarantine/{name}")
-        staging = spark.read.schema(staging.schema).parquet(f"{root}/staging/{name}")
-        core[name] = publish(name, staging, staging, dimensions, core_path)
-
-        landed_rows = manifest.agg(F.max("row_count")).first()[0]
-        done = datetime.now(timezone.utc)
-        row = (run.batch_id, entity.source_table, landed_rows, landed_rows, loaded_rows, counts.rejected_records,
-               started, done, SUCCEEDED, None)
-        spark.createDataFrame([row], TABLE_RUN).write.mode("append").json(ledger_path)
-    return core
+        replace_path(staging, self.path("staging", name))
+        replace_path(quarantine(evaluated, book, self.run.instant("rejected_at")), self.path("quarantine", name))
+        staging = spark.read.schema(staging.schema).parquet(self.path("staging", name))
+        self.core[name] = publish(name, staging, staging, dimensions, self.path("core", CORE_NAMES[name]), label=self.run.batch_id)
+        return counts.rejected_records
+
+    def evaluated(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path("evaluated", name))
+
+    def reconcile(self) -> None:
+        """Compare the layers as they lie in their files, and store the results; what fails is for their reader."""
+        run_at, raw = F.lit(datetime.now(timezone.utc)), {n: self.evaluated(n).drop("is_valid", "failed_rules") for n in ORDER}
+        rejected = {n: self.spark.read.parquet(self.path("quarantine", n)) for n in COUNTED}
+        staged = self.spark.read.parquet(self.path("staging", "transaction"))
+        checks = {
+            "transaction_reconciliation": reconcile_transactions(
+                self.sources["transaction"], raw["transaction"], staged, self.core["transaction"], rejected["transaction"], run_at
+            ),
+            "financial_reconciliation": reconcile_financials(
+                self.sources["transaction"], self.sources["daily_balance"], raw["transaction"], raw["daily_balance"],
+                self.core["daily_balance"], rejected["daily_balance"], run_at,
+            ),
+            "constraint_audit": audit_constraints(raw),
+        }
+        for name, rows in checks.items():
+            replace_path(rows, self.path("reconciliation", name))
+
+
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def _message(error: BaseException) -> str:
+    return f"{type(error).__name__}: {error}"[:MESSAGE_CHARS]
+
+
+def migrate(
+    sources: Mapping[str, DataFrame],
+    run: Run,
+    root: str,
+    resume: bool = False,
+    newest_only: bool = False,
+    incremental: bool = False,
+    initiated_by: str = "operator",
+) -> dict[str, DataFrame]:
+    """Land, verify, load, evaluate, gate and publish every table below ``root``, reconcile; returns the core tables.
+
+    Each raw batch is evaluated exactly once; staging and quarantine are two filters over that result. The control
+    tables record the batch, every table run (a failed one with its message) and the position reached in each source.
+    ``resume`` continues an interrupted run of the same batch: published tables are skipped, a complete landing is reused,
+    and the raw partition of the batch is overwritten rather than appended to. ``newest_only`` keeps the newest version of
+    every record before the rules see it; without it a second full batch of a table stops at the duplicate-key gate.
+    ``incremental`` extracts only what lies behind the stored positions and implies ``newest_only``.
+    """
+    ledgers = Ledgers(next(iter(sources.values())).sparkSession, root)
+    job = Migration(sources, run, root, ledgers, newest_only or incremental)
+    kind, batch_start = "INCREMENTAL" if incremental else "HISTORICAL", _now()
+
+    def note(status: str, done: datetime | None, error: str | None) -> None:
+        ledgers.append("migration_batch", run.batch_id, kind, None, None, batch_start, done, status, initiated_by, error)
+
+    note(RUNNING, None, None)
+    finished = ledgers.finished(run.batch_id) if resume else set()
+    try:
+        for name in ORDER:
+            entity, started, loaded = ENTITIES[name], _now(), None
+            if entity.source_table in finished:
+                job.core[name] = read_published(job.spark, job.path("core", CORE_NAMES[name]))
+                continue
+            try:
+                found = job.load(name, incremental, resume)
+                own = job.visible_raw(name).where(F.col(PARTITION) == run.batch_id)
+                loaded = own.count()
+                rejected = job.build(name)
+                if loaded:
+                    position = extract_control(own, entity.source_table, "updated_at", entity.key, run.batch_id, F.lit(_now()))
+                    ledgers.append("source_extract_control", *position.first())
+            except Exception as error:
+                ledgers.append("table_run", run.batch_id, entity.source_table, None, None, loaded, None, started, _now(), FAILED, _message(error))
+                raise
+            ledgers.append("table_run", run.batch_id, entity.source_table, found, found, loaded, rejected, started, _now(), SUCCEEDED, None)
+        job.reconcile()
+    except Exception as error:
+        note(FAILED, _now(), _message(error))
+        raise
+    note(SUCCEEDED, _now(), None)
+    return job.core
+
+
+def roll_back(spark: SparkSession, run: Run, root: str, batch_id: str, reason: str = "") -> dict[str, DataFrame]:
+    """Hide a batch and rebuild staging, quarantine and core from the batches that stay; raw files are not touched.
+
+    The position of an incremental extract goes back to the newest batch that stays.
+    """
+    ledgers = Ledgers(spark, root)
+    ledgers.append("rolled_back_batch", batch_id, _now(), reason)
+    job = Migration({}, run, root, ledgers, newest_only=True)
+    for name in ORDER:
+        job.build(name)
+    return job.core

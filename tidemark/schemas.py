@@ -259,3 +259,5 @@ EXTRACT_CONTROL = struct_of(
     },
     required=("source_table", "updated_at"),
 )
+
+ROLLED_BACK = struct_of({"batch_id": "text", "rolled_back_at": "instant", "reason": "text"}, required=("batch_id",))

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Mapping
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.text import record_key
 from tidemark.functions.verdict import row_count
 from tidemark.schemas import SCHEMA_VERSION, SOURCE_SYSTEM, Entity
-from tidemark.sources.readers import EmptyExtract, extract, path_exists, read_parquet
+from tidemark.sources.readers import EmptyExtract, extract, path_exists, read_parquet, remove_path
 
-# Keeps a part file far below the 2 GiB that one binary record may hold when it is hashed.
-MAX_RECORDS_PER_FILE = 2_000_000
+# Bytes of a file that a hashing task holds at a time.
+HASH_STEP = 4 << 20
 
 
 def batch_path(root: str, entity: Entity, batch_id: str) -> str:
@@ -31,7 +35,7 @@ def _range_columns(entity: Entity) -> list[tuple[str, str]]:
 
 
 def range_aggregates(entity: Entity) -> list[Column]:
-    """Row count and the min/max of the key columns and of ``updated_at``, as text."""
+    """Row count and the min/max of the key columns and of ``updated_at``, in their own types."""
     aggregates = [row_count().alias("row_count")]
     for column, suffix in _range_columns(entity):
         aggregates += [F.min(column).alias(f"min_{suffix}"), F.max(column).alias(f"max_{suffix}")]
@@ -39,22 +43,64 @@ def range_aggregates(entity: Entity) -> list[Column]:
 
 
 def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """(file_name, sha256, file_bytes) of every part file below ``path``; each file is hashed by one task."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.sha2("content", 256).alias("sha256"),
-        F.col("length").alias("file_bytes"),
+    """(file_name, sha256, file_bytes) of every part file below ``path``, sub-folders included.
+
+    Only names and lengths are listed by Spark; files are dealt over as many tasks as there are files, and each is
+    hashed in steps of bounded size, so a file may be of any length. ``file_name`` is relative to ``path``.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+    files = reader.load(path).select("path", "length")
+    count = files.count()
+
+    def hashed(batches):
+        for batch in batches:
+            sums = [_sha256_of(p) for p in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), pa.array(sums, pa.string()), batch.column("length")], ["path", "sha256", "file_bytes"]
+            )
+
+    dealt = files.repartition(max(1, count), "path")
+    return dealt.mapInArrow(hashed, "path string, sha256 string, file_bytes long").select(
+        _below(path, F.col("path")).alias("file_name"), "sha256", "file_bytes"
     )
 
 
-def file_rows(landed: DataFrame) -> DataFrame:
-    """Rows per part file, answered from the parquet footers' columns."""
-    return landed.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(row_count().alias("file_row_count"))
+def _sha256_of(uri: str) -> str:
+    files, path = fs.FileSystem.from_uri(uri)
+    total = hashlib.sha256()
+    with files.open_input_stream(path) as stream:
+        while step := stream.read(HASH_STEP):
+            total.update(step)
+    return total.hexdigest()
+
+
+def _below(folder: str, path: Column) -> Column:
+    """The part of a file's URI behind its folder; the folder alone if it is the file itself."""
+    bare = re.sub(r"^[a-z0-9]+:(//[^/]*)?", "", folder).strip("/")
+    name = F.substring_index(path, f"/{bare}/", -1)
+    return F.when(F.contains(path, F.lit(f"/{bare}/")), name).otherwise(F.element_at(F.split(path, "/"), -1))
+
+
+def file_rows(landed: DataFrame, path: str) -> DataFrame:
+    """Rows per part file below ``path``; no column is read."""
+    file = _below(path, F.col("_metadata.file_path")).alias("file_name")
+    return landed.groupBy(file).agg(row_count().alias("file_row_count"))
+
+
+def manifest_schema(entity: Entity) -> T.StructType:
+    ranges = [f"{side}_{suffix}" for _, suffix in _range_columns(entity) for side in ("min", "max")]
+    text, whole, instant = T.StringType(), T.LongType(), T.TimestampType()
+    return T.StructType(
+        [T.StructField(n, text) for n in ("batch_id", "source_system", "source_table", "file_name", "file_format")]
+        + [T.StructField("row_count", whole)]
+        + [T.StructField(n, text) for n in ranges]
+        + [T.StructField("extracted_at", instant), T.StructField("sha256", text), T.StructField("file_bytes", whole)]
+        + [T.StructField("file_row_count", whole), T.StructField("schema_version", text)]
+    )
 
 
 def read_manifest(spark: SparkSession, entity: Entity, root: str, batch_id: str) -> DataFrame:
-    return spark.read.json(manifest_path(root, entity, batch_id))
+    return spark.read.schema(manifest_schema(entity)).json(manifest_path(root, entity, batch_id))
 
 
 def is_landed(spark: SparkSession, entity: Entity, root: str, batch_id: str) -> bool:
@@ -73,24 +119,24 @@ def land(
 ) -> DataFrame:
     """Write one batch and its manifest; return the manifest, one row per part file.
 
-    Fails if the batch was landed before, and refuses an empty extract before any file exists. Row count and
-    ranges are observed by the writing tasks themselves, so the extract is read once and a retried task counts once.
+    Fails if the batch was landed before. Row count and ranges are observed by the writing tasks themselves, so the
+    extract is computed once and a retried task counts once; if there was no row, nothing stays and the extract fails.
     ``finish`` continues an interrupted run: a batch with a manifest is complete and kept, one without is rewritten.
     """
     spark = df.sparkSession
     if finish and is_landed(spark, entity, root, batch_id):
         return read_manifest(spark, entity, root, batch_id)
     rows = extract(df, entity)
-    if rows.isEmpty():
-        raise EmptyExtract(f"no rows extracted from {entity.source_table}")
     seen = Observation(f"{entity.name}-{batch_id}")
     target = batch_path(root, entity, batch_id)
-    rows.observe(seen, *range_aggregates(entity)).write.mode(
-        "overwrite" if finish else "errorifexists"
-    ).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(target)
+    rows.observe(seen, *range_aggregates(entity)).write.mode("overwrite" if finish else "errorifexists").parquet(target)
 
     observed = seen.get
-    manifest = file_checksums(spark, target).select(
+    if not observed["row_count"]:
+        remove_path(spark, target)
+        raise EmptyExtract(f"no rows extracted from {entity.source_table}")
+    counted = file_rows(read_parquet(spark, entity, target), target)
+    manifest = file_checksums(spark, target).join(counted, "file_name", "left").select(
         F.lit(batch_id).alias("batch_id"),
         F.lit(source_system).alias("source_system"),
         F.lit(entity.source_table).alias("source_table"),
@@ -100,11 +146,12 @@ def land(
         extracted_at.cast("timestamp").alias("extracted_at"),
         "sha256",
         "file_bytes",
+        F.coalesce("file_row_count", F.lit(0)).cast("bigint").alias("file_row_count"),
         F.lit(SCHEMA_VERSION).alias("schema_version"),
     )
     stored = manifest_path(root, entity, batch_id)
     manifest.write.mode("overwrite" if finish else "errorifexists").json(stored)
-    return spark.read.schema(manifest.schema).json(stored)
+    return read_manifest(spark, entity, root, batch_id)
 
 
 def read_batch(spark: SparkSession, entity: Entity, root: str, batch_id: str) -> DataFrame:
@@ -146,20 +193,38 @@ def verify_landing(spark: SparkSession, entity: Entity, root: str, batch_id: str
     )
 
 
+def landed_files(spark: SparkSession, entities: Mapping[str, Entity], root: str, batch_id: str) -> DataFrame:
+    """Every file of a landed batch over all its tables: table, file name, rows, bytes and SHA-256."""
+    names = ["source_table", "file_name", "file_row_count", "file_bytes", "sha256"]
+    parts = [read_manifest(spark, e, root, batch_id).select(*names) for e in entities.values()]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 def dataset_manifest(tables: Mapping[str, DataFrame], entities: Mapping[str, Entity]) -> DataFrame:
-    """Row count and key/time ranges of several tables in one result."""
+    """Row count and key/time ranges of several tables in one result; keys are compared in their own types."""
     parts = []
     for name, df in tables.items():
         entity = entities[name]
-        key_text = record_key(entity.schema, entity.key)
+        key = F.struct(*entity.key)
+
+        def end(side: str, entity: Entity = entity) -> Column:
+            return F.expr(
+                "concat_ws('|', " + ", ".join(f"CAST({side}_key.{c} AS STRING)" for c in entity.key) + ")"
+            ).alias(f"{side}_key_text")
+
         parts.append(
             df.agg(
                 row_count().alias("row_count"),
-                F.min(key_text).alias("min_key_text"),
-                F.max(key_text).alias("max_key_text"),
+                F.min(key).alias("min_key"),
+                F.max(key).alias("max_key"),
                 F.min("updated_at").alias("min_updated_at"),
                 F.max("updated_at").alias("max_updated_at"),
-            ).select(F.lit(entity.source_table).alias("source_table"), "*")
+            ).select(
+                F.lit(entity.source_table).alias("source_table"), "row_count", end("min"), end("max"), "min_updated_at", "max_updated_at"
+            )
         )
     result = parts[0]
     for part in parts[1:]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.schemas import Entity
 
@@ -18,6 +19,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library has written, with all it holds."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _relaxed(entity: Entity):
     """The declared schema without NOT NULL: files do not enforce it, the audits do."""
     return type(entity.schema)([type(f)(f.name, f.dataType, True) for f in entity.schema.fields])
@@ -28,16 +35,19 @@ def read_parquet(spark: SparkSession, entity: Entity, path: str) -> DataFrame:
     return spark.read.schema(_relaxed(entity)).parquet(path)
 
 
-def read_csv(spark: SparkSession, entity: Entity, path: str) -> DataFrame:
-    """CSV with a header; an empty field is NULL, True/False parse as boolean."""
-    return (
-        spark.read.schema(_relaxed(entity))
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("emptyValue", None)
-        .csv(path)
-        .select(*entity.columns)
-    )
+def read_csv_as(spark: SparkSession, schema: T.StructType, path: str, line_breaks: bool = True) -> DataFrame:
+    """CSV with a header in the usual dialect: quotes inside a quoted field are doubled, an empty field is NULL.
+
+    ``line_breaks`` lets quoted fields hold line breaks. A file is then read by one task, so keep files small; without
+    it a file is split at line ends.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("emptyValue", None)
+    return reader.option("escape", '"').option("multiLine", line_breaks).csv(path)
+
+
+def read_csv(spark: SparkSession, entity: Entity, path: str, line_breaks: bool = True) -> DataFrame:
+    """A table of the bank from CSV; True/False parse as boolean."""
+    return read_csv_as(spark, _relaxed(entity), path, line_breaks).select(*entity.columns)
 
 
 def jdbc_options(

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import canonical_text
+from tidemark.sources.readers import path_exists
+
+
+#: Records of one CSV file.
+CSV_RECORDS = 500_000
+VERSIONS = "number long, folder string, label string"
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header line, booleans as True/False, NULL as an empty field."""
+    """CSV with a header line, booleans as True/False, NULL as an empty field, quotes in quoted fields doubled."""
     columns = [
         F.initcap(F.col(f.name).cast("string")).alias(f.name)
         if isinstance(f.dataType, T.BooleanType)
@@ -19,9 +25,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
         else F.col(f.name)
         for f in df.schema.fields
     ]
-    writer = df.select(*columns).write.mode(mode).option("header", True).option("nullValue", "")
-    # The writer trims by default; blanks around a value are data here.
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    writer = df.select(*columns).write.mode(mode).option("header", True).option("nullValue", "").option("escape", '"')
+    # Readers of line breaks take a file in one task. The writer trims by default; blanks around a value are data here.
+    writer = writer.option("maxRecordsPerFile", CSV_RECORDS).option("ignoreLeadingWhiteSpace", False)
+    writer.option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -40,6 +47,30 @@ def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
+def published_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder that the newest entry of a versioned table points to; None before the first one."""
+    if not path_exists(spark, f"{path}/_versions"):
+        return None
+    return spark.read.schema(VERSIONS).json(f"{path}/_versions").agg(F.max_by("folder", "number")).first()[0]
+
+
+def point_to(spark: SparkSession, path: str, folder: str, label: str) -> None:
+    """Make ``folder`` the current version. The entry is one small file that appears when its write commits."""
+    number = 0
+    if path_exists(spark, f"{path}/_versions"):
+        number = spark.read.schema(VERSIONS).json(f"{path}/_versions").agg(F.max("number")).first()[0] + 1
+    entry = spark.createDataFrame([(number, folder, label)], VERSIONS).coalesce(1)
+    entry.write.mode("append").json(f"{path}/_versions")
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table; readers of an older one keep its files."""
+    folder = published_folder(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return spark.read.parquet(folder)
+
+
 def replace_path(df: DataFrame, path: str) -> None:
     """Truncate and reload a path."""
     df.write.mode("overwrite").parquet(path)
