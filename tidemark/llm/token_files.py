@@ -69,14 +69,15 @@ def write_token_files(
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens (with the end id) and token_ids of every stored document.
 
-    Filters on doc_id reach the stripes. The sums of partitions are read from two columns.
+    Filters on doc_id reach the stripes. The sums of partitions are read from two columns; they have a row of two numbers
+    for each partition of the writing job, which bounds what is broadcast.
     """
     stored = spark.read.schema(STORED).orc(path)
     parts = stored.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))
     ahead = F.sum("part_tokens").over(Window.orderBy("part")) - F.col("part_tokens")
     parts = parts.select("part", ahead.alias("ahead"))
     start = (F.col("ahead") + F.col("part_start")).alias("start")
-    return stored.join(parts, "part").select("doc_id", start, "n_tokens", "token_ids")
+    return stored.join(F.broadcast(parts), "part").select("doc_id", start, "n_tokens", "token_ids")
 
 
 def with_crc32(rows: DataFrame, ids_column: str = "token_ids", out: str = "ids_crc32") -> DataFrame:
