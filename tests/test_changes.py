@@ -57,7 +57,7 @@ def test_change_kinds(spark):
 
 def brute_history(rows):
     by_key = {}
-    for key, at, state in sorted(set(rows)):
+    for key, at, state in sorted(set(rows), key=lambda r: r[:2]):
         by_key.setdefault(key, []).append((at, state))
     result = set()
     for key, points in by_key.items():
@@ -72,7 +72,7 @@ def test_status_history_equals_brute_force(spark):
     rows = []
     for key in range(20):
         for _ in range(400 if key == 3 else 15):  # one key has far more versions
-            rows.append((key, datetime(2020, 1, 1) + timedelta(minutes=rng.randrange(60 * 24 * 10)), rng.choice("ABC")))
+            rows.append((key, datetime(2020, 1, 1) + timedelta(minutes=rng.randrange(60 * 24 * 10)), rng.choice(["A", "B", "C", None])))
     rows = list({(k, at): (k, at, s) for k, at, s in rows}.values())
     df = spark.createDataFrame(rows + rows, "account_id BIGINT, source_updated_at TIMESTAMP, status STRING")
     got = chg.status_history(df, "account_id", "status").collect()
@@ -80,6 +80,17 @@ def test_status_history_equals_brute_force(spark):
     assert all(r.is_current == (r.valid_to is None) for r in got)
 
 
+def test_status_history_takes_null_for_a_state(spark):
+    day = [datetime(2020, 1, 1, h) for h in range(5)]
+    rows = [(1, day[0], "A"), (1, day[1], None), (1, day[2], "A"), (2, day[0], None), (2, day[1], None), (2, day[2], "B")]
+    df = spark.createDataFrame(rows, "account_id BIGINT, source_updated_at TIMESTAMP, status STRING")
+    history = chg.status_history(df, "account_id", "status")
+    got = {(r.account_id, r.status, r.valid_from, r.valid_to) for r in history.collect()}
+    assert got == {(1, "A", day[0], day[1]), (1, None, day[1], day[2]), (1, "A", day[2], None),
+                   (2, None, day[0], day[2]), (2, "B", day[2], None)}
+    assert history._jdf.queryExecution().sparkPlan().toString().count("Exchange") <= 2
+
+
 def test_slices_partition_rows_that_share_a_timestamp(spark):
     at = datetime(2020, 1, 1)
     rows = [(i, at + timedelta(days=i // 10)) for i in range(100)]
@@ -96,6 +107,20 @@ def test_slices_partition_rows_that_share_a_timestamp(spark):
     assert seen == list(range(100))
 
 
+def test_stored_positions_keep_microseconds_and_types(spark):
+    control = ledger.Ledgers(spark, scratch_path(spark, "control"))
+    at = datetime(2024, 1, 1, 12, 0, 0, 123457)
+    schema = spark.createDataFrame([], "a BIGINT, d DATE").schema
+    assert inc.stored_checkpoint(control.positions(), "t", schema, ("a", "d")) is None
+    for number, key in ((1, "9|2020-01-01"), (2, "10|2020-02-03")):
+        control.append("source_extract_control", "t", at, key, f"B-{number}", datetime(2024, 1, number))
+    assert inc.stored_checkpoint(control.positions(), "t", schema, ("a", "d")) == inc.Checkpoint(at, (10, datetime(2020, 2, 3).date()))
+    control.append("rolled_back_batch", "B-2", at, "")
+    assert inc.stored_checkpoint(control.positions(), "t", schema, "a").key == 9
+    rows = spark.createDataFrame([(10, datetime(2020, 2, 3), at), (10, datetime(2020, 2, 4), at)], "a BIGINT, d DATE, u TIMESTAMP")
+    assert inc.after(rows, "u", ("a", "d"), inc.Checkpoint(at, (10, datetime(2020, 2, 3).date()))).count() == 1
+
+
 def test_checkpoint_filter_reaches_the_scan(spark):
     path = scratch_path(spark, "pushdown")
     spark.range(10).selectExpr("id AS k", "timestamp_seconds(id) AS changed").write.parquet(path)

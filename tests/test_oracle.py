@@ -32,9 +32,6 @@ def bag(columns, rows):
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, FOLDER)
     mine = bag(df.columns, [tuple(r) for r in df.collect()])
-    if name not in ORACLES:
-        assert name == "io6_file_checksums" and sum(mine[1].values()) == len(TABLES)
-        return
     result = duck.execute(ORACLES[name])
     assert mine == bag([c[0] for c in result.description], result.fetchall())
 

@@ -6,6 +6,8 @@ expressions. Money, dates and instants are rendered as text in the results, as o
 
 from __future__ import annotations
 
+from tidemark.schemas import SOURCE_SYSTEM
+
 BATCH = "B-0001"
 INGESTED = "2026-07-27 00:00:00"
 REJECTED = "2026-07-28 00:00:00"
@@ -153,7 +155,7 @@ STAMP = INSTANT + " || '+00'"
 
 def _raw(name: str, table: str, key: str, hashed: str) -> str:
     return f"""
-        SELECT *, '{BATCH}' AS migration_batch_id, 'neon_postgresql' AS source_system,
+        SELECT *, '{BATCH}' AS migration_batch_id, '{SOURCE_SYSTEM}' AS source_system,
                '{table}' AS source_table, {key} AS source_record_key, updated_at AS source_updated_at,
                TIMESTAMP '{INGESTED}' AS ingested_at, sha256(concat_ws('|', {hashed})) AS record_hash,
                '1.0' AS schema_version, FALSE AS is_deleted
@@ -250,6 +252,7 @@ def _payload(*columns: str) -> str:
     return f"CAST(json_object({', '.join(items)}) AS VARCHAR)"
 
 
+# Fields of a payload, in order.
 PAYLOADS = {
     "branch": _payload(
         "branch_id", "branch_code", "branch_name", "city", "state", "operating_region", "opened_date", "status"
@@ -271,7 +274,7 @@ PAYLOADS = {
     ),
 }
 
-# (table, rule, severity, message, condition on a row r of the raw table)
+# Rules, severities and messages. (table, rule, severity, message, condition on a row r of the raw table)
 RULES = [
     ("branch", "BRANCH_CODE_REQUIRED", "HIGH", "Branch code is missing or blank.",
      "coalesce(trim(branch_code), '') = ''"),

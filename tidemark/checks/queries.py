@@ -37,7 +37,7 @@ from tidemark.schemas import ACCOUNT, BALANCE, CUSTOMER, DEFECT_MANIFEST, ENTITI
 from tidemark.session import configure, materialise, scratch_path
 from tidemark.sources import bank_views as views
 from tidemark.sources import landing, raw, sinks
-from tidemark.sources.readers import read_csv, read_parquet
+from tidemark.sources.readers import EmptyExtract, read_csv, read_csv_as, read_parquet
 from tidemark.streaming import incremental as inc
 
 RUN = Run(sql.BATCH, sql.INGESTED, sql.REJECTED, sql.AS_OF)
@@ -163,7 +163,8 @@ for position, entity_name in enumerate(ORDER, start=1):
     def _core_gates(spark, folder, name=entity_name):
         built = layers(spark, folder, name, *PARENTS[name])
         dimensions = {p: built.core(p) for p in PARENTS[name]}
-        return core_gates(name, built.core(name), built.staging(name), dimensions)
+        staging = materialise(built.staging(name), f"staging-{name}")
+        return core_gates(name, materialise(staging, f"core-{name}"), staging, dimensions)
 
     def _rule_counts(spark, folder, name=entity_name):
         return rule_summary(layers(spark, folder).rejected(name))
@@ -238,14 +239,14 @@ def _land(spark: SparkSession, folder: str, name: str) -> tuple[str, DataFrame]:
 
 def _manifest_lines(manifest: DataFrame) -> DataFrame:
     """The batch-level part of a manifest; part files differ between clusters."""
-    return manifest.drop("file_name", "sha256", "file_bytes").distinct()
+    return manifest.drop("file_name", "sha256", "file_bytes", "file_row_count").distinct()
 
 
 def _manifest_select(name: str, table: str, ranges: dict[str, str]) -> str:
     sides = ", ".join(
         f"CAST({side}({column}) AS VARCHAR) AS {side}_{label}" for label, column in ranges.items() for side in ("min", "max")
     )
-    return f"""SELECT '{sql.BATCH}' AS batch_id, 'neon_postgresql' AS source_system, '{table}' AS source_table,
+    return f"""SELECT '{sql.BATCH}' AS batch_id, '{SOURCE_SYSTEM}' AS source_system, '{table}' AS source_table,
         'parquet' AS file_format, count(*) AS row_count, {sides},
         '{sql.INGESTED}' AS extracted_at, '1.0' AS schema_version FROM src_{name}"""
 
@@ -276,35 +277,69 @@ register(
 )
 
 
+def _landing_outcome(df: DataFrame, name: str, root: str, batch_id: str) -> str:
+    try:
+        landing.land(df, ENTITIES[name], root, batch_id, RUN.instant("ingested_at"))
+    except EmptyExtract:
+        return "REFUSED"
+    return "LANDED"
+
+
 @query(
     "io3_empty_extract_guard",
-    """SELECT 'core.account' AS source_table, count(*) AS extracted_rows, count(*) = 0 AS is_empty FROM src_account
-       UNION ALL SELECT 'core.customer', count(*), count(*) = 0 FROM src_customer""",
+    " UNION ALL ".join(
+        f"""SELECT '{ENTITIES[n].source_table}' AS source_table, count(*) AS extracted_rows,
+            CASE WHEN count(*) > 0 THEN 'LANDED' ELSE 'REFUSED' END AS whole_table,
+            CASE WHEN count(*) FILTER (updated_at > TIMESTAMP '2999-01-01') > 0 THEN 'LANDED' ELSE 'REFUSED' END AS nothing_new
+            FROM src_{n}"""
+        for n in ORDER
+    ),
 )
 def _empty_guard(spark, folder):
-    tables = views.bank(spark, folder)
-    return union_all(
-        [
-            tables[n].agg(row_count().alias("extracted_rows")).select(
-                F.lit(ENTITIES[n].source_table).alias("source_table"),
-                "extracted_rows",
-                (F.col("extracted_rows") == 0).alias("is_empty"),
-            )
-            for n in ("account", "customer")
+    """Every table lands; an extract behind its newest rows has none and is refused."""
+    tables, root, parts = views.bank(spark, folder), scratch_path(spark, "landing"), []
+    for n in ORDER:
+        outcomes = [
+            _landing_outcome(tables[n], n, root, sql.BATCH),
+            _landing_outcome(tables[n].where("updated_at > TIMESTAMP '2999-01-01'"), n, root, SECOND_BATCH),
         ]
-    )
+        landed = landing.read_batch(spark, ENTITIES[n], root, sql.BATCH).agg(row_count().alias("extracted_rows"))
+        parts.append(
+            landed.select(
+                F.lit(ENTITIES[n].source_table).alias("source_table"), "extracted_rows",
+                F.lit(outcomes[0]).alias("whole_table"), F.lit(outcomes[1]).alias("nothing_new"),
+            )
+        )
+    return union_all(parts)
 
 
-@query("io6_file_checksums", None)
+@query(
+    "io6_file_checksums",
+    """SELECT count(*) AS file_rows, CAST(1 AS BIGINT) AS changed_files, CAST(0 AS BIGINT) AS files_without_digest
+       FROM src_account""",
+)
 def _checksums(spark, folder):
-    return landing.file_checksums(spark, folder)
+    """Two landings of which the second changes one account: one file gets another digest."""
+    accounts = views.accounts(spark, folder)
+    root, least = scratch_path(spark, "landing"), accounts.agg(F.min("account_id")).first()[0]
+    changed = F.when(F.col("account_id") == least, F.lit("CHANGED")).otherwise(F.col("status"))
+    landing.land(accounts, ACCOUNT, root, sql.BATCH, RUN.instant("ingested_at"))
+    landing.land(accounts.withColumn("status", changed), ACCOUNT, root, SECOND_BATCH, RUN.instant("ingested_at"))
+    first, second = (landing.read_manifest(spark, ACCOUNT, root, b) for b in (sql.BATCH, SECOND_BATCH))
+    other = second.join(first.select("sha256"), "sha256", "left_anti").agg(row_count().alias("changed_files"))
+    return first.agg(
+        F.sum("file_row_count").alias("file_rows"), count_where(F.length("sha256") != 64).alias("files_without_digest")
+    ).crossJoin(other)
 
 
 @query(
     "io7_dataset_manifest",
     " UNION ALL ".join(
         f"""SELECT '{ENTITIES[n].source_table}' AS source_table, count(*) AS row_count,
-            min(source_record_key) AS min_key_text, max(source_record_key) AS max_key_text,
+            concat_ws('|', {", ".join(f"(min(({', '.join(ENTITIES[n].key)}, 0)))[{i}]" for i in range(1, len(ENTITIES[n].key) + 1))})
+              AS min_key_text,
+            concat_ws('|', {", ".join(f"(max(({', '.join(ENTITIES[n].key)}, 0)))[{i}]" for i in range(1, len(ENTITIES[n].key) + 1))})
+              AS max_key_text,
             {sql.INSTANT.format("min(updated_at)")} AS min_updated_at,
             {sql.INSTANT.format("max(updated_at)")} AS max_updated_at FROM raw_{n}"""
         for n in ORDER
@@ -357,6 +392,14 @@ def _csv_transactions(spark, folder):
     return read_csv(spark, TRANSACTION, path)
 
 
+@query("io13_io14_csv_round_trip_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def _csv_documents(spark, folder):
+    """Prose with quotes, commas and line breaks."""
+    path, docs = scratch_path(spark, "csv-documents"), views.table(spark, folder, "documents")
+    sinks.write_csv(docs, path)
+    return read_csv_as(spark, docs.schema, path)
+
+
 @query("io15_truncate_and_reload_customer", source_select("customer"))
 def _reload(spark, folder):
     path = scratch_path(spark, "reload-customer")
@@ -393,7 +436,7 @@ def _source_rejections(spark: SparkSession, folder: str) -> DataFrame:
 def _source_rule(table: str, rule: str, message: str, condition: str) -> str:
     entity = ENTITIES[table]
     payload = sql._payload(*entity.columns)
-    return f"""SELECT 'neon_postgresql' AS source_system, '{entity.source_table}' AS source_table,
+    return f"""SELECT '{SOURCE_SYSTEM}' AS source_system, '{entity.source_table}' AS source_table,
         CAST({entity.key[0]} AS VARCHAR) AS source_record_key, '{rule}' AS rule_id, 'HIGH' AS severity,
         '{message}' AS error_message, {payload} AS raw_payload, '{sql.REJECTED}' AS rejected_at,
         'OPEN' AS resolution_status FROM src_{table} s WHERE {condition}"""
@@ -484,6 +527,7 @@ def _defects(spark: SparkSession, folder: str) -> tuple[views.Bank, DataFrame]:
         F.max_by("source_account_id", "transaction_id").alias("last_account"),
         F.max_by(F.to_date("transaction_ts"), "transaction_id").alias("last_date"),
     )
+    ends = materialise(ends, "ends")  # one row that every overlay and the manifest use
     currency = ends.select(
         F.col("first_id").alias("transaction_id"), F.lit("ZZZ").alias("currency_code"), now.alias("updated_at")
     )
@@ -860,8 +904,7 @@ def _jn8(spark, folder):
          (SELECT DISTINCT source_record_key FROM rej_transaction)""",
 )
 def _rejected_amount(spark, folder):
-    built = layers(spark, folder)
-    return reconcile.rejected_amount(built.raw("transaction"), built.rejected("transaction"))
+    return reconcile.rejected_amount_of(layers(spark, folder).evaluated("transaction"))
 
 
 @query(
@@ -1227,8 +1270,10 @@ FINANCIAL_RECONCILIATION = _check_select(
 def _transaction_checks(spark: SparkSession, folder: str) -> DataFrame:
     name = "transaction"
     built = layers(spark, folder, name)
+    staging = materialise(built.staging(name), "staging")  # layers as they lie in files of their own
+    core = materialise(staging, "core")
     return reconcile.reconcile_transactions(
-        built.sources[name], built.raw(name), built.staging(name), built.core(name), built.rejected(name), run_at()
+        built.sources[name], built.raw(name), staging, core, built.rejected(name), run_at()
     )
 
 
@@ -1261,7 +1306,7 @@ def _stored_checks(spark, folder):
         FROM (SELECT {_s('stg_transaction', 'transaction_amount')} AS amount)""",
 )
 def _cross_fact(spark, folder):
-    built = layers(spark, folder)
+    built = layers(spark, folder, "account", "transaction", "daily_balance")
     return reconcile.cross_fact_variance(built.core("transaction"), built.core("daily_balance"))
 
 
@@ -1313,17 +1358,21 @@ VERIFIED = [
     ("transaction_total_vs_debits", _TXN_SUM, _s("src_daily_balance", "debit_total"), True),
     ("transaction_total_vs_credits", _TXN_SUM, _s("src_daily_balance", "credit_total"), True),
 ]
-EXPECTED_ROWS = {"branch": 25}
 
 
 @query(
     "gt3_verify_source",
-    _check_select([("branch_expected_rows", "25", _n("src_branch"), False), *VERIFIED]),
+    _check_select([*[(f"{n}_expected_rows", _n(f"src_{n}"), _n(f"src_{n}"), False) for n in ORDER], *VERIFIED]),
 )
 def _verify(spark, folder):
     tables = views.bank(spark, folder)
     tables = tables.settled("transaction", "daily_balance")
-    return profile.verify_source(tables, EXPECTED_ROWS, run_at())
+    root = scratch_path(spark, "landing")
+    expected = {
+        n: landing.land(tables[n], ENTITIES[n], root, sql.BATCH, RUN.instant("ingested_at")).agg(F.max("row_count")).first()[0]
+        for n in ORDER
+    }  # what the landing promised
+    return profile.verify_source(tables, expected, run_at())
 
 
 # -- incremental loads and history ------------------------------------------------------------------------------
@@ -1336,24 +1385,22 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "in1_incremental_slices",
     """SELECT slice, count(*) AS records, min(event_id) AS min_key, max(event_id) AS max_key
-       FROM (SELECT event_id, CASE WHEN (day_ts, event_id) <= (cut_ts, cut_key) THEN 'BEFORE' ELSE 'AFTER' END AS slice
-             FROM (SELECT event_id, date_trunc('day', ts) AS day_ts FROM events),
-                  (SELECT day_ts AS cut_ts, max(event_id) // 2 AS cut_key
-                   FROM (SELECT event_id, date_trunc('day', ts) AS day_ts FROM events)
-                   WHERE day_ts = (SELECT date_trunc('day', max(ts)) - INTERVAL 15 DAY FROM events) GROUP BY day_ts))
+       FROM (SELECT event_id, CASE WHEN (ts, event_id) <= (cut_ts, cut_key) THEN 'BEFORE' ELSE 'AFTER' END AS slice
+             FROM events, (SELECT ts AS cut_ts, event_id AS cut_key FROM events
+                           WHERE event_id <= (SELECT max(event_id) // 2 FROM events) ORDER BY ts DESC, event_id DESC LIMIT 1))
        GROUP BY slice""",
 )
 def _slices(spark, folder):
-    # Day precision makes thousands of records share a timestamp, so the key part of the checkpoint decides.
-    rows = _events(spark, folder).select("event_id", F.date_trunc("day", "ts").alias("changed_at"))
-    middle = rows.agg((F.max("changed_at") - F.expr("INTERVAL 15 DAYS")).alias("at"))
-    cut = rows.join(middle, rows["changed_at"] == middle["at"]).agg(
-        F.max("changed_at").alias("at"), F.floor(F.max("event_id") / 2).alias("key")
-    ).first()
-    checkpoint = inc.Checkpoint(cut["at"], cut["key"])
+    """The position reached by a first extract, stored as a control row and read back, cuts the table in two."""
+    rows = _events(spark, folder).select("event_id", "ts")
+    half = rows.agg(F.floor(F.max("event_id") / 2).alias("half")).first().half
+    reached = inc.extract_control(rows.where(F.col("event_id") <= half), "events", "ts", "event_id", sql.BATCH, run_at())
+    control = ledger.Ledgers(spark, scratch_path(spark, "control"))
+    control.append("source_extract_control", *reached.first())
+    checkpoint = inc.stored_checkpoint(control.positions(), "events", rows.schema, "event_id")
     parts = {
-        "BEFORE": inc.upto(rows, "changed_at", "event_id", checkpoint),
-        "AFTER": inc.after(rows, "changed_at", "event_id", checkpoint),
+        "BEFORE": inc.upto(rows, "ts", "event_id", checkpoint),
+        "AFTER": inc.after(rows, "ts", "event_id", checkpoint),
     }
     return union_all(
         [
@@ -1376,30 +1423,82 @@ def _control(spark, folder):
     return inc.extract_control(_events(spark, folder), "events", "ts", "event_id", sql.BATCH, run_at())
 
 
+def _event_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Two raw batches of events; in the second every seventh one happens a millisecond later."""
+    first = views.event_transactions(spark, folder)
+    moved = F.when(F.col("transaction_id") % 7 == 0, F.col("transaction_ts") + F.expr("INTERVAL '0.001' SECOND"))
+    second = first.withColumn("transaction_ts", F.coalesce(moved, "transaction_ts"))
+    return (
+        with_lineage(first, TRANSACTION, sql.BATCH, RUN.instant("ingested_at")),
+        with_lineage(second, TRANSACTION, SECOND_BATCH, RUN.instant("rejected_at")),
+    )
+
+
+EVENT_BATCHES = {
+    f"event_raw_{n}": f"""SELECT transaction_id, transaction_ts, CAST(transaction_id AS VARCHAR) AS source_record_key,
+        transaction_ts AS source_updated_at, sha256(concat_ws('|', transaction_id, source_account_id,
+            destination_account_id, {sql.STAMP.format(at)}, event_type, amount, 'INR', 'ONLINE', FALSE)) AS record_hash
+        FROM event_txn JOIN events ON event_id = transaction_id"""
+    for n, at in (
+        (1, "transaction_ts"),
+        (2, "CASE WHEN transaction_id % 7 = 0 THEN transaction_ts + INTERVAL 1 MILLISECOND ELSE transaction_ts END"),
+    )
+}
+
+
+@query(
+    "pr1_lineage_events",
+    f"""SELECT transaction_id, source_record_key, {sql.INSTANT.format("source_updated_at")} AS source_updated_at, record_hash
+        FROM event_raw_1""",
+    **EVENT_BATCHES,
+)
+def _event_lineage(spark, folder):
+    """Instants with fractions: none of their digits is lost in the hash."""
+    return _event_batches(spark, folder)[0].select("transaction_id", "source_record_key", "source_updated_at", "record_hash")
+
+
+@query(
+    "dd2_in3_changes_below_a_second",
+    """SELECT 'CHANGED' AS kind, count(*) AS records FROM event_raw_1 o JOIN event_raw_2 n USING (transaction_id)
+              WHERE o.record_hash <> n.record_hash
+       UNION ALL SELECT 'UNCHANGED', count(*) FROM event_raw_1 o JOIN event_raw_2 n USING (transaction_id)
+              WHERE o.record_hash = n.record_hash
+       UNION ALL SELECT 'NEW_VERSIONS', count(*) FROM event_raw_2 ANTI JOIN event_raw_1 USING (source_record_key, record_hash)""",
+    **EVENT_BATCHES,
+)
+def _event_changes(spark, folder):
+    first, second = _event_batches(spark, folder)
+    fresh = raw.unseen(second, first).agg(row_count().alias("records")).select(F.lit("NEW_VERSIONS").alias("kind"), "records")
+    return chg.change_summary(chg.changes(first, second)).withColumnRenamed("change", "kind").unionByName(fresh)
+
+
 @query(
     "in2_stream_to_raw",
-    """SELECT event_type, count(*) AS records, count(DISTINCT event_id) AS distinct_keys,
-              CAST(CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DECIMAL(38, 2)) AS VARCHAR) AS amount
-       FROM events GROUP BY event_type""",
+    """SELECT event_type AS transaction_type, count(*) AS records, count(DISTINCT event_id) AS distinct_keys,
+              CAST(CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DECIMAL(38, 2)) AS VARCHAR) AS amount,
+              count(DISTINCT record_hash) AS distinct_hashes
+       FROM events JOIN event_raw_1 ON transaction_id = event_id GROUP BY event_type""",
+    **EVENT_BATCHES,
 )
 def _stream(spark, folder):
     path, progress = scratch_path(spark, "stream-raw"), scratch_path(spark, "stream-progress")
     schema = _events(spark, folder).schema
 
     def stamp(rows: DataFrame, batch_id: str) -> DataFrame:
-        return rows.withColumn("migration_batch_id", F.lit(batch_id))
+        return with_lineage(views.ledger_of_events(rows), TRANSACTION, batch_id, RUN.instant("ingested_at"))
 
     for _ in range(2):  # the second run finds nothing new
         inc.stream_to_raw(spark, folder, schema, path, progress, stamp, file_glob="events.parquet")
     per_event = (
-        spark.read.parquet(path)
-        .groupBy("event_type", "event_id")
-        .agg(row_count().alias("copies"), F.sum(F.col("value").cast("decimal(18,2)")).alias("amount"))
+        raw.read_raw(spark, TRANSACTION, path)
+        .groupBy("transaction_type", "source_record_key", "record_hash")
+        .agg(row_count().alias("copies"), F.sum("amount").alias("amount"))
     )
-    return per_event.groupBy("event_type").agg(
+    return per_event.groupBy("transaction_type").agg(
         F.sum("copies").alias("records"),
-        row_count().alias("distinct_keys"),
+        F.count_distinct("source_record_key").alias("distinct_keys"),
         F.sum("amount").cast("decimal(38,2)").alias("amount"),
+        F.count_distinct("record_hash").alias("distinct_hashes"),
     )
 
 
@@ -1407,7 +1506,9 @@ def _account_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataF
     """Two raw batches of accounts. The second lacks some accounts, changes others and is stamped later."""
     first = views.accounts(spark, folder)
     later = F.lit(sql.REJECTED).cast("timestamp")
-    status = F.when(F.col("account_id") % 7 == 0, "FROZEN").otherwise(F.col("status"))
+    status = (
+        F.when(F.col("account_id") % 7 == 0, "FROZEN").when(F.col("account_id") % 11 != 5, F.col("status")).otherwise(None)
+    )
     touched = ~F.col("status").eqNullSafe(status)
     second = first.where("account_id % 50 <> 49").select(
         *[
@@ -1427,8 +1528,9 @@ def _account_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataF
 
 ACCOUNT_BATCHES = {
     "second_account": f"""SELECT * REPLACE (
-        CASE WHEN account_id % 7 = 0 THEN 'FROZEN' ELSE status END AS status,
-        CASE WHEN account_id % 7 = 0 AND status IS DISTINCT FROM 'FROZEN' THEN TIMESTAMP '{sql.INGESTED}'
+        CASE WHEN account_id % 7 = 0 THEN 'FROZEN' WHEN account_id % 11 <> 5 THEN status END AS status,
+        CASE WHEN account_id % 7 = 0 AND status IS DISTINCT FROM 'FROZEN'
+               OR account_id % 7 <> 0 AND account_id % 11 = 5 AND status IS NOT NULL THEN TIMESTAMP '{sql.INGESTED}'
              ELSE updated_at END AS updated_at)
         FROM src_account WHERE account_id % 50 <> 49""",
     "second_raw": f"""SELECT *, '{SECOND_BATCH}' AS migration_batch_id,
@@ -1444,55 +1546,6 @@ ACCOUNT_BATCHES = {
 }
 
 
-def _event_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Two raw batches of events; in the second every seventh one happens a millisecond later."""
-    first = views.event_transactions(spark, folder)
-    moved = F.when(F.col("transaction_id") % 7 == 0, F.col("transaction_ts") + F.expr("INTERVAL '0.001' SECOND"))
-    second = first.withColumn("transaction_ts", F.coalesce(moved, "transaction_ts"))
-    return (
-        with_lineage(first, TRANSACTION, sql.BATCH, RUN.instant("ingested_at")),
-        with_lineage(second, TRANSACTION, SECOND_BATCH, RUN.instant("rejected_at")),
-    )
-
-
-EVENT_BATCHES = {
-    f"event_raw_{n}": f"""SELECT transaction_id, transaction_ts, CAST(transaction_id AS VARCHAR) AS source_record_key,
-        transaction_ts AS source_updated_at, sha256(concat_ws('|', transaction_id, source_account_id,
-            destination_account_id, {sql.STAMP.format(at)}, event_type, amount, 'INR', 'ONLINE', FALSE)) AS record_hash
-        FROM event_txn JOIN events ON event_id = transaction_id"""
-    for n, at in (
-        (1, "transaction_ts"),
-        (2, "CASE WHEN transaction_id % 7 = 0 THEN transaction_ts + INTERVAL 1 MILLISECOND ELSE transaction_ts END"),
-    )
-}
-
-
-@query(
-    "pr1_lineage_events",
-    f"""SELECT transaction_id, source_record_key, {sql.INSTANT.format("source_updated_at")} AS source_updated_at, record_hash
-        FROM event_raw_1""",
-    **EVENT_BATCHES,
-)
-def _event_lineage(spark, folder):
-    """Instants with fractions: none of their digits is lost in the hash."""
-    return _event_batches(spark, folder)[0].select("transaction_id", "source_record_key", "source_updated_at", "record_hash")
-
-
-@query(
-    "dd2_in3_changes_below_a_second",
-    """SELECT 'CHANGED' AS kind, count(*) AS records FROM event_raw_1 o JOIN event_raw_2 n USING (transaction_id)
-              WHERE o.record_hash <> n.record_hash
-       UNION ALL SELECT 'UNCHANGED', count(*) FROM event_raw_1 o JOIN event_raw_2 n USING (transaction_id)
-              WHERE o.record_hash = n.record_hash
-       UNION ALL SELECT 'NEW_VERSIONS', count(*) FROM event_raw_2 ANTI JOIN event_raw_1 USING (source_record_key, record_hash)""",
-    **EVENT_BATCHES,
-)
-def _event_changes(spark, folder):
-    first, second = _event_batches(spark, folder)
-    fresh = raw.unseen(second, first).agg(row_count().alias("records")).select(F.lit("NEW_VERSIONS").alias("kind"), "records")
-    return chg.change_summary(chg.changes(first, second)).withColumnRenamed("change", "kind").unionByName(fresh)
-
-
 @query(
     "dd1_latest_version",
     """SELECT source_record_key, status, migration_batch_id, record_hash FROM (
@@ -1542,9 +1595,10 @@ def _rerun(spark, folder):
     f"""SELECT account_id, status, {sql.INSTANT.format("source_updated_at")} AS valid_from,
               {sql.INSTANT.format("next_at")} AS valid_to, next_at IS NULL AS is_current
        FROM (SELECT *, lead(source_updated_at) OVER (PARTITION BY account_id ORDER BY source_updated_at) AS next_at
-             FROM (SELECT *, lag(status) OVER (PARTITION BY account_id ORDER BY source_updated_at) AS before
-                   FROM (SELECT account_id, source_updated_at, max(status) AS status FROM both_batches GROUP BY ALL))
-             WHERE before IS NULL OR before <> status)""",
+             FROM (SELECT *, lag(status) OVER o AS before, row_number() OVER o AS position
+                   FROM (SELECT account_id, source_updated_at, max(status) AS status FROM both_batches GROUP BY ALL)
+                   WINDOW o AS (PARTITION BY account_id ORDER BY source_updated_at))
+             WHERE position = 1 OR before IS DISTINCT FROM status)""",
     **ACCOUNT_BATCHES,
 )
 def _history(spark, folder):
@@ -1563,29 +1617,30 @@ def _rollback(spark, folder):
     for stamped in (first, second):
         raw.append_batch(stamped, path)
     stored = raw.read_raw(spark, ACCOUNT, path)
-    undone = stored.where(F.col("migration_batch_id") == SECOND_BATCH).select("migration_batch_id").distinct()
-    return raw.rows_per_batch(raw.without_batches(stored, undone))
+    return raw.rows_per_batch(raw.without_batches(stored, [SECOND_BATCH]))
 
 
 def _table_runs(spark: SparkSession, folder: str) -> DataFrame:
-    built = layers(spark, folder)
-    names = ("branch", "customer", "account")
-    sources = {n: built.sources[n] for n in names}
-    stamped = {n: built.raw(n) for n in names}
-    rejected = {n: built.rejected(n) for n in names}
+    """All five tables; the load of the daily balances lost some accounts, so that run failed."""
+    built = layers(spark, folder, "transaction", "daily_balance")
+    sources = {n: built.sources[n] for n in ORDER}
+    loaded = {n: built.raw(n) for n in ORDER}
+    loaded["daily_balance"] = loaded["daily_balance"].where("account_id % 97 <> 0")
+    rejected = {n: built.rejected(n) for n in ORDER}
     return ledger.table_runs(
-        sql.BATCH, sources, sources, stamped, rejected, RUN.instant("ingested_at"), RUN.instant("rejected_at")
+        sql.BATCH, sources, sources, loaded, rejected, RUN.instant("ingested_at"), RUN.instant("rejected_at")
     )
 
 
 TABLE_RUNS = " UNION ALL ".join(
-    f"""SELECT '{sql.BATCH}' AS batch_id, '{ENTITIES[n].source_table}' AS table_name,
-        (SELECT count(*) FROM src_{n}) AS source_rows, (SELECT count(*) FROM src_{n}) AS extracted_rows,
-        (SELECT count(*) FROM raw_{n}) AS loaded_rows,
-        (SELECT count(DISTINCT source_record_key) FROM rej_{n}) AS rejected_rows,
-        '{sql.INGESTED}' AS started_at, '{sql.REJECTED}' AS completed_at, 'SUCCEEDED' AS status,
-        CAST(NULL AS VARCHAR) AS error_message"""
-    for n in ("branch", "customer", "account")
+    f"""SELECT '{sql.BATCH}' AS batch_id, '{ENTITIES[n].source_table}' AS table_name, source_rows, source_rows AS extracted_rows,
+        loaded_rows, rejected_rows, '{sql.INGESTED}' AS started_at, '{sql.REJECTED}' AS completed_at,
+        CASE WHEN source_rows = loaded_rows THEN 'SUCCEEDED' ELSE 'FAILED' END AS status,
+        CASE WHEN source_rows <> loaded_rows THEN 'row counts differ' END AS error_message
+        FROM (SELECT (SELECT count(*) FROM src_{n}) AS source_rows,
+                     (SELECT count(*) FROM raw_{n}{" WHERE account_id % 97 <> 0" if n == "daily_balance" else ""}) AS loaded_rows,
+                     (SELECT count(DISTINCT source_record_key) FROM rej_{n}) AS rejected_rows)"""
+    for n in ORDER
 )
 
 register("in5_table_run_ledger", TABLE_RUNS, _table_runs)
@@ -1593,9 +1648,9 @@ register("in5_table_run_ledger", TABLE_RUNS, _table_runs)
 
 @query(
     "in5_batch_ledger",
-    f"""SELECT '{sql.BATCH}' AS batch_id, 'HISTORICAL' AS migration_type, '{sql.INGESTED}' AS started_at,
-               '{sql.REJECTED}' AS completed_at, 'SUCCEEDED' AS status, 'operator' AS initiated_by,
-               CAST(NULL AS VARCHAR) AS error_message FROM src_branch LIMIT 1""",
+    f"""SELECT batch_id, 'HISTORICAL' AS migration_type, min(started_at) AS started_at, max(completed_at) AS completed_at,
+               CASE WHEN bool_and(status = 'SUCCEEDED') THEN 'SUCCEEDED' ELSE 'FAILED' END AS status, 'operator' AS initiated_by,
+               max(error_message) AS error_message FROM ({TABLE_RUNS}) GROUP BY batch_id""",
 )
 def _batch_ledger(spark, folder):
     return ledger.batch_ledger(_table_runs(spark, folder), "HISTORICAL", "operator")
@@ -1603,15 +1658,13 @@ def _batch_ledger(spark, folder):
 
 @query(
     "in4_pending_tables",
-    f"""SELECT DISTINCT '{sql.BATCH}' AS batch_id, source_table AS table_name
-        FROM (SELECT source_table FROM raw_transaction UNION ALL SELECT source_table FROM raw_daily_balance)""",
+    f"SELECT batch_id, table_name FROM ({TABLE_RUNS}) WHERE status <> 'SUCCEEDED'",
 )
 def _pending(spark, folder):
-    stamped = layers(spark, folder)
-    planned = union_all(
-        [stamped.raw(n).select(F.col("migration_batch_id").alias("batch_id"), F.col("source_table").alias("table_name")).distinct() for n in ORDER]
-    )
-    return ledger.pending(planned, _table_runs(spark, folder))
+    """The plan of a batch is the list of tables; what is left of it is read from the ledger alone."""
+    stored = materialise(_table_runs(spark, folder), "table-runs")
+    planned = spark.createDataFrame([(sql.BATCH, ENTITIES[n].source_table) for n in ORDER], "batch_id STRING, table_name STRING")
+    return ledger.pending(planned, stored)
 
 
 @query(

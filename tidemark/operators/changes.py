@@ -68,38 +68,17 @@ def change_summary(compared: DataFrame) -> DataFrame:
 def status_history(versions: DataFrame, key: str, status: str, changed_at: str = "source_updated_at") -> DataFrame:
     """Validity periods of a status column over successive versions of a record.
 
-    Output: key, status, valid_from, valid_to (NULL while current), is_current. Repeated loads of a version
-    are folded first. The change points are found in two steps, inside one day of a key and then across its
-    days, so no window group holds more than a day's versions or a key's calendar days.
+    Output: key, status, valid_from, valid_to (NULL while current), is_current. Repeated loads of a version are folded
+    first. A NULL status is a state of its own. Both windows run over the versions of a key, as many as its batches.
     """
     points = versions.groupBy(key, F.col(changed_at).alias("at")).agg(F.max(status).alias("state"))
-    points = points.withColumn("day", F.to_date("at"))
-    in_day = Window.partitionBy(key, "day").orderBy("at")
-    across = Window.partitionBy(key).orderBy("day")
-
-    days = points.groupBy(key, "day").agg(F.max_by("state", "at").alias("last_state"))
-    days = days.select(
-        F.col(key).alias("d_key"),
-        F.col("day").alias("d_day"),
-        F.lag("last_state").over(across).alias("state_before_day"),
+    order = Window.partitionBy(key).orderBy("at")
+    before = F.lag(F.struct("state")).over(order)  # NULL only where there is no earlier version
+    starts = points.withColumn("before", before).where(
+        F.col("before").isNull() | ~F.col("before.state").eqNullSafe(F.col("state"))
     )
-    joined = points.withColumn("state_in_day", F.lag("state").over(in_day)).join(
-        days, (F.col(key) == F.col("d_key")) & (F.col("day") == F.col("d_day"))
-    )
-    before = F.coalesce("state_in_day", "state_before_day")
-    starts = joined.where(before.isNull() | (before != F.col("state"))).select(key, "state", "at", "day")
-
-    first_of_day = starts.groupBy(key, "day").agg(F.min("at").alias("first_at"))
-    first_of_day = first_of_day.select(
-        F.col(key).alias("d_key"),
-        F.col("day").alias("d_day"),
-        F.lead("first_at").over(across).alias("next_day_at"),
-    )
-    ended = starts.withColumn("next_in_day", F.lead("at").over(in_day)).join(
-        first_of_day, (F.col(key) == F.col("d_key")) & (F.col("day") == F.col("d_day"))
-    )
-    valid_to = F.coalesce("next_in_day", "next_day_at")
-    return ended.select(
+    valid_to = F.lead("at").over(order)
+    return starts.select(
         key,
         F.col("state").alias(status),
         F.col("at").alias("valid_from"),

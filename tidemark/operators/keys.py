@@ -75,17 +75,12 @@ def orphan_count(child: DataFrame, foreign_key: str, parent: DataFrame, key: str
 def either_orphan_count(child: DataFrame, first: str, second: str, parent: DataFrame, key: str) -> DataFrame:
     """One row: child rows of which at least one of two foreign keys has no parent."""
     keys = unique_by(parent, key, "known")
-    pairs = child.groupBy(first, second).agg(row_count().alias("child_rows"))
+    pairs = child.select(first, second)
     for column in (first, second):
         side = keys.select("known", F.lit(True).alias(f"{column}_found"))
         pairs = pairs.join(side, F.col(column) == F.col("known"), "left").drop("known")
     missing = F.col(f"{first}_found").isNull() | F.col(f"{second}_found").isNull()
-    return pairs.where(missing).agg(F.coalesce(F.sum("child_rows"), F.lit(0)).alias("orphan_rows"))
-
-
-def distinct_keys(df: DataFrame, key: str) -> DataFrame:
-    """SELECT DISTINCT key."""
-    return df.select(key).distinct()
+    return pairs.where(missing).agg(row_count().alias("orphan_rows"))
 
 
 def rows_with_listed_key(df: DataFrame, key: str, listed: DataFrame, listed_key: str) -> DataFrame:

@@ -11,6 +11,7 @@ from tidemark.functions.verdict import row_count, union_all
 from tidemark.operators.keys import distinct_count, first_per_key
 from tidemark.schemas import ENTITIES, EXTRACT_CONTROL, MIGRATION_BATCH, ROLLED_BACK, TABLE_RUN
 from tidemark.sources.readers import path_exists
+from tidemark.sources.sinks import JSON_INSTANTS
 
 SUCCEEDED, FAILED, RUNNING = "SUCCEEDED", "FAILED", "RUNNING"
 #: Longest error text a ledger row holds.
@@ -33,13 +34,13 @@ class Ledgers:
 
     def append(self, name: str, *row: object) -> None:
         rows = self.spark.createDataFrame([row], self.SCHEMAS[name]).coalesce(1)
-        rows.write.mode("append").json(f"{self.root}/control/{name}")
+        rows.write.mode("append").options(**JSON_INSTANTS).json(f"{self.root}/control/{name}")
 
     def read(self, name: str) -> DataFrame:
         path = f"{self.root}/control/{name}"
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], self.SCHEMAS[name])
-        return self.spark.read.schema(self.SCHEMAS[name]).json(path)
+        return self.spark.read.schema(self.SCHEMAS[name]).options(**JSON_INSTANTS).json(path)
 
     def batches(self) -> DataFrame:
         """The state of every batch: its newest row."""

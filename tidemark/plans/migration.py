@@ -188,7 +188,7 @@ class Migration:
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 def _message(error: BaseException) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.verdict import Check, check_rows, count_where, metrics, row_count, total, union_all
 from tidemark.operators.balances import balance_equation_holds, roll_forward_failures
 from tidemark.operators.keys import distinct_count, rows_with_listed_key
+from tidemark.operators.rules import is_rejected
 
 TRANSACTION_CHECKS = [
     Check("source_vs_raw_row_count", ("source_rows",), ("raw_rows",)),
@@ -64,6 +65,20 @@ def rejected_amount(raw: DataFrame, quarantined: DataFrame) -> DataFrame:
     return hit.agg(row_count().alias("rejected_rows"), total("amount").cast("decimal(38,2)").alias("rejected_amount"))
 
 
+def rejected_amount_of(evaluated: DataFrame) -> DataFrame:
+    """The same from evaluated rows, whose verdict is at hand: no join and no second scan.
+
+    A key counts with all its rows once one of them is rejected, so rows are folded by key first.
+    """
+    per_key = evaluated.groupBy("source_record_key").agg(
+        F.bool_or(is_rejected()).alias("hit"), row_count().alias("copies"), F.sum("amount").alias("amount")
+    )
+    return per_key.where("hit").agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("rejected_rows"),
+        total("amount").cast("decimal(38,2)").alias("rejected_amount"),
+    )
+
+
 def transaction_metrics(
     source: DataFrame, raw: DataFrame, staging: DataFrame, core: DataFrame, quarantined: DataFrame
 ) -> DataFrame:

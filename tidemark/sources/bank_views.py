@@ -230,8 +230,13 @@ def bank(spark: SparkSession, folder: str) -> Bank:
 
 def event_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Events as a clean double-entry ledger between users: debit the user, credit one of the next seven."""
+    return ledger_of_events(table(spark, folder, "events"))
+
+
+def ledger_of_events(events: DataFrame) -> DataFrame:
+    """Batch or streaming events as transactions."""
     at = F.col("ts").cast("timestamp")
-    return table(spark, folder, "events").select(
+    return events.select(
         F.col("event_id").alias("transaction_id"),
         F.col("user_id").alias("source_account_id"),
         (F.col("user_id") + 1 + F.col("event_id") % 7).alias("destination_account_id"),

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tidemark.functions.verdict import row_count
 from tidemark.schemas import SCHEMA_VERSION, SOURCE_SYSTEM, Entity
 from tidemark.sources.readers import EmptyExtract, extract, path_exists, read_parquet, remove_path
+from tidemark.sources.sinks import JSON_INSTANTS
 
 # Bytes of a file that a hashing task holds at a time.
 HASH_STEP = 4 << 20
@@ -100,7 +101,7 @@ def manifest_schema(entity: Entity) -> T.StructType:
 
 
 def read_manifest(spark: SparkSession, entity: Entity, root: str, batch_id: str) -> DataFrame:
-    return spark.read.schema(manifest_schema(entity)).json(manifest_path(root, entity, batch_id))
+    return spark.read.schema(manifest_schema(entity)).options(**JSON_INSTANTS).json(manifest_path(root, entity, batch_id))
 
 
 def is_landed(spark: SparkSession, entity: Entity, root: str, batch_id: str) -> bool:
@@ -150,7 +151,7 @@ def land(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
     )
     stored = manifest_path(root, entity, batch_id)
-    manifest.write.mode("overwrite" if finish else "errorifexists").json(stored)
+    manifest.write.mode("overwrite" if finish else "errorifexists").options(**JSON_INSTANTS).json(stored)
     return read_manifest(spark, entity, root, batch_id)
 
 

@@ -10,6 +10,8 @@ from tidemark.functions.text import canonical_text
 from tidemark.sources.readers import path_exists
 
 
+#: Instants in JSON files with all their digits; Spark's default keeps milliseconds only.
+JSON_INSTANTS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 #: Records of one CSV file.
 CSV_RECORDS = 500_000
 VERSIONS = "number long, folder string, label string"
