@@ -151,7 +151,7 @@ TRANSACTION_BOOK = RuleBook(
 
 BALANCE_BOOK = RuleBook(
     entity=BALANCE,
-    lookups=(Lookup("account", "account_id", "account", "account_id"),),
+    lookups=(Lookup("account", "account_id", "account", "account_id", laid_out=True),),
     prepare=with_previous_closing,
     accepts=(
         f"account_found AND debit_total >= 0 AND credit_total >= 0 AND {BALANCE_EQUATION} "

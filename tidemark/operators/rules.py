@@ -36,7 +36,8 @@ class Lookup:
     """Resolve ``column`` in ``dimension``; adds ``<name>_found`` and any extra facts.
 
     Extra facts (name -> SQL aggregate over the dimension rows of one key) keep the joined side unique per key, so a
-    lookup can never multiply rows.
+    lookup can never multiply rows. ``laid_out`` says that rows come partitioned by the column, because the preparation of
+    the book did that; a join with all keys of the dimension then costs them no exchange.
     """
 
     name: str
@@ -44,6 +45,7 @@ class Lookup:
     dimension: str
     key: str
     facts: dict[str, str] = field(default_factory=dict)
+    laid_out: bool = False
 
 
 @dataclass(frozen=True)
@@ -63,16 +65,42 @@ def quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def attach(df: DataFrame, lookup: Lookup, dimension: DataFrame) -> DataFrame:
-    """Left-join the key facts of a dimension.
+Settle = Callable[[DataFrame, str], DataFrame]
 
-    No broadcast is forced: Spark broadcasts the key facts only while their measured size stays under its
-    threshold, and otherwise sort-merges with adaptive splitting of hot foreign keys.
+
+def notable_keys(df: DataFrame, lookup: Lookup, dimension: DataFrame) -> DataFrame:
+    """The foreign keys there is something to say about: those without a dimension row, and those with a fact.
+
+    Used keys are made distinct first, which combines on the map side, so only keys are shuffled, never whole rows.
+    """
+    known, found = f"{lookup.name}_known_key", f"{lookup.name}_found"
+    used = df.select(F.col(lookup.column).alias(known)).where(F.col(known).isNotNull()).distinct()
+    keys = dimension.select(F.col(lookup.key).alias("dimension_key"))
+    notable = used.join(keys, F.col(known) == F.col("dimension_key"), "left_anti").withColumn(found, F.lit(False))
+    if lookup.facts:
+        facts = [F.expr(f"{text} AS {name}") for name, text in lookup.facts.items()]
+        per_key = unique_by(dimension, lookup.key, known, F.lit(True).alias(found), *facts)
+        some = " OR ".join(f"{name} IS NOT NULL" for name in lookup.facts)
+        notable = notable.unionByName(per_key.where(some), allowMissingColumns=True)
+    return notable
+
+
+def attach(df: DataFrame, lookup: Lookup, dimension: DataFrame, settle: Settle | None = None) -> DataFrame:
+    """Add ``<name>_found`` and the facts of a foreign key by a left join with its notable keys.
+
+    No broadcast is forced. ``settle`` writes the notable keys first; Spark then knows their size before it plans the
+    join, and while few keys fail it needs no exchange of the wide rows. Otherwise it sort-merges with adaptive splitting
+    of hot keys.
     """
-    known = f"{lookup.name}_known_key"
-    facts = [F.expr(f"{text} AS {name}") for name, text in lookup.facts.items()]
-    per_key = unique_by(dimension, lookup.key, known, F.lit(True).alias(f"{lookup.name}_found"), *facts)
-    return df.join(per_key, F.expr(f"{lookup.column} = {known}"), "left").drop(known)
+    known, found = f"{lookup.name}_known_key", f"{lookup.name}_found"
+    if lookup.laid_out:
+        per_key = unique_by(dimension, lookup.key, known, F.lit(True).alias(found))
+        return df.join(per_key, F.expr(f"{lookup.column} = {known}"), "left").drop(known)
+    notable = notable_keys(df, lookup, dimension)
+    if settle is not None:
+        notable = settle(notable, f"keys-{lookup.name}")
+    joined = df.join(notable, F.expr(f"{lookup.column} = {known}"), "left").drop(known)
+    return joined.withColumn(found, F.expr(f"{lookup.column} IS NOT NULL AND coalesce({found}, TRUE)"))
 
 
 def evaluate(
@@ -80,15 +108,16 @@ def evaluate(
     book: RuleBook,
     dimensions: Mapping[str, DataFrame] | None = None,
     as_of: Column | None = None,
+    settle: Settle | None = None,
 ) -> DataFrame:
-    """Raw columns plus ``is_valid`` and ``failed_rules``.
+    """Raw columns plus ``is_valid`` and ``failed_rules``. ``settle`` is for the keys of lookups, see ``attach``.
 
     ``failed_rules`` is a bit mask, bit i standing for rule i of the book: eight bytes per row however many rules
     fail, computed and tested inside whole-stage code generation (array functions with lambdas are not).
     """
     known = raw if book.prepare is None else book.prepare(raw)
     for lookup in book.lookups:
-        known = attach(known, lookup, (dimensions or {})[lookup.dimension])
+        known = attach(known, lookup, (dimensions or {})[lookup.dimension], settle)
     resolved = [f"coalesce({k.name}_found, FALSE) AS {k.name}_found" for k in book.lookups]
     facts = [name for k in book.lookups for name in k.facts]
     extra = [c for c in known.columns if c not in raw.columns and c not in facts and not c.endswith("_found")]

@@ -83,7 +83,7 @@ class Layers:
     def evaluated(self, name: str) -> DataFrame:
         if name not in self._evaluated:
             dimensions = {p: self.core(p) for p in PARENTS[name]}
-            verdict = evaluate(self._stamped(name), BOOKS[name], dimensions, self.run.today())
+            verdict = evaluate(self._stamped(name), BOOKS[name], dimensions, self.run.today(), materialise)
             self._evaluated[name] = materialise(verdict, f"evaluated-{name}") if name in self.settle else verdict
         return self._evaluated[name]
 
@@ -150,7 +150,7 @@ class Migration:
         """Evaluate raw once, gate and write staging and quarantine, and publish core; returns the records rejected."""
         raw, book, spark = self.visible_raw(name), BOOKS[name], self.spark
         dimensions = {p: self.core[p] for p in PARENTS[name]}
-        verdict = evaluate(latest(raw) if self.newest_only else raw, book, dimensions, self.run.today())
+        verdict = evaluate(latest(raw) if self.newest_only else raw, book, dimensions, self.run.today(), materialise)
         replace_path(verdict, self.path("evaluated", name))
         evaluated = self.evaluated(name)
         counts = staging_gate(evaluated).first()
