@@ -184,13 +184,16 @@ class Archive:
         return self.name, self.records, self.size
 
 
-def trained_dictionary(pages: DataFrame, sample_pages: int, dictionary_bytes: int, payload_column: str) -> bytes | None:
-    """A dictionary of a bounded sample of pages, those of smallest hash among pages up to 64 KiB. Too few pages: none.
+def trained_dictionary(rows: DataFrame, sample_pages: int, dictionary_bytes: int) -> bytes | None:
+    """A dictionary of a bounded sample of pages, drawn by hash among pages up to 64 KiB. Too few pages: none.
 
-    It changes sizes only; what is read back is the same with any dictionary.
+    About twice as many pages as wanted pass the hash filter over all tasks, so what reaches the driver does not grow. The
+    dictionary changes sizes only; what is read back is the same with any.
     """
-    small = pages.where(F.octet_length(payload_column).between(1, 64 << 10))
-    rows = small.select(F.encode(payload_column, "UTF-8").alias("p")).orderBy(F.xxhash64(payload_column)).limit(sample_pages)
+    place = F.xxhash64("page_id", "payload")
+    thin = max(1, rows.count() // (2 * sample_pages))
+    small = rows.where(F.octet_length("payload").between(1, 64 << 10) & (F.pmod(place, F.lit(thin)) == 0))
+    rows = small.select(F.col("payload").alias("p")).orderBy(place).limit(sample_pages)
     samples = [record(0, "http://", bytes(r.p), None, "2000-01-01T00:00:00Z") for r in rows.collect()]
     try:
         return zstandard.train_dictionary(dictionary_bytes, samples).as_bytes() if len(samples) >= 8 else None
@@ -234,7 +237,7 @@ def write_archives(
     later = later.groupBy("place", "content").agg(F.first("first_id").alias("first_id"))
     dealt = rows.join(later, ["place", "content"], "left").select("page_id", "place", "url", "payload", "content", "first_id")
     dealt = dealt.sortWithinPartitions("place", "content").select("page_id", "url", "payload", "first_id")
-    dictionary = trained_dictionary(pages, sample_pages, dictionary_bytes, payload_column)
+    dictionary = trained_dictionary(rows, sample_pages, dictionary_bytes)
     _make(folder)
 
     def run(batches):
