@@ -21,7 +21,7 @@ from tidemark.llm.token_files import read_token_files, with_crc32, write_token_f
 
 BYTES, WORDS, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
 ATOMS = [
-    "a", "the", "The", "WORD", "end.", "so,", "what?!", "...", "Zürich", "tion", " ", "  ", "\n", "\t", "\r\n", " ", " ", "\u0085", "\x1c", "▁", "é", "é", "́",
+    "a", "the", "The", "WORD", "end.", "so,", "what?!", "...", "Zürich", "où,", "éa\u0301", "große.", "ñandú", "ǅ", "ª", "²", "tion", " ", "  ", "\n", "\t", "\r\n", " ", " ", "\u0085", "\x1c", "▁", "é", "é", "́",
     "日本", "😀", "ﬁ", "Σ", "İ", "'s", "'LL", "123", "!!", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "</s>", "<unk>", "<0x0A>", "\x00",
 ]
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -22,9 +23,7 @@ BATCH_BYTES = 1 << 20
 #: Segments that begin with their white space, and words alone. White space here: the six ASCII characters.
 SPACE_LED = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+$")
 #: Segments whose words are plain to see: a space or none, letters, punctuation.
-PLAIN = re.compile(r"( ?)([A-Za-z]+)([.,;:!?]*)")
-#: How byte-level tokenizers write a space.
-SPACE_CHARACTER = "Ġ"
+PLAIN = re.compile(r"( ?)([^\W\d_]+)([.,;:!?]*)")
 #: White space to regular expressions, but not to the patterns above; next to it no boundary is taken for safe.
 OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
@@ -58,6 +57,19 @@ class Remembered:
         return young | long if long else young
 
 
+@lru_cache(maxsize=1)
+def _byte_table() -> list[str]:
+    """Byte-level tokenizers write a visible Latin-1 byte as itself, the others as the characters from 256 on, in order."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b if b in visible else next(hidden)) for b in range(256)]
+
+
+def byte_characters(text: str) -> str:
+    table = _byte_table()
+    return "".join([table[b] for b in text.encode()])
+
+
 def batches(segments: list[bytes]) -> Iterator[list[bytes]]:
     """Runs of segments of about BATCH_BYTES; a longer segment comes alone."""
     batch, size = [], 0
@@ -126,15 +138,17 @@ class Tokens:
         return [self.result(ids) for ids in found]
 
     def _plain(self, text: str) -> list[int] | None:
-        """Ids of ASCII letters with punctuation behind them, which a cut tokenizer takes as two words; None for others.
+        """Ids of letters with punctuation behind them, which a cut tokenizer takes as two words; None for others.
 
-        Its normaliser leaves lower-case ASCII letters as they are, and its pre-tokenizer writes a leading space as one
-        other character and changes nothing else here.
+        Letters that are lower-case and composed pass its normaliser as they are, and its pre-tokenizer only writes their
+        bytes as characters.
         """
         match = PLAIN.fullmatch(text)
-        if match is None or self.rule == "none" or self.rule == "words" and (match[1] or self.lowers and not text.islower()):
+        if match is None or self.rule == "none" or not match[2].isalpha():
+            return None
+        if self.rule == "words" and (match[1] or not text.islower() or not unicodedata.is_normalized("NFC", text)):
             return None
-        words = [SPACE_CHARACTER * len(match[1]) + match[2], match[3]]
+        words = [byte_characters(match[1] + match[2]), match[3]]
         return [token.id for word in words if word for token in self.library.model.tokenize(word)]
 
     def cut(self, text: bytes) -> list[bytes]:
