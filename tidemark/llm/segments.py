@@ -22,8 +22,8 @@ BATCH_BYTES = 1 << 20
 
 #: Segments that begin with their white space, and words alone. White space here: the six ASCII characters.
 SPACE_LED = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+$")
-#: Segments whose words are plain to see: a space or none, letters, punctuation.
-PLAIN = re.compile(r"( ?)([^\W\d_]+)([.,;:!?]*)")
+#: Segments whose words are plain to see: a space or none, Latin letters, punctuation.
+PLAIN = re.compile(r"( ?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
 #: White space to regular expressions, but not to the patterns above; next to it no boundary is taken for safe.
 OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
@@ -144,7 +144,7 @@ class Tokens:
         bytes as characters.
         """
         match = PLAIN.fullmatch(text)
-        if match is None or self.rule == "none" or not match[2].isalpha():
+        if match is None or self.rule == "none":
             return None
         if self.rule == "words" and (match[1] or not text.islower() or not unicodedata.is_normalized("NFC", text)):
             return None
