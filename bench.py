@@ -10,8 +10,10 @@ import json
 import os
 import time
 
-from tidemark.checks.queries import QUERIES
-from tidemark.session import local_session
+from tidemark.checks.queries import QUERIES, RUN
+from tidemark.plans.migration import migrate
+from tidemark.session import local_session, scratch_path
+from tidemark.sources import bank_views
 
 HEADLINE = (
     "pr1_lineage_transaction",
@@ -49,6 +51,9 @@ def main() -> None:
         started = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+    started = time.perf_counter()
+    migrate(bank_views.bank(spark, folder).settled("transaction", "daily_balance"), RUN, scratch_path(spark, "migration"))
+    seconds["migrate"] = round(time.perf_counter() - started, 3)
     spark.stop()
     print(
         json.dumps(
