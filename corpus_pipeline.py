@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mix
+from tidemark.llm.near import keep_one_alike
 from tidemark.llm.pieces import encode_pieces
 from tidemark.llm.quality import quality_rules
-from tidemark.llm.simhash import keep_one_of_each
 from tidemark.session import configure, materialise
 
 
@@ -32,8 +32,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that close fingerprints connect, the one with the smallest doc_id stays."""
-    return keep_one_of_each(docs)
+    """Of documents connected by five-word shingles alike to 0.8 or more, the one with the smallest doc_id stays."""
+    return keep_one_alike(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -168,7 +168,11 @@ def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
     Of several rows with that id the text with the smallest hash stays, and of equal rows a single one.
     """
-    found = near_duplicates(docs, id_column, text_column, **how)
+    return one_of_each(docs, near_duplicates(docs, id_column, text_column, **how), id_column, text_column)
+
+
+def one_of_each(docs: DataFrame, found: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """The documents that stay, by the doc_id, text_hash and component found for each."""
     place = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("place")
     chosen = found.select("component", F.coalesce("doc_id", F.lit(LAST)).alias("place"), "text_hash")
     chosen = chosen.groupBy("component").agg(F.min(F.struct("place", "text_hash")).alias("one")).select("one.*")
