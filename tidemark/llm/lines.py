@@ -1,7 +1,8 @@
 """Line dedup over overlapping windows: lines inside a later occurrence of a repeated three-line window are removed.
 
 Lines of a document that hold a word are numbered; every three consecutive ones are hashed to 128 bits. The smallest
-place (doc_id, line number) of each hash is its first occurrence, all other windows of that hash cover lines to remove.
+place (doc_id, row, line number) of each hash is its first occurrence, all other windows of that hash cover lines to
+remove. Rows are numbered in a table that is written first, so rows of one id and text stay apart in every retry.
 Only hashes and places are shuffled for that; a hash in a third of all documents meets its first place in a join whose
 hot key adaptive execution can split, after a grouping that combines on the map side.
 """
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import with_hash
+from tidemark.session import materialise
 
 LAST = (1 << 63) - 1  # stands for a null id: after every other
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -56,27 +58,28 @@ def dedup_lines(
 
     Windows are judged on the input; a line in any later occurrence goes, also one that a first occurrence shares. Lines
     without a word take no part and stay. Fewer than ``width`` lines: untouched. Null text: null kept text, no lines. Null
-    ids are one place after all others; rows that repeat an id share its places, so equal lines at an equal place are
-    all first. An empty table gives none. A column named like a result is replaced.
+    ids come after all others. Rows that share an id, or have none, follow each other by the hash of their texts; of equal
+    texts one row is the first. An empty table gives none. A column named like a result is replaced.
     """
     names = [f"{prefix}{x}" for x in ("text", "lines", "removed")]
-    place = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST))
-    key = [place.alias("place"), F.xxhash64(text_column).alias("text_hash")]
-    found = docs.select(*key, F.explode(windows_of(F.col(text_column), width)).alias("w"))
-    found = found.select("place", "text_hash", "w.at", "w.lines", "w.hash")
+    place = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("place")
+    stay = [c for c in docs.columns if c not in names]
+    number = F.monotonically_increasing_id().alias("number")
+    rows = docs.select(F.struct(*stay).alias("row"), place, F.xxhash64(text_column).alias("text_hash"), number)
+    rows = materialise(rows, "numbered")
+    where = F.struct("place", "text_hash", "number", "at")
+    found = rows.select("place", "text_hash", "number", F.explode(windows_of(F.col("row")[text_column], width)).alias("w"))
+    found = found.select("place", "text_hash", "number", "w.at", "w.lines", "w.hash")
     first = (
         found.groupBy("hash", with_hash("hash"))
-        .agg(F.min(F.struct("place", "at")).alias("first"), F.count("*").alias("n"))
+        .agg(F.min(where).alias("first"), F.count("*").alias("n"))
         .where("n > 1")
         .select("hash", "first")
     )
-    later = found.join(first, "hash").where(F.struct("place", "at") > F.col("first"))
-    covered = later.groupBy("place", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("lines")))).alias("gone"))
-    covered = covered.select(F.col("place").alias("of_place"), F.col("text_hash").alias("of_hash"), "gone")
+    later = found.join(first, "hash").where(where > F.col("first"))
+    covered = later.groupBy("number").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("lines")))).alias("gone"))
 
-    stay = [c for c in docs.columns if c not in names]
-    rows = docs.select(F.struct(*stay).alias("row"), *key)
-    joined = rows.join(covered, (F.col("place") == F.col("of_place")) & (F.col("text_hash") == F.col("of_hash")), "left")
+    joined = rows.select("row", "number").join(covered, "number", "left")
     text = F.col("row")[text_column]
     lines = F.size(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(HAS_WORD)))
     return joined.select(
