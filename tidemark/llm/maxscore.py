@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
+
 #: Candidates whose postings are traversed together; the k-th best score is carried from one part to the next.
 PART = 2048
 FOUND = "query_id long, vec_id long, score long"
@@ -112,17 +114,15 @@ def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def quantised(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = 1024) -> DataFrame:
-    """(vec_id, vector): floor(scale * x) of every component; one row for an id.
+    """(vec_id, vector): floor(scale * x) of every component, row by row.
 
-    Rows with a null id or vector, or a null or non-finite component, are left out. Of rows that repeat an id the
-    smallest vector stays.
+    Rows with a null id or vector, or a null or non-finite component, are left out.
     """
     x = F.col(vector_column)
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     numbers = F.transform(x, lambda v: F.floor(v.cast("double") * scale))
     rows = vectors.where(F.col(id_column).isNotNull() & x.isNotNull() & finite)
-    rows = rows.select(F.col(id_column).cast("long").alias("vec_id"), numbers.alias("vector"))
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return rows.select(F.col(id_column).cast("long").alias("vec_id"), numbers.alias("vector"))
 
 
 def top_k(
@@ -130,17 +130,20 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id and score: the k best candidates by inner product for every query, exactly.
 
-    Both sides are (vec_id, vector) with long components, ids unique; a query's own id is no candidate of it. Vectors of
+    Both sides are (vec_id, vector) with long components; a query's own id is no candidate of it. Every row counts: rows
+    that repeat an id are candidates one by one, and query rows of one id share one list of k, the best of all their
+    pairs with candidate rows. Rows are dealt by a number that is written first. Vectors of
     different lengths count missing components as zero. Ties go to the smaller id. Fewer candidates than k: all of them.
     Empty sides give none. Every query meets every candidate once, in shards and blocks of bounded size: candidates
     travel once per block of queries, queries once per shard.
     """
-    sides = [candidates.select("vec_id", "vector"), queries.select("vec_id", "vector")]
+    number = F.monotonically_increasing_id().alias("number")
+    sides = [materialise(s.select("vec_id", "vector", number), "numbered") for s in (candidates, queries)]
     shards, blocks = (max(1, math.ceil(s.count() / n)) for s, n in zip(sides, (shard_rows, block_queries), strict=True))
 
     def dealt(rows: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
         every = F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other)
-        return rows.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int").alias(own), every)
+        return rows.select("*", F.pmod(F.xxhash64("number"), F.lit(n)).cast("int").alias(own), every)
 
     left = dealt(sides[1], "block", blocks, "shard", shards).groupBy("block", "shard")
     right = dealt(sides[0], "shard", shards, "block", blocks).groupBy("block", "shard")
