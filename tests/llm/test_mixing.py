@@ -9,7 +9,7 @@ import llm_cases as cases
 import public_tokenizers
 import pytest
 import sentencepiece
-from test_links import brute_near
+from test_near import brute_kept_rows
 from test_texts import brute_lines, brute_measures
 
 from tidemark.llm.mixing import mix, plan_mix
@@ -103,12 +103,7 @@ def brute_pipeline(rows):
             text = verdict[-1][0].as_py()
             cleaned.append((d, text, lang, source, len(text)))
     lined = [(d, kept, lang, source, len(kept)) for (d, _, lang, source, _), (_, kept, _, _) in zip(cleaned, brute_lines(cleaned), strict=True) if cases.words(kept)]
-    near = brute_near(lined)
-    kept, seen = [], set()
-    for row, (_, _, component) in sorted(zip(lined, near, strict=True), key=lambda x: x[0][1]):
-        if row[0] == component and component not in seen:
-            seen.add(component)
-            kept.append(row)
+    kept = brute_kept_rows(lined)
     _, _, _, _, copies = brute_copies(kept)
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     out = Counter()
@@ -132,10 +127,8 @@ def by_stages(spark, docs, folder):
 
 
 def test_pipeline_over_odd_documents(spark, tmp_path):
-    rows = [r for r in cases.rows() if r[0] is not None and r != (4, *r[1:])]  # a null id never stands for one document
-    docs = spark.createDataFrame(rows, cases.SCHEMA)
-    found = by_stages(spark, docs, tmp_path)
-    assert found == brute_pipeline(rows) and found
+    found = by_stages(spark, cases.documents(spark, clashing=False), tmp_path)
+    assert found == brute_pipeline(cases.rows()) and found
 
 
 def test_pipeline_over_nothing_and_odd_columns(spark, tmp_path):

@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import segments
+from tidemark.llm import memory, segments
 from tidemark.llm.pieces import Normaliser, decode_pieces, encode_pieces, pieces
 from tidemark.llm.segments import Remembered, counting, cut_rule, identifying
 from tidemark.llm.token_counts import token_counts
@@ -51,17 +51,36 @@ def test_unknown_descriptions_are_not_cut():
 
 
 def test_memory_is_bounded(monkeypatch):
-    monkeypatch.setattr(segments, "REMEMBERED", 6)
+    monkeypatch.setattr(segments, "REMEMBERED_BYTES", 6 * segments.ENTRY_BYTES)
     asked_for = []
     own = Remembered(lambda texts: asked_for.extend(texts) or [len(t) for t in texts])
     for i in range(30):
         asked = [[b"often"], [b"%d" % j for j in range(i, i + 4)], [b"x" * 300]]
         found = own.of(asked)
         assert all(found[s] == len(s) for text in asked for s in text)
-        assert len(own.young) <= 6 and len(own.old) <= 6 and b"x" * 300 not in own.young
+        assert len(own.young) <= 11 and len(own.old) <= 11 and b"x" * 300 not in own.young
     assert asked_for.count("often") == 1 and asked_for.count("x" * 300) == 30
 
 
+def test_packed_results_count_with_their_bytes():
+    own = identifying(WORDS)
+    own.remembered.forget()
+    own([b"some words and others"])
+    assert own.remembered.bytes > 4 * segments.ENTRY_BYTES
+    memory.begin(WORDS)
+    assert own.remembered.young  # its own tasks go on with it
+    memory.begin("other")
+    assert not own.remembered.young and not own.remembered.old and own.remembered.bytes == 0
+
+
+@pytest.mark.parametrize("odd", ["\u00a0", "▁", "\x1c", "\u3000"])
+def test_one_odd_space_leaves_the_other_boundaries(odd):
+    text = " ".join(f"word{i}" for i in range(5000)) + odd + " " + odd + " ".join(f"more{i}" for i in range(5000))
+    cut = identifying(BYTES).cut(text.encode())
+    assert b"".join(cut) == text.encode() and len(cut) > 9_900
+    assert len(pieces(PIECES).cut(text.encode())) > 9_900
+
+
 def test_counts(spark):
     counted = token_counts(cases.documents(spark), BYTES)
     assert set(counted.columns) >= set(cases.CLASHING)

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from tidemark.llm.components import connected, with_hash
 from tidemark.llm.rows import with_text_columns
 from tidemark.llm.simhash import LAST, close_links, fingerprint, one_of_each
-from tidemark.llm.texts import WORD_BASE, mixed, rolling, split_words, window_hashes, word_hashes
+from tidemark.llm.texts import mixed, split_words, window_hashes, word_hashes
 from tidemark.session import materialise
 
 #: MinHash: bands and the minima in each.
@@ -45,7 +45,7 @@ def shingle_sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
     for a, b in zip(words.first, words.first[1:], strict=False):
         own = hashes[a:b]
         if 0 < len(own) < width:
-            yield rolling(own, np.array([0]), np.array([len(own)]), WORD_BASE)
+            yield window_hashes(own, len(own))
         else:
             yield np.unique(window_hashes(own, width))
 

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark.llm import memory
 from tidemark.llm.rows import with_text_columns
 from tidemark.llm.segments import Remembered
 
@@ -159,7 +160,7 @@ class Pieces:
         bpe = model.trainer_spec.model_type == model.trainer_spec.BPE and not model.trainer_spec.treat_whitespace_as_suffix
         inside = any(mark in p.piece.lstrip(mark) for p in model.pieces)
         self.separable = bpe and self.normalise.plain and not inside and self.mark_id != self.unknown and not any(p.type == kinds.UNUSED for p in model.pieces)
-        self.remembered = Remembered(self._encode)
+        self.owner, self.remembered = path, Remembered(self._encode)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         """Ids of segments, packed; the library puts a mark in front, so the empty segment is the mark alone."""
@@ -167,17 +168,19 @@ class Pieces:
         return [np.array(ids if text else [self.mark_id], np.int32).tobytes() for text, ids in zip(texts, found, strict=True)]
 
     def cut(self, text: bytes) -> list[bytes] | None:
-        """Segments without their first mark; None if the text has to be encoded whole."""
-        if not self.separable or MARK in text:
+        """Segments without their first mark; None if the text has to be encoded whole. A mark in a text is a space."""
+        if not self.separable:
             return None
         if not text:
             return []
+        text = text.replace(MARK, b" ")
         segments = text.split(b" ")
         if b"" in segments:
             segments = [s[1:] for s in SPACE_LED.findall(b" " + text)]
         return segments
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        memory.keep(self.owner, self.remembered.forget)
         cut = [self.cut(t) for t in texts]
         found = self.remembered.of([segments for segments in cut if segments])
         whole = iter(self.library.encode([t.decode() for t, c in zip(texts, cut, strict=True) if c is None], num_threads=1))
@@ -230,7 +233,7 @@ def encode_pieces(docs: DataFrame, model: str, text_column: str = "text") -> Dat
         decoded = [own.library.decode(i.tolist()) if len(i) else "" for i in ids]
         return [integer_lists(ids), integer_lists(offsets), pa.array(decoded, pa.string())]
 
-    return with_text_columns(docs, text_column, ADDED, compute)
+    return with_text_columns(docs, text_column, ADDED, compute, owner=model)
 
 
 def decode_pieces(rows: DataFrame, model: str, ids_column: str = "piece_ids", out: str = "decoded") -> DataFrame:

@@ -13,8 +13,10 @@ import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-#: Distinct segments that a worker remembers in each of two generations.
-REMEMBERED = 700_000
+from tidemark.llm import memory
+
+#: Bytes that remembered segments take in each of two generations, and what one takes besides its own bytes.
+REMEMBERED_BYTES, ENTRY_BYTES = 48 << 20, 160
 #: Longer segments are encoded each time, so that memory does not follow the longest.
 LONG_SEGMENT = 256
 #: Bytes of distinct segments given to the library at a time.
@@ -24,38 +26,50 @@ BATCH_BYTES = 1 << 20
 SPACE_LED = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+$")
 #: Segments whose words are plain to see: a space or none, Latin letters, punctuation.
 PLAIN = re.compile(r"( ?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
-#: White space to regular expressions, but not to the patterns above; next to it no boundary is taken for safe.
+#: White space to regular expressions, but not to the patterns above; a boundary that touches it is not taken for safe.
 OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
 class Remembered:
     """Results by segment: ``encode`` takes distinct segments as str and returns a result for each.
 
-    When the young generation is full it becomes the old one, so segments that keep coming are not encoded again.
+    When the young generation is full it becomes the old one, so segments that keep coming are not encoded again. Results
+    are lengths or packed ids.
     """
 
     def __init__(self, encode: Callable[[list[str]], list]):
-        self.encode, self.young, self.old = encode, {}, {}
+        self.encode = encode
+        self.forget()
+
+    def forget(self) -> None:
+        self.young, self.old, self.bytes = {}, {}, 0
 
     def of(self, segments: list[list[bytes]]) -> dict[bytes, object]:
         """A mapping that has the result of every given segment."""
         asked = {s for text in segments for s in text}
-        if len(self.young) + len(asked) > REMEMBERED:
-            self.young, self.old = {}, self.young
+        if self.bytes > REMEMBERED_BYTES:
+            self.young, self.old, self.bytes = {}, self.young, 0
         young, old = self.young, self.old
         new, long = [], {}
         for s in asked:
             if s in young:
                 continue
             if s in old:
-                young[s] = old[s]
+                self._keep(s, old[s])
             else:
                 new.append(s)
         for batch in batches(new):
             for s, result in zip(batch, self.encode([s.decode() for s in batch]), strict=True):
-                (young if len(s) <= LONG_SEGMENT else long)[s] = result
+                if len(s) > LONG_SEGMENT:
+                    long[s] = result
+                else:
+                    self._keep(s, result)
         return young | long if long else young
 
+    def _keep(self, segment: bytes, result: object) -> None:
+        self.young[segment] = result
+        self.bytes += ENTRY_BYTES + len(segment) + (len(result) if isinstance(result, bytes) else 0)
+
 
 @lru_cache(maxsize=1)
 def _byte_table() -> list[str]:
@@ -109,12 +123,32 @@ def cut_rule(description: dict) -> str:
     return "none"
 
 
+def joined_beside(segments: list[bytes], unsafe: re.Pattern) -> list[bytes]:
+    """The segments without the boundaries that have an unsafe character on either side; all others stay.
+
+    A segment begins with its ASCII white space, so a character is beside a boundary if it ends a segment or follows the
+    white space that begins one.
+    """
+    out: list[list[bytes]] = []
+    glued = False
+    for segment in segments:
+        found = [m.span() for m in unsafe.finditer(segment)]
+        led = len(segment) - len(segment.lstrip(b" \t\n\v\f\r"))
+        if out and (glued or any(a == led for a, _ in found)):
+            out[-1].append(segment)
+        else:
+            out.append([segment])
+        glued = any(b == len(segment) for _, b in found)
+    return [b"".join(parts) for parts in out]
+
+
 class Tokens:
     """A tokenizer of the tokenizers library; without begin, end or other added tokens, truncation or padding."""
 
     def __init__(self, path: str, result: Callable):
         from tokenizers import Tokenizer
 
+        self.owner = path
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
         with open(path, encoding="utf-8") as file:
             description = json.load(file)
@@ -155,12 +189,13 @@ class Tokens:
         if self.rule == "words":
             # the tokenizer lowers letters itself, behind special strings; lowering first makes fewer distinct segments
             return (text.lower() if self.lowers and not self.special.search(text) else text).split()
-        if self.rule == "spaces" and not OTHER_SPACE.search(text):
-            return SPACE_LED.findall(text)
+        if self.rule == "spaces":
+            return joined_beside(SPACE_LED.findall(text), OTHER_SPACE) if OTHER_SPACE.search(text) else SPACE_LED.findall(text)
         return [text] if text else []
 
     def __call__(self, texts: list[bytes]) -> list[list]:
         """For every text, the results of its segments in turn."""
+        memory.keep(self.owner, self.remembered.forget)
         cut = [self.cut(t) for t in texts]
         found = self.remembered.of(cut)
         return [[found[s] for s in segments] for segments in cut]

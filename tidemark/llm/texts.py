@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 #: A word of a text: every run of bytes other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -67,53 +65,60 @@ def _byte_codes(seed: int) -> np.ndarray:
     return mixed((np.arange(256, dtype=np.uint64) + np.uint64(seed + 1)) * np.uint64(0x9E3779B97F4A7C15))
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+#: Values hashed at a time. The tables of powers have this length, whatever the length of a text or word.
+PIECE = 1 << 17
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 ... base**(n-1) modulo 2**64; lengths are rounded up, so that few tables are kept."""
-    return _powers(base, 1 << max(16, (n - 1).bit_length()))[:n]
+@lru_cache(maxsize=4)
+def powers(base: int) -> np.ndarray:
+    """base**0 ... base**PIECE modulo 2**64."""
+    out = np.full(PIECE + 1, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
 
 #: Odd multipliers of the polynomial hashes; odd numbers have an inverse modulo 2**64.
 BYTE_BASE, WORD_BASE = 0x9E6C63D0876A9A63, 0xD1342543DE82EF95
 
 
-def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Rabin-Karp: the polynomial hash of values[start:end] for every pair, from one running sum modulo 2**64."""
+def _polynomials(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Sums of values[start + i] * base**i over start:end, modulo 2**64; at most PIECE values."""
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(base, len(values)), out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * powers(pow(base, -1, 1 << 64), len(values) + 1)[starts])
+    np.cumsum(values * powers(base)[: len(values)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * powers(pow(base, -1, 1 << 64))[starts]
 
 
-def word_hashes(words: Words, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of every word's bytes. Bytes are taken in pieces of words, so memory follows the piece."""
-    out, at, n = np.empty(len(words.starts), np.uint64), 0, len(words.starts)
-    codes = _byte_codes(seed)
+def rolling(values: Callable[[int, int], np.ndarray], starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Rabin-Karp: the polynomial hash of the values from start to end for every pair, both ascending.
+
+    ``values(a, b)`` gives the values of a stretch. They are taken in pieces of bounded length, and a longer stretch than
+    that is summed piece by piece, so memory follows neither the longest word nor the longest text.
+    """
+    out, at, n = np.empty(len(starts), np.uint64), 0, len(starts)
     while at < n:
-        begin = words.starts[at]
-        stop = max(at + 1, int(np.searchsorted(words.ends, begin + PORTION_BYTES, side="right")))
-        piece = codes[words.data[begin : words.ends[stop - 1]]]
-        out[at:stop] = rolling(piece, words.starts[at:stop] - begin, words.ends[at:stop] - begin, BYTE_BASE)
+        begin = int(starts[at])
+        stop = int(np.searchsorted(ends, begin + PIECE, side="right"))
+        if stop > at:
+            piece = values(begin, int(ends[stop - 1]))
+            out[at:stop] = _polynomials(piece, starts[at:stop] - begin, ends[at:stop] - begin, base)
+        else:
+            stop, total, factor = at + 1, 0, 1
+            for a in range(begin, int(ends[at]), PIECE):
+                piece = values(a, min(a + PIECE, int(ends[at])))
+                total += factor * int(_polynomials(piece, np.zeros(1, np.int64), np.array([len(piece)]), base)[0])
+                factor = factor * pow(base, PIECE, 1 << 64) % (1 << 64)
+            out[at] = total % (1 << 64)
         at = stop
-    return out
+    return mixed(out)
 
 
-def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Rabin-Karp hashes of all windows of ``width`` consecutive words; entry i begins at word i."""
-    n = max(0, len(hashes) - width + 1)
-    at = np.arange(n)
-    return rolling(hashes, at, at + width, WORD_BASE) if n else np.empty(0, np.uint64)
-
-
-def null_or(name: str, key: Column, value: Column) -> Column:
-    return F.when(key.isNotNull(), value).alias(name)
+def word_hashes(words: Words, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of every word's bytes."""
+    codes = _byte_codes(seed)
+    return rolling(lambda a, b: codes[words.data[a:b]], words.starts, words.ends, BYTE_BASE)
 
 
-def replaced(df: DataFrame, **columns: Column) -> DataFrame:
-    """Set columns under their names; a column of that name is replaced where it stands."""
-    return df.withColumns(columns)
+def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Rabin-Karp hashes of all windows of ``width`` consecutive words; entry i begins at word i."""
+    at = np.arange(max(0, len(hashes) - width + 1))
+    return rolling(lambda a, b: hashes[a:b], at, at + width, WORD_BASE)

@@ -28,4 +28,4 @@ def token_counts(docs: DataFrame, tokenizer: str, text_column: str = "text") ->
         counts = [sum(lengths) for lengths in counting(tokenizer)(texts)]
         return [pa.array([len(t) for t in texts], pa.int64()), pa.array(counts, pa.int64())]
 
-    return with_text_columns(docs, text_column, ADDED, compute)
+    return with_text_columns(docs, text_column, ADDED, compute, owner=tokenizer)

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import memory
 from tidemark.llm.pieces import integer_lists
 from tidemark.llm.segments import identifying
 from tidemark.llm.texts import encoded, portions
@@ -51,6 +52,7 @@ def write_token_files(
     dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions(*order)
 
     def run(batches):
+        memory.begin(tokenizer)
         so_far = 0
         for part in portions(batches, "text"):
             found = identifying(tokenizer)(encoded(part.column("text")))
