@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A skewed FK join feeds further operators; split it even if that adds an exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Batches that go to Python end after so many bytes, so long texts do not add up to the default of 64 MB.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
