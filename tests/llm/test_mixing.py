@@ -148,4 +148,4 @@ def test_pipeline_over_the_test_table(spark):
 
 def test_registered():
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES}
-    assert numbers == set(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert numbers == set(range(1, 14)) and set(ORACLES) <= set(QUERIES)

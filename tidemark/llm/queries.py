@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.lines import dedup_lines
+from tidemark.llm.lines import bound, dedup_lines
 from tidemark.llm.maxscore import quantised, top_k
 from tidemark.llm.mixing import plan_mix
+from tidemark.llm.periods import periodic_runs
 from tidemark.llm.pieces import encode_pieces
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.simhash import near_duplicates
@@ -237,3 +238,45 @@ def _archives(spark, folder):
     return records.select(
         page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of("refers_to").alias("refers_to")
     )
+
+
+def with_planted_runs(text: Column, doc_id: Column) -> Column:
+    """The text of every tenth document, by the crc32 of its id, with words from some place on repeating a stretch of it."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        facts = F.struct(words.alias("words"), n.alias("n"), a.alias("a"), (1 + F.floor((n - a) / (3 + g % 8))).alias("p"))
+
+        def build(x: Column) -> Column:
+            taken = F.transform(
+                F.sequence(F.lit(0).cast("long"), x["n"] - 1),
+                lambda i: F.get(x["words"], F.when(i < x["a"], i).otherwise(x["a"] + (i - x["a"]) % x["p"]).cast("int")),
+            )
+            return F.array_join(taken, " ")
+
+        return bound(facts, build)
+
+    chosen = (h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]")
+    return F.when(chosen, bound(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), repeated)).otherwise(text)
+
+
+@query("op11_periodic_runs")
+def _periodic_runs(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = periodic_runs(docs.select("doc_id", with_planted_runs(F.col("text"), F.col("doc_id")).alias("text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    found = found.select("doc_id", "runs", "collapsed_text", best.alias("best"), F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").alias("lines"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
