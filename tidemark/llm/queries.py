@@ -15,6 +15,7 @@ from tidemark.llm.periods import periodic_runs
 from tidemark.llm.pieces import encode_pieces
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.spelling import spelling_variants
 from tidemark.llm.substrings import dedup_substrings
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.token_files import read_token_files, with_crc32, write_token_files
@@ -280,3 +281,43 @@ def _periodic_runs(spark, folder):
         F.sha2("lines", 256).alias("runs_sha256"),
         F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
     )
+
+
+def counted_words(docs: DataFrame, least_letters: int = 6, least_times: int = 5) -> DataFrame:
+    """(word, n): runs of letters of all texts, A-Z lower-cased; of some, chosen by document and run, a letter is left out."""
+    upper = "".join(map(chr, range(65, 91)))
+    runs = F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z\u00C0-\u00FF]{%d,}" % least_letters), F.lit(0)))
+    runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), runs.alias("run"))
+    low = runs.select("id", F.translate("run", upper, upper.lower()).alias("run"))
+    h = F.crc32(F.concat("id", F.lit(":"), "run"))
+    at = (h % F.length("run")).cast("int")
+    word = F.when(h % 199 == 0, F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))).otherwise(F.col("run"))
+    words = low.select(word.alias("word")).where(F.length("word") >= least_letters)
+    return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_times)
+
+
+SPELLING_SQL = r"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce(range(8), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) ORDER BY i) AS t
+                       FROM (SELECT unnest(range(256)) AS i)),
+o AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)),
+e AS (SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS x FROM o WHERE length(run) >= 6 GROUP BY id, run),
+h AS (SELECT run, n, xor(4294967295, list_reduce(list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT),
+             lambda a, b: xor(a >> 8, crc.t[(xor(a, b) & 255) + 1]), 4294967295)) AS h FROM e, crc),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM h)
+      WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+x AS (SELECT word, n, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS cut FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+s AS (SELECT DISTINCT x.word, x.n, w.word AS other, w.n AS other_n FROM x JOIN w ON w.word = x.cut),
+p AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM x a JOIN x b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+      UNION ALL SELECT * FROM s UNION ALL SELECT other, other_n, word, n FROM s),
+k AS (SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, other_n, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS rank FROM p),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form,
+             CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n FROM w LEFT JOIN k ON k.word = w.word AND rank = 1),
+r AS (SELECT word, word AS root, 0 AS step FROM f UNION ALL SELECT r.word, f.form, step + 1 FROM r JOIN f ON f.word = r.root WHERE f.form IS NOT NULL)
+SELECT f.word, form, (SELECT arg_max(root, step) FROM r WHERE r.word = f.word) AS root, n, n_near, form_n FROM f
+"""
+
+
+@query("op13_spelling_variants", SPELLING_SQL)
+def _spelling(spark, folder):
+    return spelling_variants(counted_words(table(spark, folder, "documents")))
