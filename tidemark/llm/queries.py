@@ -14,6 +14,7 @@ from tidemark.llm.mixing import plan_mix
 from tidemark.llm.periods import periodic_runs
 from tidemark.llm.pieces import encode_pieces
 from tidemark.llm.quality import quality_rules
+from tidemark.llm.secrets import secret_scan
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.spelling import spelling_variants
 from tidemark.llm.substrings import dedup_substrings
@@ -321,3 +322,21 @@ SELECT f.word, form, (SELECT arg_max(root, step) FROM r WHERE r.word = f.word) A
 @query("op13_spelling_variants", SPELLING_SQL)
 def _spelling(spark, folder):
     return spelling_variants(counted_words(table(spark, folder, "documents")))
+
+
+@query("op12_secret_scan")
+def _secrets(spark, folder):
+    found = secret_scan(table(spark, folder, "documents").select("doc_id", "text"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["stop"].cast("string"))), ",")
+
+    def of(*kinds: str) -> Column:
+        return F.filter("secrets", lambda x: x["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(joined(of("assign", "access", "hex")), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
