@@ -48,9 +48,19 @@ class Ledgers:
         return first_per_key(self.read("migration_batch"), ["batch_id"], *newest)
 
     def positions(self) -> DataFrame:
-        """How far each source table has been extracted, leaving out batches that were rolled back."""
-        kept = without(self.read("source_extract_control"), "last_successful_batch_id", self.rolled_back())
-        return first_per_key(kept, ["source_table"], F.col("updated_at").desc())
+        """How far each source table has been extracted, as far as what was extracted can still be seen.
+
+        A rollback hides what lies between the position before the batch and its own, so every position that stood at that
+        time and is not older than the batch's is void: the next extract begins where the batch began. Rows that later
+        batches hold are then extracted again and count with their newest version.
+        """
+        stored = self.read("source_extract_control").where(F.col("last_watermark_ts").isNotNull())
+        rolled = self.read("rolled_back_batch").select("batch_id", "rolled_back_at")
+        hidden = stored.join(rolled, F.col("last_successful_batch_id") == F.col("batch_id")).select(
+            F.col("source_table").alias("hidden_table"), F.col("updated_at").alias("hidden_from"), "rolled_back_at"
+        )
+        void = (F.col("source_table") == F.col("hidden_table")) & F.col("updated_at").between(F.col("hidden_from"), F.col("rolled_back_at"))
+        return first_per_key(stored.join(hidden, void, "left_anti"), ["source_table"], F.col("updated_at").desc())
 
     def finished(self, batch_id: str) -> set[str]:
         """Tables of a batch whose newest run succeeded; at most one row per migrated table is fetched."""

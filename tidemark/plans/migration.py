@@ -21,15 +21,15 @@ from tidemark.operators.rulebook import BOOKS
 from tidemark.operators.rules import accepted, evaluate, quarantine, staging_gate
 from tidemark.operators.standardise import standardise
 from tidemark.plans.core import CORE_NAMES, COUNTED, build_core, publish
-from tidemark.plans.ledger import FAILED, MESSAGE_CHARS, RUNNING, SUCCEEDED, Ledgers
+from tidemark.plans.ledger import FAILED, MESSAGE_CHARS, RUNNING, SUCCEEDED, Ledgers, without
 from tidemark.plans.reconcile import reconcile_financials, reconcile_transactions
 from tidemark.schemas import ENTITIES
 from tidemark.session import materialise
 from tidemark.sources.landing import land, read_batch, verify_landing
-from tidemark.sources.raw import PARTITION, load_raw, read_raw, replace_batch, without_batches
-from tidemark.sources.readers import EmptyExtract
+from tidemark.sources.raw import PARTITION, load_raw, read_raw, replace_batch, unseen, without_batches
+from tidemark.sources.readers import EmptyExtract, remove_path
 from tidemark.sources.sinks import read_published, replace_path
-from tidemark.streaming.incremental import after, extract_control, stored_checkpoint
+from tidemark.streaming.incremental import Checkpoint, after, extract_control, stored_checkpoint, unplaced
 
 ORDER = ("branch", "customer", "account", "transaction", "daily_balance")
 PARENTS = {
@@ -124,8 +124,8 @@ class Migration:
         entity, run, spark = ENTITIES[name], self.run, self.spark
         at, rows = run.instant("ingested_at"), self.sources[name]
         if incremental:
-            schema = entity.schema
-            rows = after(rows, "updated_at", entity.key, stored_checkpoint(self.ledgers.positions(), entity.source_table, schema, entity.key))
+            reached = stored_checkpoint(self.ledgers.positions(), entity.source_table, entity.schema, entity.key)
+            rows = after(rows, "updated_at", entity.key, reached).unionByName(self.unplaced_rows(name, rows, reached))
         try:
             manifest = land(rows, entity, f"{self.root}/landing", run.batch_id, at, finish=resume)
         except EmptyExtract:
@@ -142,6 +142,15 @@ class Migration:
             load_raw(landed, entity, self.path("raw", name), run.batch_id, at)
         return manifest.agg(F.max("row_count")).first()[0]
 
+    def unplaced_rows(self, name: str, rows: DataFrame, reached: Checkpoint | None) -> DataFrame:
+        """Source rows that have no place before or after the position and that raw does not hold."""
+        entity = ENTITIES[name]
+        lane = unplaced(rows, "updated_at", entity.key, reached)
+        if reached is None:
+            return lane
+        stamped = with_lineage(lane, entity, self.run.batch_id, self.run.instant("ingested_at"))
+        return unseen(stamped, self.visible_raw(name)).select(*entity.columns)
+
     def visible_raw(self, name: str) -> DataFrame:
         """Raw without rolled back batches."""
         return without_batches(read_raw(self.spark, ENTITIES[name], self.path("raw", name)), self.ledgers.rolled_back())
@@ -233,9 +242,9 @@ def migrate(
                 own = job.visible_raw(name).where(F.col(PARTITION) == run.batch_id)
                 loaded = own.count()
                 rejected = job.build(name)
-                if loaded:
-                    position = extract_control(own, entity.source_table, "updated_at", entity.key, run.batch_id, F.lit(_now()))
-                    ledgers.append("source_extract_control", *position.first())
+                position = extract_control(own, entity.source_table, "updated_at", entity.key, run.batch_id, F.lit(_now())).first()
+                if position.last_watermark_ts is not None:  # nothing loaded, or nothing with a time: the old position holds
+                    ledgers.append("source_extract_control", *position)
             except Exception as error:
                 ledgers.append("table_run", run.batch_id, entity.source_table, None, None, loaded, None, started, _now(), FAILED, _message(error))
                 raise
@@ -248,14 +257,36 @@ def migrate(
     return job.core
 
 
-def roll_back(spark: SparkSession, run: Run, root: str, batch_id: str, reason: str = "") -> dict[str, DataFrame]:
+RECONCILED = ("transaction_reconciliation", "financial_reconciliation", "constraint_audit")
+
+
+def roll_back(
+    spark: SparkSession,
+    run: Run,
+    root: str,
+    batch_id: str,
+    reason: str = "",
+    sources: Mapping[str, DataFrame] | None = None,
+    newest_only: bool | None = None,
+) -> dict[str, DataFrame]:
     """Hide a batch and rebuild staging, quarantine and core from the batches that stay; raw files are not touched.
 
-    The position of an incremental extract goes back to the newest batch that stays.
+    The position of an incremental extract goes back to where the batch began (``Ledgers.positions``). ``newest_only`` is
+    the option of the run; by default it holds if an increment is among the batches that stay, which are kept to their
+    newest versions, and does not otherwise. With ``sources`` the reconciliations are made anew; without, the stored ones
+    are removed, since they describe what was before.
     """
     ledgers = Ledgers(spark, root)
     ledgers.append("rolled_back_batch", batch_id, _now(), reason)
-    job = Migration({}, run, root, ledgers, newest_only=True)
+    if newest_only is None:
+        stay = without(ledgers.batches(), "batch_id", ledgers.rolled_back())
+        newest_only = not stay.where((F.col("migration_type") == "INCREMENTAL") & (F.col("status") == SUCCEEDED)).isEmpty()
+    job = Migration(sources or {}, run, root, ledgers, newest_only)
     for name in ORDER:
         job.build(name)
+    if sources is not None:
+        job.reconcile()
+    else:
+        for name in RECONCILED:
+            remove_path(spark, job.path("reconciliation", name))
     return job.core

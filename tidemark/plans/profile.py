@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import canonical_text, instant_text
-from tidemark.functions.verdict import Check, check_rows, count_where, metrics, row_count, total, union_all
+from tidemark.functions.verdict import VALUE_TYPE, Check, check_rows, count_where, metrics, row_count, total, union_all
 from tidemark.operators.balances import failure_counts
 from tidemark.operators.keys import duplicate_key_count, either_orphan_count, orphan_count
 from tidemark.schemas import EMAIL_PATTERN, ENTITIES
@@ -119,6 +119,19 @@ def verify_source(tables: Tables, expected_rows: dict[str, int], run_at: Column)
     return check_rows(measured, checks, run_at)
 
 
+def verify_counts(tables: Tables, promised: DataFrame, run_at: Column) -> DataFrame:
+    """Check rows: the rows of every table against what the manifests of an earlier landing hold.
+
+    ``promised`` has rows (source_table, row_count), read from stored manifests and not counted again.
+    """
+    names = F.create_map(*[x for n in tables for x in (F.lit(ENTITIES[n].source_table), F.lit(f"promised_{n}"))])
+    told = promised.groupBy(names[F.col("source_table")].alias("metric")).agg(F.max("row_count").alias("row_count"))
+    expected = told.select("metric", F.col("row_count").cast(VALUE_TYPE).alias("value"))
+    found = [metrics(df, **{f"{name}_rows": row_count()}) for name, df in tables.items()]
+    checks = [Check(f"{n}_expected_rows", (f"promised_{n}",), (f"{n}_rows",)) for n in tables]
+    return check_rows(union_all([expected, *found]), checks, run_at)
+
+
 def closed_account_transactions(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     """Transactions dated after the closing of their source account: inner join with a date residual."""
     closed = accounts.where(F.col("status") == "CLOSED").select(F.col("account_id").alias("closed_id"), "closed_date")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import pyarrow as pa
 from pyarrow import fs
@@ -36,38 +36,54 @@ def _range_columns(entity: Entity) -> list[tuple[str, str]]:
 
 
 def range_aggregates(entity: Entity) -> list[Column]:
-    """Row count and the min/max of the key columns and of ``updated_at``, in their own types."""
+    """Row count and the min/max of the key columns and of ``updated_at``, compared in their own types and then made text.
+
+    Spark makes the text, in the zone of the session; the driver's zone plays no part, and a range of NULLs stays NULL.
+    """
     aggregates = [row_count().alias("row_count")]
     for column, suffix in _range_columns(entity):
-        aggregates += [F.min(column).alias(f"min_{suffix}"), F.max(column).alias(f"max_{suffix}")]
+        aggregates += [f(column).cast("string").alias(f"{side}_{suffix}") for side, f in (("min", F.min), ("max", F.max))]
     return aggregates
 
 
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
+Opener = Callable[[str], tuple[fs.FileSystem, str]]
+
+
+def file_checksums(spark: SparkSession, path: str, opener: Opener | None = None) -> DataFrame:
     """(file_name, sha256, file_bytes) of every part file below ``path``, sub-folders included.
 
-    Only names and lengths are listed by Spark; files are dealt over as many tasks as there are files, and each is
-    hashed in steps of bounded size, so a file may be of any length. ``file_name`` is relative to ``path``.
+    Only names and lengths are listed by Spark; files are dealt over as many tasks as there are files. ``opener`` turns the
+    URI of a file into a pyarrow file system and a path there; a file is then hashed in steps of bounded size, so it may be
+    of any length. Local paths have one. Without an opener files are read by Spark, that is through the Hadoop file system
+    and the credentials of the session, whatever the scheme; a file may then have up to 2 GB. ``file_name`` is relative to
+    ``path``.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
-    files = reader.load(path).select("path", "length")
+    files = reader.load(path)
+    name = _below(path, F.col("path")).alias("file_name")
+    if opener is None and not is_local(spark, path):
+        return files.select(name, F.sha2("content", 256).alias("sha256"), F.col("length").alias("file_bytes"))
+    files, opened = files.select("path", "length"), opener or fs.FileSystem.from_uri
     count = files.count()
 
     def hashed(batches):
         for batch in batches:
-            sums = [_sha256_of(p) for p in batch.column("path").to_pylist()]
+            sums = [_sha256_of(*opened(p)) for p in batch.column("path").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("path"), pa.array(sums, pa.string()), batch.column("length")], ["path", "sha256", "file_bytes"]
             )
 
     dealt = files.repartition(max(1, count), "path")
-    return dealt.mapInArrow(hashed, "path string, sha256 string, file_bytes long").select(
-        _below(path, F.col("path")).alias("file_name"), "sha256", "file_bytes"
-    )
+    return dealt.mapInArrow(hashed, "path string, sha256 string, file_bytes long").select(name, "sha256", "file_bytes")
+
+
+def is_local(spark: SparkSession, path: str) -> bool:
+    """Whether a path, with the session's default file system, belongs to the local one."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
 
 
-def _sha256_of(uri: str) -> str:
-    files, path = fs.FileSystem.from_uri(uri)
+def _sha256_of(files: fs.FileSystem, path: str) -> str:
     total = hashlib.sha256()
     with files.open_input_stream(path) as stream:
         while step := stream.read(HASH_STEP):
@@ -143,7 +159,7 @@ def land(
         F.lit(entity.source_table).alias("source_table"),
         "file_name",
         F.lit("parquet").alias("file_format"),
-        *[F.lit(str(v)).alias(n) if n != "row_count" else F.lit(v).cast("bigint").alias(n) for n, v in observed.items()],
+        *[F.lit(v).cast("bigint" if n == "row_count" else "string").alias(n) for n, v in observed.items()],
         extracted_at.cast("timestamp").alias("extracted_at"),
         "sha256",
         "file_bytes",

@@ -43,16 +43,34 @@ def _position(df: DataFrame, key: str | Sequence[str], checkpoint: Checkpoint) -
     return F.struct(*names), F.struct(*[_typed(df, n, v).alias(n) for n, v in zip(names, values, strict=True)])
 
 
+def _is_after(df: DataFrame, updated_at: str, key: str | Sequence[str], checkpoint: Checkpoint) -> tuple[Column, Column]:
+    at, (own, last) = _typed(df, updated_at, checkpoint.updated_at), _position(df, key, checkpoint)
+    return F.col(updated_at) >= at, (F.col(updated_at) > at) | (own > last)
+
+
 def after(df: DataFrame, updated_at: str, key: str | Sequence[str], checkpoint: Checkpoint | None) -> DataFrame:
     """Rows behind the checkpoint in (updated_at, key) order; all rows when there is none.
 
     The leading comparison on the timestamp alone lets parquet skip row groups and JDBC use the index on
-    (updated_at, key); the second one settles the rows that share the checkpoint's timestamp.
+    (updated_at, key); the second one settles the rows that share the checkpoint's timestamp. Rows that cannot be placed
+    are in neither part, see ``unplaced``.
     """
     if checkpoint is None:
         return df
-    at, (own, last) = _typed(df, updated_at, checkpoint.updated_at), _position(df, key, checkpoint)
-    return df.where(F.col(updated_at) >= at).where((F.col(updated_at) > at) | (own > last))
+    recent, behind = _is_after(df, updated_at, key, checkpoint)
+    return df.where(recent).where(behind)
+
+
+def unplaced(df: DataFrame, updated_at: str, key: str | Sequence[str], checkpoint: Checkpoint | None) -> DataFrame:
+    """Rows of which no position says whether they were extracted: no timestamp, or its time without a key.
+
+    They have a lane of their own: what raw does not hold yet of them is new. Without a checkpoint there are none, since
+    ``after`` takes the whole table.
+    """
+    if checkpoint is None:
+        return df.limit(0)
+    recent, behind = _is_after(df, updated_at, key, checkpoint)
+    return df.where((recent & behind).isNull())
 
 
 def upto(df: DataFrame, updated_at: str, key: str | Sequence[str], checkpoint: Checkpoint) -> DataFrame:
