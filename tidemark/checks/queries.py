@@ -29,9 +29,10 @@ from tidemark.operators.rules import (
     staging_gate,
     table_summary,
 )
-from tidemark.plans import ledger, profile, reconcile
+from tidemark.plans import completeness, ledger, profile, reconcile
 from tidemark.plans.core import core_gates
 from tidemark.plans.facts import alerts_by_account_day
+from tidemark.plans.store import Store
 from tidemark.plans.migration import ORDER, PARENTS, Layers, Run
 from tidemark.schemas import ACCOUNT, BALANCE, CUSTOMER, DEFECT_MANIFEST, ENTITIES, SOURCE_SYSTEM, TRANSACTION
 from tidemark.session import configure, materialise, scratch_path
@@ -1375,6 +1376,94 @@ def _verify(spark, folder):
     return profile.verify_source(tables, expected, run_at())
 
 
+LOST = {"branch": "FALSE", "customer": "customer_id % 50 = 7", "account": "FALSE", "transaction": "transaction_id % 101 = 0", "daily_balance": "FALSE"}
+
+
+@query(
+    "gt3_counts_against_the_manifest",
+    _check_select([(f"{n}_expected_rows", _n(f"src_{n}"), f"(SELECT count(*) FROM src_{n} WHERE NOT ({LOST[n]}))", False) for n in ORDER]),
+)
+def _verify_counts(spark, folder):
+    """Rows are lost after the landing; the manifests that it wrote tell."""
+    tables = views.bank(spark, folder).settled("transaction", "daily_balance")
+    root = scratch_path(spark, "landing")
+    for n in ORDER:
+        landing.land(tables[n], ENTITIES[n], root, sql.BATCH, RUN.instant("ingested_at"))
+    promised = union_all([landing.read_manifest(spark, ENTITIES[n], root, sql.BATCH).select("source_table", "row_count") for n in ORDER])
+    return profile.verify_counts({n: tables[n].where(f"NOT ({LOST[n]})") for n in ORDER}, promised, run_at())
+
+
+@query(
+    "io7_landed_files",
+    " UNION ALL ".join(
+        f"""SELECT '{ENTITIES[n].source_table}' AS source_table, count(*) AS file_rows, TRUE AS digests_differ,
+                   CAST(0 AS BIGINT) AS incomplete FROM src_{n}"""
+        for n in ORDER
+    ),
+)
+def _landed_files(spark, folder):
+    """Every file of a batch over all tables, folded per table."""
+    tables, root = views.bank(spark, folder), scratch_path(spark, "landing")
+    for n in ORDER:
+        landing.land(tables[n], ENTITIES[n], root, sql.BATCH, RUN.instant("ingested_at"))
+    files = landing.landed_files(spark, ENTITIES, root, sql.BATCH)
+    complete = F.col("file_name").isNotNull() & (F.length("sha256") == 64) & (F.col("file_bytes") > 0)
+    return files.groupBy("source_table").agg(
+        F.sum("file_row_count").alias("file_rows"),
+        (F.count_distinct("sha256") == F.count("*")).alias("digests_differ"),
+        count_where(~complete).alias("incomplete"),
+    )
+
+
+PRESENCE = {
+    "seen": """SELECT source_record_key, 1 AS layer FROM raw_account UNION ALL
+        SELECT source_record_key, 2 FROM raw_account WHERE account_id % 97 <> 0 UNION ALL
+        SELECT source_record_key, 2 FROM raw_account WHERE account_id % 79 = 3 UNION ALL
+        SELECT source_record_key, 4 FROM rej_account WHERE CAST(source_record_key AS BIGINT) % 31 <> 5 UNION ALL
+        SELECT source_record_key, 8 FROM stg_account UNION ALL
+        SELECT source_record_key, 16 FROM stg_account WHERE account_id % 89 <> 1""",
+    "masks": """SELECT source_record_key, bit_or(layer) AS mask, count(*) FILTER (layer = 1) AS n1, count(*) FILTER (layer = 2) AS n2,
+        count(*) FILTER (layer = 8) AS n8, count(*) FILTER (layer = 16) AS n16 FROM seen GROUP BY source_record_key""",
+}
+
+
+@query(
+    "cp1_incomplete_records",
+    """SELECT source_record_key, mask, unnest(list_filter([
+          CASE WHEN mask & 1 > 0 AND mask & 2 = 0 THEN 'LOST_BEFORE_RAW' END, CASE WHEN mask & 2 > 0 AND mask & 1 = 0 THEN 'NOT_IN_SOURCE' END,
+          CASE WHEN mask & 2 > 0 AND mask & 12 = 0 THEN 'UNACCOUNTED' END, CASE WHEN mask & 12 > 0 AND mask & 2 = 0 THEN 'NOT_FROM_RAW' END,
+          CASE WHEN mask & 12 = 12 THEN 'VALID_AND_REJECTED' END, CASE WHEN mask & 8 > 0 AND mask & 16 = 0 THEN 'LOST_BEFORE_CORE' END,
+          CASE WHEN mask & 16 > 0 AND mask & 8 = 0 THEN 'NOT_FROM_STAGING' END, CASE WHEN n1 > 1 THEN 'DOUBLED_IN_SOURCE' END,
+          CASE WHEN n2 > 1 THEN 'DOUBLED_IN_RAW' END, CASE WHEN n8 > 1 THEN 'DOUBLED_IN_STAGING' END,
+          CASE WHEN n16 > 1 THEN 'DOUBLED_IN_CORE' END], lambda x: x IS NOT NULL)) AS finding FROM masks""",
+    **PRESENCE,
+)
+def _incomplete(spark, folder):
+    """Accounts that raw lost or holds twice, that left quarantine, or never reached core."""
+    built = layers(spark, folder, "account")
+    held, staged = built.raw("account"), built.staging("account")
+    found = {
+        "source": held.select("source_record_key"),
+        "raw": held.where("account_id % 97 <> 0").unionByName(held.where("account_id % 79 = 3")),
+        "quarantine": built.rejected("account").where("CAST(source_record_key AS BIGINT) % 31 <> 5"),
+        "staging": staged,
+        "core": staged.where("account_id % 89 <> 1"),
+    }
+    return completeness.incomplete_records(found)
+
+
+@query(
+    "mv1_dd2_localised_differences",
+    """SELECT event_id AS transaction_id, CASE WHEN event_id % 1013 = 5 THEN 'ONLY_LEFT' ELSE 'CHANGED' END AS difference
+       FROM events WHERE event_id % 1013 = 5 OR event_id % 1009 = 3""",
+)
+def _localised(spark, folder):
+    """Of all transactions some were lost and some have another amount."""
+    rows = views.event_transactions(spark, folder)
+    other = rows.withColumn("amount", F.when(F.col("transaction_id") % 1009 == 3, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(18,2)"))
+    return completeness.differences(rows, other.where("transaction_id % 1013 <> 5"), ["transaction_id"], list(TRANSACTION.payload), leaves=256)
+
+
 # -- incremental loads and history ------------------------------------------------------------------------------
 
 
@@ -1412,6 +1501,31 @@ def _slices(spark, folder):
     )
 
 
+@query(
+    "in1_in3_merged_increments",
+    " UNION ALL ".join(
+        f"""SELECT 'core' AS layer, '{n}' AS table_name, NULL AS rule_id, count(*) AS records FROM stg_{n}
+            UNION ALL SELECT 'quarantine', '{n}', rule_id, count(*) FROM rej_{n} GROUP BY rule_id"""
+        for n in ORDER
+    ),
+)
+def _merged(spark, folder):
+    """A tenth of every table arrives late, parents behind their children: the layers end as if all had come at once."""
+    store, late = Store(spark, scratch_path(spark, "store"), buckets=4), F.pmod(F.xxhash64("source_record_key"), F.lit(10)) == 0
+    tables = views.bank(spark, folder).settled("transaction", "daily_balance")
+    rows = {n: with_lineage(tables[n], ENTITIES[n], sql.BATCH, RUN.instant("ingested_at")) for n in ORDER}
+    for part in (~late, late):
+        store.merge({n: r.where(part) for n, r in rows.items()}, RUN)
+    parts = []
+    for n in ORDER:
+        name = F.lit(n).alias("table_name")
+        core = store.current("core", n).agg(row_count().alias("records"))
+        parts.append(core.select(F.lit("core").alias("layer"), name, F.lit(None).cast("string").alias("rule_id"), "records"))
+        rejected = store.current("quarantine", n).groupBy("rule_id").agg(row_count().alias("records"))
+        parts.append(rejected.select(F.lit("quarantine").alias("layer"), name, "rule_id", "records"))
+    return union_all(parts)
+
+
 @query(
     "in1_extract_control",
     f"""SELECT 'events' AS source_table, {sql.INSTANT.format("ts")} AS last_watermark_ts,

@@ -161,8 +161,8 @@ def _rule_rows(evaluated: DataFrame, book: RuleBook) -> DataFrame:
     return unfolded.where(F.col("failed_rules").bitwiseAND(F.col("bit")) != 0)
 
 
-def quarantine(evaluated: DataFrame, book: RuleBook, rejected_at: Column) -> DataFrame:
-    """The ten-column quarantine layout, one row per failed rule."""
+def quarantine(evaluated: DataFrame, book: RuleBook, rejected_at: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """The ten-column quarantine layout, one row per failed rule; ``keep`` are further columns to carry along."""
     entity = book.entity
     return _rule_rows(evaluated, book).select(
         "migration_batch_id",
@@ -175,6 +175,7 @@ def quarantine(evaluated: DataFrame, book: RuleBook, rejected_at: Column) -> Dat
         json_payload(entity.schema, entity.payload).alias("raw_payload"),
         rejected_at.cast("timestamp").alias("rejected_at"),
         F.lit(OPEN_STATUS).alias("resolution_status"),
+        *keep,
     )
 
 
