@@ -1720,6 +1720,30 @@ def _history(spark, folder):
     return chg.status_history(first.unionByName(second), "account_id", "status")
 
 
+@query(
+    "jn5_jn6_transactions_by_status_then",
+    """SELECT transaction_type, status_then, count(*) AS transactions, CAST(CAST(sum(amount) AS DECIMAL(38, 2)) AS VARCHAR) AS amount
+       FROM (SELECT t.transaction_type, t.amount, p.status AS status_then FROM src_transaction t LEFT JOIN (
+             SELECT account_id, status, since, lead(since) OVER (PARTITION BY account_id ORDER BY since) AS until
+             FROM (SELECT *, lag(status) OVER o AS before, row_number() OVER o AS position
+                   FROM (SELECT account_id, source_updated_at AS since, max(status) AS status FROM both_batches GROUP BY ALL)
+                   WINDOW o AS (PARTITION BY account_id ORDER BY since))
+             WHERE position = 1 OR before IS DISTINCT FROM status) p
+           ON p.account_id = t.source_account_id AND t.transaction_ts >= p.since AND (p.until IS NULL OR t.transaction_ts < p.until))
+       GROUP BY ALL""",
+    **ACCOUNT_BATCHES,
+)
+def _by_status_then(spark, folder):
+    """The state of the source account at the time of the transaction, not its latest."""
+    first, second = _account_batches(spark, folder)
+    history = chg.status_history(first.unionByName(second), "account_id", "status")
+    rows = views.bank(spark, folder)["transaction"].select("source_account_id", "transaction_ts", "transaction_type", "amount")
+    found = chg.as_of_periods(rows, "source_account_id", "transaction_ts", history, "account_id", {"status": "status_then"})
+    return found.groupBy("transaction_type", "status_then").agg(
+        row_count().alias("transactions"), F.sum("amount").cast("decimal(38,2)").alias("amount")
+    )
+
+
 @query(
     "rb1_rolled_back_batch",
     "SELECT migration_batch_id, count(*) AS rows_loaded FROM both_batches WHERE migration_batch_id <> 'B-0002' GROUP BY ALL",

@@ -85,3 +85,35 @@ def status_history(versions: DataFrame, key: str, status: str, changed_at: str =
         valid_to.alias("valid_to"),
         valid_to.isNull().alias("is_current"),
     )
+
+
+def as_of_periods(
+    facts: DataFrame, key: str, at: str, periods: DataFrame, period_key: str, values: dict[str, str], most_bins: int = 64
+) -> DataFrame:
+    """Facts with the values of the period that holds their instant: valid_from <= at < valid_to, the last one open.
+
+    ``periods`` are disjoint per key, such as a status history; ``values`` maps its columns to new names. Facts without a
+    key, an instant or a period get NULLs, and every fact stays once. Time between the first and the last fact is cut into
+    at most ``most_bins`` bins; a period is repeated for the bins it reaches into, and both sides meet by key and bin. So a
+    hot key is spread over its bins, and within one over tasks by adaptive execution; no range is compared across keys.
+    """
+    first, last = facts.agg(F.unix_micros(F.min(at)), F.unix_micros(F.max(at))).first()
+    first, last = first or 0, last or 0
+    width = max(1, -(-(last - first + 1) // most_bins))
+
+    def bin_of(instant: Column) -> Column:
+        return F.floor((F.unix_micros(instant) - F.lit(first)) / F.lit(width)).cast("int")
+
+    start, end = F.col("valid_from"), F.col("valid_to")
+    reach = periods.where(F.col(period_key).isNotNull() & start.isNotNull())
+    reach = reach.where((F.unix_micros(start) <= last) & (end.isNull() | (F.unix_micros(end) > first)))
+    low = F.greatest(bin_of(start), F.lit(0))
+    high = F.least(F.coalesce(bin_of(end), F.lit(most_bins - 1)), F.lit(most_bins - 1))
+    reach = reach.select(
+        F.col(period_key).alias("period_key"), start.alias("period_start"), end.alias("period_end"),
+        F.explode(F.sequence(low, high)).alias("period_bin"), *[F.col(c).alias(n) for c, n in values.items()],
+    )
+    held = (F.col(at) >= F.col("period_start")) & (F.col("period_end").isNull() | (F.col(at) < F.col("period_end")))
+    same = (F.col(key) == F.col("period_key")) & (F.col("fact_bin") == F.col("period_bin"))
+    joined = facts.withColumn("fact_bin", bin_of(F.col(at))).join(reach, same & held, "left")
+    return joined.select(*facts.columns, *values.values())
