@@ -29,7 +29,7 @@ from tidemark.operators.rules import (
     staging_gate,
     table_summary,
 )
-from tidemark.plans import completeness, ledger, profile, reconcile
+from tidemark.plans import completeness, ledger, profile, reconcile, summaries
 from tidemark.plans.core import core_gates
 from tidemark.plans.facts import alerts_by_account_day
 from tidemark.plans.store import Store
@@ -1341,6 +1341,36 @@ def _critical(spark, folder):
     return profile.critical_elements(tables)
 
 
+@query(
+    "rp9_ag9_merged_profile",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, CAST(CAST(min({c}) AS DECIMAL(38, 2)) AS VARCHAR)
+            AS least, CAST(CAST(max({c}) AS DECIMAL(38, 2)) AS VARCHAR) AS greatest, TRUE AS distinct_within, TRUE AS median_within FROM src_transaction"""
+        for c in ("source_account_id", "destination_account_id", "amount")
+    ),
+)
+def _merged_profile(spark, folder):
+    """Summaries of four batches, merged; the estimates are held against the exact values."""
+    columns, root = ["source_account_id", "destination_account_id", "amount"], scratch_path(spark, "landing")
+    rows = views.bank(spark, folder).settled("transaction", "daily_balance")["transaction"]
+    batches = [f"{sql.BATCH}-{i}" for i in range(4)]
+    for i, batch in enumerate(batches):
+        summaries.store_summary(rows.where(F.pmod(F.xxhash64("transaction_id"), F.lit(4)) == i), TRANSACTION, root, batch, columns)
+    merged = materialise(summaries.merged_profile(spark, TRANSACTION, root, batches), "merged-profile")
+    medians = {r.column_name: r.p50 for r in merged.select("column_name", "p50").collect()}
+    exact = []
+    for c in columns:
+        below, up_to = (F.count_if(condition) / F.count(c) for condition in (F.col(c) < medians[c], F.col(c) <= medians[c]))
+        near = (below <= 0.5 + summaries.RANK_ERROR) & (up_to >= 0.5 - summaries.RANK_ERROR)
+        exact.append(rows.agg(F.count_distinct(c).alias("exact"), near.alias("median_within")).withColumn("exact_column", F.lit(c)))
+    both = merged.join(union_all(exact), F.col("column_name") == F.col("exact_column"))
+    error = F.abs(F.col("distinct_values") - F.col("exact")) / F.col("exact")
+    return both.select(
+        "column_name", "row_count", "nulls", *[F.col(n)["number"].cast("decimal(38,2)").alias(n) for n in ("least", "greatest")],
+        (error <= summaries.DISTINCT_ERROR).alias("distinct_within"), "median_within",
+    )
+
+
 VERIFIED = [
     ("accounts_with_missing_customers", "0", "(SELECT count(*) FROM src_account ANTI JOIN src_customer USING (customer_id))", False),
     ("accounts_with_missing_branches", "0",
