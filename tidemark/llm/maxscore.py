@@ -23,6 +23,8 @@ from tidemark.session import materialise
 
 #: Candidates whose postings are traversed together; the k-th best score is carried from one part to the next.
 PART = 2048
+#: Scores are 64-bit integers; vectors of which a score could come near their end are refused.
+MOST_SCORE = 2.0**62
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -87,6 +89,9 @@ def search(queries: pa.Table, shard: pa.Table, k: int):
     query_ids, weights = _matrix(queries)
     terms = max(vectors.shape[1], weights.shape[1])
     vectors, weights = (np.pad(m, ((0, 0), (0, terms - m.shape[1]))) for m in (vectors, weights))
+    largest = [np.abs(m.astype(np.float64)).max(axis=0) for m in (vectors, weights)]
+    if largest[0] @ largest[1] >= MOST_SCORE:
+        raise OverflowError("inner products of these vectors may pass 64 bits; scale them down")
     best_ids = [np.zeros(0, np.int64)] * len(query_ids)
     best_scores = [np.zeros(0, np.int64)] * len(query_ids)
     for at in range(0, len(ids), PART):
@@ -134,7 +139,8 @@ def top_k(
     that repeat an id are candidates one by one, and query rows of one id share one list of k, the best of all their
     pairs with candidate rows. Rows are dealt by a number that is written first. Vectors of
     different lengths count missing components as zero. Ties go to the smaller id. Fewer candidates than k: all of them.
-    Empty sides give none. Every query meets every candidate once, in shards and blocks of bounded size: candidates
+    Empty sides give none. Vectors so large that a score could reach 2**62 are an error, never a wrong score: floors that
+    pass 64 bits are saturated and refused with them. Every query meets every candidate once, in shards and blocks of bounded size: candidates
     travel once per block of queries, queries once per shard.
     """
     number = F.monotonically_increasing_id().alias("number")
