@@ -1510,13 +1510,10 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
        GROUP BY slice""",
 )
 def _slices(spark, folder):
-    """The position reached by a first extract, stored as a control row and read back, cuts the table in two."""
+    """The position reached by a first extract cuts the table in two; how it is stored is another query's subject."""
     rows = _events(spark, folder).select("event_id", "ts")
     half = rows.agg(F.floor(F.max("event_id") / 2).alias("half")).first().half
-    reached = inc.extract_control(rows.where(F.col("event_id") <= half), "events", "ts", "event_id", sql.BATCH, run_at())
-    control = ledger.Ledgers(spark, scratch_path(spark, "control"))
-    control.append("source_extract_control", *reached.first())
-    checkpoint = inc.stored_checkpoint(control.positions(), "events", rows.schema, "event_id")
+    checkpoint = inc.next_checkpoint(rows.where(F.col("event_id") <= half), "ts", "event_id")
     parts = {
         "BEFORE": inc.upto(rows, "ts", "event_id", checkpoint),
         "AFTER": inc.after(rows, "ts", "event_id", checkpoint),

@@ -55,11 +55,16 @@ class Ledgers:
         batches hold are then extracted again and count with their newest version.
         """
         stored = self.read("source_extract_control").where(F.col("last_watermark_ts").isNotNull())
+        if not path_exists(self.spark, f"{self.root}/control/rolled_back_batch"):
+            return first_per_key(stored, ["source_table"], F.col("updated_at").desc())
         rolled = self.read("rolled_back_batch").select("batch_id", "rolled_back_at")
         hidden = stored.join(rolled, F.col("last_successful_batch_id") == F.col("batch_id")).select(
-            F.col("source_table").alias("hidden_table"), F.col("updated_at").alias("hidden_from"), "rolled_back_at"
-        )
-        void = (F.col("source_table") == F.col("hidden_table")) & F.col("updated_at").between(F.col("hidden_from"), F.col("rolled_back_at"))
+            F.col("source_table").alias("hidden_table"), F.col("batch_id").alias("hidden_batch"),
+            F.col("updated_at").alias("hidden_from"), "rolled_back_at",
+        )
+        stood = F.col("updated_at").between(F.col("hidden_from"), F.col("rolled_back_at"))
+        own = F.col("last_successful_batch_id") == F.col("hidden_batch")  # whatever the clocks said
+        void = (F.col("source_table") == F.col("hidden_table")) & (own | stood)
         return first_per_key(stored.join(hidden, void, "left_anti"), ["source_table"], F.col("updated_at").desc())
 
     def finished(self, batch_id: str) -> set[str]:
