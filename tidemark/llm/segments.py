@@ -16,7 +16,7 @@ from functools import lru_cache
 from tidemark.llm import memory
 
 #: Bytes that remembered segments take in each of two generations, and what one takes besides its own bytes.
-REMEMBERED_BYTES, ENTRY_BYTES = 48 << 20, 160
+REMEMBERED_BYTES, ENTRY_BYTES = 96 << 20, 200
 #: Longer segments are encoded each time, so that memory does not follow the longest.
 LONG_SEGMENT = 256
 #: Bytes of distinct segments given to the library at a time.
@@ -52,24 +52,25 @@ class Remembered:
         young, old = self.young, self.old
         new, long = [], {}
         for s in asked:
-            if s in young:
-                continue
-            if s in old:
-                self._keep(s, old[s])
-            else:
-                new.append(s)
-        for batch in batches(new):
-            for s, result in zip(batch, self.encode([s.decode() for s in batch]), strict=True):
-                if len(s) > LONG_SEGMENT:
-                    long[s] = result
+            if s not in young:
+                found = old.get(s)
+                if found is None:
+                    new.append(s)
                 else:
-                    self._keep(s, result)
+                    young[s] = found
+                    self.bytes += ENTRY_BYTES + len(s)
+        for batch in batches(new):
+            results = self.encode([s.decode() for s in batch])
+            young.update(zip(batch, results, strict=True))
+            self.bytes += ENTRY_BYTES * len(batch) + sum(map(len, batch))
+            if isinstance(results[0], bytes):
+                self.bytes += sum(map(len, results))
+        for s in new:
+            if len(s) > LONG_SEGMENT:
+                long[s] = young.pop(s)
+                self.bytes -= ENTRY_BYTES + len(s) + (len(long[s]) if isinstance(long[s], bytes) else 0)
         return young | long if long else young
 
-    def _keep(self, segment: bytes, result: object) -> None:
-        self.young[segment] = result
-        self.bytes += ENTRY_BYTES + len(segment) + (len(result) if isinstance(result, bytes) else 0)
-
 
 @lru_cache(maxsize=1)
 def _byte_table() -> list[str]:
