@@ -20,6 +20,7 @@ from tidemark.schemas import (
     one_of,
 )
 
+# The severities here, and the ids and messages of the rules below, which readers of the quarantine rely on.
 HIGH, CRITICAL = "HIGH", "CRITICAL"
 
 GOOD_EMAIL = f"email LIKE '{EMAIL_PATTERN}'"

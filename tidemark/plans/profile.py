@@ -102,6 +102,7 @@ def verify_source(tables: Tables, expected_rows: dict[str, int], run_at: Column)
             metrics(balances, debit_total=total("debit_total"), credit_total=total("credit_total")),
         ]
     )
+    # fixed values: the names of the checks
     checks = [
         *[Check(f"{n}_expected_rows", (v,), (f"{n}_rows",)) for n, v in expected_rows.items()],
         Check("accounts_with_missing_customers", (), ("orphan_customers",)),

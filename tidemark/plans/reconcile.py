@@ -10,6 +10,7 @@ from tidemark.operators.balances import balance_equation_holds, roll_forward_fai
 from tidemark.operators.keys import distinct_count, rows_with_listed_key
 from tidemark.operators.rules import is_rejected
 
+# The names of the checks in both lists, which readers of the results rely on.
 TRANSACTION_CHECKS = [
     Check("source_vs_raw_row_count", ("source_rows",), ("raw_rows",)),
     Check("raw_vs_valid_plus_rejected", ("raw_rows",), ("staging_rows", "rejected_records")),
