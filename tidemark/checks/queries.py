@@ -32,6 +32,7 @@ from tidemark.operators.rules import (
 from tidemark.plans import completeness, ledger, profile, reconcile, summaries
 from tidemark.plans.core import core_gates
 from tidemark.plans.facts import alerts_by_account_day
+from tidemark.plans.history import History
 from tidemark.plans.store import Store
 from tidemark.plans.migration import ORDER, PARENTS, Layers, Run
 from tidemark.schemas import ACCOUNT, BALANCE, CUSTOMER, DEFECT_MANIFEST, ENTITIES, SOURCE_SYSTEM, TRANSACTION
@@ -40,7 +41,9 @@ from tidemark.sources import bank_views as views
 from tidemark.sources import landing, raw, sinks
 from tidemark.sources.readers import EmptyExtract, read_csv, read_csv_as, read_parquet
 from tidemark.streaming import incremental as inc
+from tidemark.streaming.judged import stream_to_store
 
+PARENTS_FIRST = ("branch", "customer", "account")
 RUN = Run(sql.BATCH, sql.INGESTED, sql.REJECTED, sql.AS_OF)
 SECOND_BATCH = "B-0002"
 
@@ -1643,6 +1646,32 @@ def _stream(spark, folder):
     )
 
 
+JUDGED = """SELECT 'raw' AS layer, NULL AS rule_id, count(*) AS records FROM src_transaction
+            UNION ALL SELECT 'core', NULL, count(*) FROM stg_transaction
+            UNION ALL SELECT 'quarantine', rule_id, count(*) FROM rej_transaction GROUP BY rule_id"""
+
+
+@query("in2_pr8_rules_on_the_stream", JUDGED)
+def _judged_stream(spark, folder):
+    """Transactions arrive in two parts; the second sends a fifth of the first again, and every layer counts it once."""
+    tables = views.bank(spark, folder).settled("transaction")
+    source, root, progress = (scratch_path(spark, label) for label in ("arriving", "stream-store", "judged-progress"))
+    known = {n: with_lineage(tables[n], ENTITIES[n], sql.BATCH, RUN.instant("ingested_at")) for n in PARENTS_FIRST}
+    Store(spark, root, buckets=4).merge(known, RUN)
+    rows, part = tables["transaction"].select(*TRANSACTION.columns), F.pmod(F.xxhash64("transaction_id"), F.lit(15))
+    for arrived in (rows.where(part < 10), rows.where((part >= 10) | (part < 2))):
+        arrived.write.mode("append").parquet(source)
+        store = stream_to_store(spark, "transaction", source, RUN, root, progress, buckets=4)
+    loaded = raw.read_raw(spark, TRANSACTION, f"{root}/raw/transaction")
+    found = {"raw": loaded, "core": store.current("core", "transaction")}
+    parts = [
+        df.agg(row_count().alias("records")).select(F.lit(layer).alias("layer"), F.lit(None).cast("string").alias("rule_id"), "records")
+        for layer, df in found.items()
+    ]
+    rejected = store.current("quarantine", "transaction").groupBy("rule_id").agg(row_count().alias("records"))
+    return union_all([*parts, rejected.select(F.lit("quarantine").alias("layer"), "rule_id", "records")])
+
+
 def _account_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Two raw batches of accounts. The second lacks some accounts, changes others and is stamped later."""
     first = views.accounts(spark, folder)
@@ -1731,22 +1760,31 @@ def _rerun(spark, folder):
     )
 
 
-@query(
-    "sh1_account_status_history",
-    f"""SELECT account_id, status, {sql.INSTANT.format("source_updated_at")} AS valid_from,
+HISTORY = f"""SELECT account_id, status, {sql.INSTANT.format("source_updated_at")} AS valid_from,
               {sql.INSTANT.format("next_at")} AS valid_to, next_at IS NULL AS is_current
        FROM (SELECT *, lead(source_updated_at) OVER (PARTITION BY account_id ORDER BY source_updated_at) AS next_at
              FROM (SELECT *, lag(status) OVER o AS before, row_number() OVER o AS position
                    FROM (SELECT account_id, source_updated_at, max(status) AS status FROM both_batches GROUP BY ALL)
                    WINDOW o AS (PARTITION BY account_id ORDER BY source_updated_at))
-             WHERE position = 1 OR before IS DISTINCT FROM status)""",
-    **ACCOUNT_BATCHES,
-)
+             WHERE position = 1 OR before IS DISTINCT FROM status)"""
+
+
+@query("sh1_account_status_history", HISTORY, **ACCOUNT_BATCHES)
 def _history(spark, folder):
     first, second = _account_batches(spark, folder)
     return chg.status_history(first.unionByName(second), "account_id", "status")
 
 
+@query("sh1_history_by_increments", HISTORY, **ACCOUNT_BATCHES)
+def _kept_history(spark, folder):
+    """The later batch arrives first, and both in two parts: the stored periods end as if computed at once."""
+    kept, part = History(spark, scratch_path(spark, "history"), ACCOUNT, "status", buckets=4, days=3650), F.xxhash64("account_id", "status") % 2
+    for i, batch in enumerate(reversed(_account_batches(spark, folder))):
+        kept.merge(batch.where(part == 0), f"B-{i}")
+        kept.merge(batch.where((part != 0) | part.isNull()), f"B-{i}")
+    return kept.periods()
+
+
 @query(
     "jn5_jn6_transactions_by_status_then",
     """SELECT transaction_type, status_then, count(*) AS transactions, CAST(CAST(sum(amount) AS DECIMAL(38, 2)) AS VARCHAR) AS amount

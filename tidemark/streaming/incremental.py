@@ -136,24 +136,41 @@ def stream_to_raw(
     exactly-once after a failure. A query that lost its progress folder has another id and begins anew; it is refused if
     raw holds batches under this prefix, which it would load a second time.
     """
-    arriving = (
+    arriving = arriving_files(spark, source_path, schema, file_glob, max_files_per_trigger)
+
+    def write(rows: DataFrame, batch_id: str) -> None:
+        replace_batch(stamp(rows, batch_id), raw_path)
+
+    drain(arriving, raw_path, checkpoint_path, batch_prefix, write)
+
+
+def arriving_files(
+    spark: SparkSession, source_path: str, schema: T.StructType, file_glob: str, max_files_per_trigger: int
+) -> DataFrame:
+    return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", file_glob)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .parquet(source_path)
     )
-    started, own = threading.Event(), {}
 
-    def write(rows: DataFrame, number: int) -> None:
+
+def drain(
+    arriving: DataFrame, raw_path: str, checkpoint_path: str, batch_prefix: str, write: Callable[[DataFrame, str], None]
+) -> None:
+    """Hand every micro-batch to ``write`` with its batch id until the input is drained; see ``stream_to_raw`` for the ids."""
+    spark, started, own = arriving.sparkSession, threading.Event(), {}
+
+    def take(rows: DataFrame, number: int) -> None:
         started.wait()
         prefix = f"{batch_prefix}-{own['id']}-"
         if "checked" not in own:
             _refuse_foreign(spark, raw_path, batch_prefix, prefix)
             own["checked"] = True
-        replace_batch(stamp(rows, f"{prefix}{number:08d}"), raw_path)
+        write(rows, f"{prefix}{number:08d}")
 
     query = (
-        arriving.writeStream.foreachBatch(write)
+        arriving.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
