@@ -108,8 +108,10 @@ def _fresh(job: Migration, name: str, rows: DataFrame) -> DataFrame:
     if not path_exists(spark, job.path("raw", name)):
         return materialise(arrived, f"fresh-{name}")
     at = F.col("source_updated_at")
-    first, last = arrived.agg(F.min(at), F.max(at)).first()
-    near = at.isNull() if first is None else at.isNull() | at.between(F.lit(first), F.lit(last))
+    first, last = arrived.agg(F.unix_micros(F.min(at)), F.unix_micros(F.max(at))).first()  # numbers know no time zone
+    near = at.isNull()
+    if first is not None:
+        near = near | at.between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last)))
     held = job.visible_raw(name).where(F.col(PARTITION) != job.run.batch_id).where(near)
     return materialise(unseen(arrived, held, SAME), f"fresh-{name}")
 
