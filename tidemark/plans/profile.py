@@ -52,8 +52,8 @@ def movement_totals(balances: DataFrame) -> DataFrame:
     )
 
 
-def source_profile(tables: Tables) -> DataFrame:
-    """The profile as (section, metric, value) lines."""
+def source_profile(tables: Tables, keyed_balances: bool = False) -> DataFrame:
+    """The profile as (section, metric, value) lines. ``keyed_balances``: balances are known to hold every key once."""
     parts = [
         _lines(df.agg(row_count().alias(f"{name}_rows")), "counts") for name, df in tables.items()
     ]
@@ -67,13 +67,18 @@ def source_profile(tables: Tables) -> DataFrame:
     )
     parts.append(_lines(lost.withColumnRenamed("orphan_rows", "transactions_without_account"), "relationships"))
     parts.append(_lines(transaction_range(tables["transaction"]), "transactions"))
-    parts.append(_lines(failure_counts(tables["daily_balance"]).drop("balance_rows"), "balances"))
+    parts.append(_lines(failure_counts(tables["daily_balance"], keyed_balances).drop("balance_rows"), "balances"))
     parts.append(_lines(movement_totals(tables["daily_balance"]), "balances"))
     return union_all(parts)
 
 
-def verify_source(tables: Tables, expected_rows: dict[str, int], run_at: Column) -> DataFrame:
-    """Verification suite as check rows: expected counts, orphans, amounts, balances and totals."""
+def verify_source(
+    tables: Tables, expected_rows: dict[str, int], run_at: Column, keyed_balances: bool = False
+) -> DataFrame:
+    """Verification suite as check rows: expected counts, orphans, amounts, balances and totals.
+
+    ``keyed_balances``: balances are known to hold every key once.
+    """
     transactions, balances, accounts = tables["transaction"], tables["daily_balance"], tables["account"]
     found = [metrics(tables[n], **{f"{n}_rows": row_count()}) for n in expected_rows]
 
@@ -95,7 +100,7 @@ def verify_source(tables: Tables, expected_rows: dict[str, int], run_at: Column)
                 transaction_total=total("amount"),
             ),
             metrics(
-                failure_counts(balances),
+                failure_counts(balances, keyed_balances),
                 equation_failures=F.max("equation_failures"),
                 roll_forward_failures=F.max("roll_forward_failures"),
             ),
