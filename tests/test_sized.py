@@ -12,11 +12,11 @@ from fixtures import RUN, balance, frame, hand_made, layers
 from tidemark.checks.queries import QUERIES
 from tidemark.operators import balances as bal
 from tidemark.operators.rulebook import BOOKS
-from tidemark.operators.rules import is_rejected, quarantine, quarantine_keys
+from tidemark.operators.rules import accepted, evaluate, is_rejected, quarantine, quarantine_keys
 from tidemark.plans import core
 from tidemark.plans.store import Store
 from tidemark.session import INITIAL_PARTITIONS, SIZED_SETTINGS, scratch_path, sized_for
-from tidemark.sources import landing
+from tidemark.sources import bank_views, landing
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -46,6 +46,35 @@ def test_grouped_balances_are_chained_without_a_join(spark):
     assert "p_date" not in plan and not re.search(r"Join[^\n]*business_date", plan)
 
 
+@pytest.mark.parametrize("name", ["wn2_roll_forward_failures", "ag12_double_entry_rollup", "rj21_25_pr8_quarantine_daily_balance"])
+def test_legs_travel_once_and_by_account_alone(spark, name):
+    plan = planned(QUERIES[name](spark, SMALL))
+    by_account = re.findall(r"Exchange hashpartitioning\(([^\n]*), \d+\), (\w+)", plan.split("Initial Plan")[-1])
+    dimension = ["ENSURE_REQUIREMENTS"] if "quarantine" in name else []
+    assert sorted(kind for keys, kind in by_account if keys.startswith("account_id")) == [*dimension, "REPARTITION_BY_COL"]
+    assert not [keys for keys, _ in by_account if "business_date" in keys]
+
+
+def test_days_of_a_hot_account_are_summed(spark):
+    rows = spark.range(0, 90_000, 1, 6).selectExpr(
+        "IF(id % 3 = 0, 1, id + 2) AS source_account_id", "IF(id % 3 = 1, 1, NULL) AS destination_account_id",
+        "timestampadd(DAY, CAST(id % 5 AS INT), TIMESTAMP '2020-01-01 10:00:00') AS transaction_ts",
+        "IF(id % 30 = 0, NULL, CAST(0.25 AS DECIMAL(18, 2))) AS amount",
+    )
+    moved = bal.daily_movements(rows)
+    hot = moved.where("account_id = 1").orderBy("business_date").selectExpr("CAST(debit_total AS STRING)", "CAST(credit_total AS STRING)")
+    assert [tuple(r) for r in hot.collect()] == [("750.00", "1500.00"), *[("1500.00", "1500.00")] * 4]
+    assert moved.where("account_id IS NULL").selectExpr("sum(credit_total)").first()[0] == 14250
+    assert moved.where("debit_total IS NULL").count() == 0
+
+
+def test_a_day_of_unknown_amounts_has_no_total(spark):
+    day = spark.sql("SELECT 1L AS source_account_id, 2L AS destination_account_id, TIMESTAMP '2020-01-01 10:00:00' AS transaction_ts, "
+                    "CAST(NULL AS DECIMAL(18, 2)) AS amount")
+    found = {r.account_id: (r.debit_total, r.credit_total) for r in bal.daily_movements(day).collect()}
+    assert found == {1: (None, 0), 2: (0, None)}
+
+
 @pytest.mark.parametrize("name", ["pr5_vf4_staging_transaction", "pr6_vf5_staging_daily_balance"])
 def test_hashes_are_made_after_the_joins(spark, name):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -65,6 +94,40 @@ def test_chain_by_key_equals_the_general_one_on_unique_keys(spark):
     assert chained[0] == chained[1]
 
 
+def joins(node):
+    found = [node] if node.nodeName() == "Join" else []
+    for i in range(node.children().size()):
+        found += joins(node.children().apply(i))
+    return found
+
+
+def test_what_a_row_tells_alone_is_judged_before_the_lookups(spark):
+    """Reports on verdicts send no texts through the joins, and rows that cannot be accepted do not reach them."""
+    rows = bank_views.transactions(spark, SMALL)
+    accounts = layers(spark).core("account")
+    evaluated = evaluate(rows, BOOKS["transaction"], {"account": accounts}, RUN.today())
+    keys = quarantine_keys(evaluated.withColumn("source_record_key", F.col("transaction_id")), BOOKS["transaction"])
+    wide = [j.left() for j in joins(keys._jdf.queryExecution().optimizedPlan()) if "early_failed" in j.left().output().mkString(",")]
+    sent = {re.sub(r"#.*", "", a) for w in wide for a in w.output().mkString(",").split(",")}
+    assert wide and not sent & {"transaction_type", "payment_channel", "currency_code"}
+    few = accepted(evaluated).select("transaction_id")._jdf.queryExecution().optimizedPlan()
+    below = [j.left().toString() for j in joins(few) if "transaction_id" in j.left().output().mkString(",")]
+    assert below and all("MOBILE" in b and "Filter" in b for b in below)
+
+
+def test_early_and_late_rules_make_the_mask_of_one_pass(spark):
+    evaluated = layers(spark).evaluated("transaction")
+    bits = {r.rule_id: 1 << i for i, r in enumerate(BOOKS["transaction"].rules)}
+    alone = {k: v for k, v in bits.items() if k in ("TRANSACTION_AMOUNT_POSITIVE", "TRANSACTION_CURRENCY_REFERENCE", "TRANSACTION_ACCOUNTS_DIFFER")}
+    for row in evaluated.collect():
+        expected = {
+            "TRANSACTION_AMOUNT_POSITIVE": row.amount is not None and row.amount <= 0,
+            "TRANSACTION_CURRENCY_REFERENCE": row.currency_code is not None and row.currency_code != "INR",
+            "TRANSACTION_ACCOUNTS_DIFFER": row.source_account_id is not None and row.source_account_id == row.destination_account_id,
+        }
+        assert {k: bool(row.failed_rules & bit) for k, bit in alone.items()} == expected
+
+
 def test_gates_take_the_number_of_staged_rows(spark):
     built = layers(spark)
     rows = built.core("transaction")

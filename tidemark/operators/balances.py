@@ -21,19 +21,22 @@ VERSION_ORDER = ("source_updated_at", "ingested_at", "record_hash")
 def daily_movements(transactions: DataFrame) -> DataFrame:
     """Debit and credit totals per (account, business date).
 
-    One scan: every transaction is unfolded into its debit and its credit leg. The sums combine on the map
-    side, so a hot account reaches the shuffle as at most one row per day and task.
+    One scan: every transaction is unfolded into its debit and its credit leg, four narrow columns. Legs seldom meet on
+    one account and day within a map task, so they are not summed there; they travel once, by account, and both the sums
+    and windows by account over them need no further exchange. The legs of a hot account stream through one task, which
+    holds a row per day of it.
     """
     legs = transactions.selectExpr(
         """inline(array(
             named_struct('account_id', source_account_id, 'business_date', to_date(transaction_ts),
-                         'debit', amount, 'credit', CAST(0 AS DECIMAL(18, 2))),
+                         'is_debit', TRUE, 'amount', amount),
             named_struct('account_id', destination_account_id, 'business_date', to_date(transaction_ts),
-                         'debit', CAST(0 AS DECIMAL(18, 2)), 'credit', amount)))"""
+                         'is_debit', FALSE, 'amount', amount)))"""
     )
-    return legs.groupBy("account_id", "business_date").agg(
-        F.sum("debit").cast(MONEY).alias("debit_total"),
-        F.sum("credit").cast(MONEY).alias("credit_total"),
+    nothing = F.lit(0).cast(MONEY)
+    return legs.repartition("account_id").groupBy("account_id", "business_date").agg(
+        F.sum(F.when(F.col("is_debit"), F.col("amount")).otherwise(nothing)).cast(MONEY).alias("debit_total"),
+        F.sum(F.when(F.col("is_debit"), nothing).otherwise(F.col("amount"))).cast(MONEY).alias("credit_total"),
     )
 
 

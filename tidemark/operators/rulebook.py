@@ -76,8 +76,8 @@ ACCOUNT_BOOK = RuleBook(
     ),
     # The branch is deliberately absent here: an unknown branch is quarantined and still accepted.
     accepts=(
-        f"customer_found AND {APPROVED} AND (closed_date IS NULL OR closed_date >= opened_date) "
-        f"AND {one_of('account_type', ACCOUNT_TYPES)} AND {one_of('status', ACCOUNT_STATUSES)}"
+        "customer_found", APPROVED, "closed_date IS NULL OR closed_date >= opened_date",
+        one_of("account_type", ACCOUNT_TYPES), one_of("status", ACCOUNT_STATUSES),
     ),
     rules=(
         Rule(
@@ -114,10 +114,10 @@ TRANSACTION_BOOK = RuleBook(
         Lookup("destination_account", "destination_account_id", "account", "account_id"),
     ),
     accepts=(
-        f"source_account_found AND destination_account_found AND amount > 0 AND {APPROVED} "
-        "AND source_account_id <> destination_account_id "
-        f"AND {one_of('transaction_type', TRANSACTION_TYPES)} AND {one_of('payment_channel', PAYMENT_CHANNELS)} "
-        f"AND NOT coalesce({CLOSED_BEFORE_USE}, FALSE)"
+        "source_account_found", "destination_account_found", "amount > 0", APPROVED,
+        "source_account_id <> destination_account_id",
+        one_of("transaction_type", TRANSACTION_TYPES), one_of("payment_channel", PAYMENT_CHANNELS),
+        f"NOT coalesce({CLOSED_BEFORE_USE}, FALSE)",
     ),
     rules=(
         Rule(
@@ -206,7 +206,7 @@ SOURCE_CUSTOMER_BOOK = RuleBook(
 SOURCE_TRANSACTION_BOOK = RuleBook(
     entity=TRANSACTION,
     lookups=(Lookup("source_account", "source_account_id", "account", "account_id", earliest_closure("status")),),
-    accepts=f"{APPROVED} AND NOT coalesce({CLOSED_BEFORE_USE}, FALSE)",
+    accepts=(APPROVED, f"NOT coalesce({CLOSED_BEFORE_USE}, FALSE)"),
     rules=(
         Rule(
             "TRANSACTION_CURRENCY_REFERENCE", HIGH,
