@@ -13,7 +13,8 @@ from tidemark.checks.queries import QUERIES
 from tidemark.operators import balances as bal
 from tidemark.operators.rulebook import BOOKS
 from tidemark.operators.rules import accepted, evaluate, is_rejected, quarantine, quarantine_keys
-from tidemark.plans import core
+from tidemark.plans import core, reconcile
+from tidemark.plans.ledger import table_runs
 from tidemark.plans.store import Store
 from tidemark.session import INITIAL_PARTITIONS, SIZED_SETTINGS, scratch_path, sized_for
 from tidemark.sources import bank_views, landing
@@ -128,6 +129,38 @@ def test_early_and_late_rules_make_the_mask_of_one_pass(spark):
         assert {k: bool(row.failed_rules & bit) for k, bit in alone.items()} == expected
 
 
+def test_source_balances_are_derived_once(spark, monkeypatch):
+    """The ledger and the reconciliation count them while they pass into the verdicts; the checks find what a table tells."""
+    derived = []
+    real = bank_views.daily_balances
+    monkeypatch.setattr(bank_views, "daily_balances", lambda rows: derived.append(rows) or real(rows))
+    for name in ("rp5_reconcile_financials", "in5_table_run_ledger"):
+        result = QUERIES[name](spark, SMALL)
+        assert "REPARTITION_BY_COL" not in planned(result)
+    assert len(derived) == 2
+
+
+def test_observed_totals_stand_for_the_source_balances(spark):
+    tables, built = hand_made(spark), layers(spark)
+    figures = tables["daily_balance"].agg(*reconcile.balance_totals().values()).first().asDict()
+    rest = (built.raw("transaction"), built.raw("daily_balance"), built.core("daily_balance"), built.rejected("daily_balance"))
+    results = [
+        reconcile.reconcile_financials(tables["transaction"], told, *rest, F.lit(None)).collect()
+        for told in (tables["daily_balance"], figures, figures | {"source_balances": figures["source_balances"] + 1})
+    ]
+    assert results[0] == results[1]
+    changed = {a.check_name for a, b in zip(results[1], results[2], strict=True) if a != b}
+    assert changed == {"source_vs_raw_balance_count"}
+
+
+def test_a_ledger_takes_numbers_of_rows(spark):
+    tables = {"branch": hand_made(spark)["branch"]}
+    rows, none = tables["branch"].count(), {"branch": spark.createDataFrame([], "source_record_key STRING")}
+    at = F.lit("2020-01-01 00:00:00")
+    found = [table_runs("B-1", t, t, tables, none, at, at).collect() for t in (tables, {"branch": rows}, {"branch": rows + 1})]
+    assert found[0] == found[1] and [r.status for runs in found for r in runs] == ["SUCCEEDED", "SUCCEEDED", "FAILED"]
+
+
 def test_gates_take_the_number_of_staged_rows(spark):
     built = layers(spark)
     rows = built.core("transaction")
