@@ -16,7 +16,7 @@ from tidemark.operators.rules import accepted, evaluate, is_rejected, quarantine
 from tidemark.plans import core, reconcile
 from tidemark.plans.ledger import table_runs
 from tidemark.plans.store import Store
-from tidemark.session import INITIAL_PARTITIONS, SIZED_SETTINGS, scratch_path, sized_for
+from tidemark.session import INITIAL_PARTITIONS, SIZED_SETTINGS, materialise, scratch_path, sized_for
 from tidemark.sources import bank_views, landing
 
 SMALL = "/root/testdata/sf0.001"
@@ -140,6 +140,16 @@ def test_source_balances_are_derived_once(spark, monkeypatch):
     assert len(derived) == 2
 
 
+@pytest.mark.parametrize("name", ["io3_empty_extract_guard", "gt3_verify_source", "gt3_counts_against_the_manifest"])
+def test_balances_are_written_once_for_a_landing(spark, monkeypatch, name):
+    derived, kept = [], []
+    real = bank_views.daily_balances
+    monkeypatch.setattr(bank_views, "daily_balances", lambda rows: derived.append(rows) or real(rows))
+    monkeypatch.setattr(bank_views, "materialise", lambda *a: kept.append(a) or materialise(*a))
+    plan = planned(QUERIES[name](spark, SMALL))
+    assert len(derived) == 1 and not kept and "REPARTITION_BY_COL" not in plan
+
+
 def test_observed_totals_stand_for_the_source_balances(spark):
     tables, built = hand_made(spark), layers(spark)
     figures = tables["daily_balance"].agg(*reconcile.balance_totals().values()).first().asDict()
