@@ -13,7 +13,7 @@ from tidemark.checks.queries import QUERIES
 from tidemark.operators import balances as bal
 from tidemark.operators.rulebook import BOOKS
 from tidemark.operators.rules import accepted, evaluate, is_rejected, quarantine, quarantine_keys
-from tidemark.plans import core, reconcile
+from tidemark.plans import core, profile, reconcile
 from tidemark.plans.ledger import table_runs
 from tidemark.plans.store import Store
 from tidemark.session import INITIAL_PARTITIONS, SIZED_SETTINGS, materialise, scratch_path, sized_for
@@ -140,6 +140,21 @@ def test_source_balances_are_derived_once(spark, monkeypatch):
     assert len(derived) == 2
 
 
+def test_a_profile_reads_the_balances_in_one_pass(spark, monkeypatch):
+    derived, kept = [], []
+    real = bank_views.daily_balances
+    monkeypatch.setattr(bank_views, "daily_balances", lambda rows: derived.append(rows) or real(rows))
+    monkeypatch.setattr(bank_views, "materialise", lambda *a: kept.append(a) or materialise(*a))
+    plan = planned(QUERIES["rp1_source_profile"](spark, SMALL)).split("Initial Plan")[-1]
+    assert len(derived) == 1 and not kept and plan.count("REPARTITION_BY_COL") == 1
+
+
+def test_profiles_of_keyed_and_other_balances_agree(spark):
+    tables = hand_made(spark)
+    lines = [sorted(map(str, profile.source_profile(tables, keyed).collect())) for keyed in (True, False)]
+    assert lines[0] == lines[1] and len(lines[0]) == 17
+
+
 @pytest.mark.parametrize("name", ["io3_empty_extract_guard", "gt3_verify_source", "gt3_counts_against_the_manifest"])
 def test_balances_are_written_once_for_a_landing(spark, monkeypatch, name):
     derived, kept = [], []

@@ -124,8 +124,8 @@ def equation_failures(balances: DataFrame) -> DataFrame:
     return balances.where(~balance_equation_holds())
 
 
-def failure_counts(balances: DataFrame, unique: bool = False) -> DataFrame:
-    """One row: equation failures and roll-forward failures, from one chained pass."""
+def failure_counts(balances: DataFrame, unique: bool = False, *more: Column) -> DataFrame:
+    """One row: equation failures and roll-forward failures, from one chained pass, and further aggregates of the rows."""
     chained = with_previous_closing_unique(balances) if unique else with_previous_closing(balances)
     return chained.agg(
         row_count().alias("balance_rows"),
@@ -133,4 +133,5 @@ def failure_counts(balances: DataFrame, unique: bool = False) -> DataFrame:
         F.count(F.when(F.col("opening_balance") != F.col("previous_closing_balance"), 1)).alias(
             "roll_forward_failures"
         ),
+        *more,
     )

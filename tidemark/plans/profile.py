@@ -16,12 +16,15 @@ from tidemark.schemas import EMAIL_PATTERN, ENTITIES
 Tables = Mapping[str, DataFrame]
 
 
-def _lines(one_row: DataFrame, section: str) -> DataFrame:
-    """Unfold a one-row aggregate into (section, metric, value) text lines."""
-    pairs = [
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("string").alias("value")) for c in one_row.columns
+def _lines(one_row: DataFrame, section: str, **elsewhere: str) -> DataFrame:
+    """Unfold a one-row aggregate into (section, metric, value) text lines; some columns may belong to other sections."""
+    lines = [
+        F.struct(
+            F.lit(elsewhere.get(c, section)).alias("section"), F.lit(c).alias("metric"), F.col(c).cast("string").alias("value")
+        )
+        for c in one_row.columns
     ]
-    return one_row.select(F.lit(section).alias("section"), F.inline(F.array(*pairs)))
+    return one_row.select(F.inline(F.array(*lines)))
 
 
 def table_counts(tables: Tables) -> DataFrame:
@@ -45,17 +48,27 @@ def transaction_range(transactions: DataFrame) -> DataFrame:
     )
 
 
+def movement_sums() -> list[Column]:
+    return [F.sum(c).cast("decimal(38,2)").alias(c) for c in ("debit_total", "credit_total")]
+
+
 def movement_totals(balances: DataFrame) -> DataFrame:
-    return balances.agg(
-        F.sum("debit_total").cast("decimal(38,2)").alias("debit_total"),
-        F.sum("credit_total").cast("decimal(38,2)").alias("credit_total"),
-    )
+    return balances.agg(*movement_sums())
+
+
+def balance_profile(balances: DataFrame, keyed: bool) -> DataFrame:
+    """One row: everything a profile wants to know of the balances, from one chained pass.
+
+    Balances derived from transactions are laid out by account already; so they need neither files nor a further exchange.
+    """
+    figures = failure_counts(balances, keyed, *movement_sums())
+    return figures.withColumnRenamed("balance_rows", "daily_balance_rows")
 
 
 def source_profile(tables: Tables, keyed_balances: bool = False) -> DataFrame:
     """The profile as (section, metric, value) lines. ``keyed_balances``: balances are known to hold every key once."""
     parts = [
-        _lines(df.agg(row_count().alias(f"{name}_rows")), "counts") for name, df in tables.items()
+        _lines(df.agg(row_count().alias(f"{name}_rows")), "counts") for name, df in tables.items() if name != "daily_balance"
     ]
     for name in ("customer", "account", "transaction"):
         found = duplicate_key_count(tables[name], *ENTITIES[name].key)
@@ -67,8 +80,9 @@ def source_profile(tables: Tables, keyed_balances: bool = False) -> DataFrame:
     )
     parts.append(_lines(lost.withColumnRenamed("orphan_rows", "transactions_without_account"), "relationships"))
     parts.append(_lines(transaction_range(tables["transaction"]), "transactions"))
-    parts.append(_lines(failure_counts(tables["daily_balance"], keyed_balances).drop("balance_rows"), "balances"))
-    parts.append(_lines(movement_totals(tables["daily_balance"]), "balances"))
+    parts.append(
+        _lines(balance_profile(tables["daily_balance"], keyed_balances), "balances", daily_balance_rows="counts")
+    )
     return union_all(parts)
 
 
