@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from fixtures import RUN, balance, frame, hand_made, layers
+from tidemark.checks import queries
 from tidemark.checks.queries import QUERIES
 from tidemark.operators import balances as bal
 from tidemark.operators.rulebook import BOOKS
 from tidemark.operators.rules import accepted, evaluate, is_rejected, quarantine, quarantine_keys
-from tidemark.plans import core, profile, reconcile
+from tidemark.plans import core, migration, profile, reconcile
 from tidemark.plans.ledger import table_runs
 from tidemark.plans.store import Store
 from tidemark.session import INITIAL_PARTITIONS, SIZED_SETTINGS, materialise, scratch_path, sized_for
@@ -155,6 +157,52 @@ def test_profiles_of_keyed_and_other_balances_agree(spark):
     assert lines[0] == lines[1] and len(lines[0]) == 17
 
 
+def test_whole_verdicts_send_no_texts_through_the_lookups(spark):
+    rows = bank_views.transactions(spark, SMALL)
+    evaluated = evaluate(rows, BOOKS["transaction"], {"account": layers(spark).core("account")}, RUN.today())
+    plan = evaluated.select("transaction_id", "is_valid", "failed_rules")._jdf.queryExecution().optimizedPlan()
+    wide = [j.left() for j in joins(plan) if "early_failed" in j.left().output().mkString(",")]
+    sent = {re.sub(r"#.*", "", a) for w in wide for a in w.output().mkString(",").split(",")}
+    assert wide and "early_valid" in sent and not sent & {"transaction_type", "payment_channel", "currency_code"}
+
+
+def test_early_and_late_conditions_make_the_verdict_of_one_pass(spark):
+    built = layers(spark)
+    for name in ("account", "transaction"):
+        book = BOOKS[name]
+        at_once = replace(book, prepare=lambda rows: rows)  # judges nothing before the lookups
+        dimensions = {k.dimension: built.core(k.dimension) for k in book.lookups}
+        found = [
+            sorted(map(str, evaluate(built.raw(name), b, dimensions, RUN.today()).select("source_record_key", "is_valid", "failed_rules").collect()))
+            for b in (book, at_once)
+        ]
+        assert found[0] == found[1] and "is_valid=True" in str(found[0]) and "is_valid=False" in str(found[0])
+
+
+def test_gates_keep_only_what_is_looked_up_of_their_parents(spark, monkeypatch):
+    kept = []
+    for module in (migration, queries):
+        monkeypatch.setattr(module, "materialise", lambda df, *a: kept.append(df.columns) or materialise(df, *a))
+    QUERIES["gt2_core_gates_transaction"](spark, SMALL)
+    parents = [sorted(c) for c in kept if "account_id" in c and "transaction_id" not in c]
+    assert parents == [["account_id", "account_status", "closed_date"]]
+
+
+def test_rejected_records_from_verdicts_are_those_of_a_quarantine(spark):
+    """Copies of a rejected key count with all their rows, and rows without an id are one record."""
+    rows = [(1, "5.00", 1), (1, "7.00", 0), (2, "1.00", 0), (3, None, 4), (None, "2.00", 1), (None, "3.00", 0)]
+    judged = spark.createDataFrame(rows, "transaction_id LONG, amount STRING, failed_rules LONG").withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    found = reconcile.rejected_by_key(judged, "transaction_id").first()
+    assert (found.rejected_records, str(found.rejected_amount)) == (3, "17.00")
+    none = reconcile.rejected_by_key(judged.where("failed_rules = 0"), "transaction_id").first()
+    assert (none.rejected_records, none.rejected_amount) == (0, 0)
+
+
+def test_rejected_transactions_travel_once(spark):
+    plan = planned(QUERIES["rp2_fn15_reconcile_transactions"](spark, SMALL)).split("Initial Plan")[-1]
+    assert "Join" not in plan and len(re.findall(r"Exchange hashpartitioning\(transaction_id", plan)) == 1
+
+
 @pytest.mark.parametrize("name", ["io3_empty_extract_guard", "gt3_verify_source", "gt3_counts_against_the_manifest"])
 def test_balances_are_written_once_for_a_landing(spark, monkeypatch, name):
     derived, kept = [], []

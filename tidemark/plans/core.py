@@ -54,6 +54,11 @@ def gate_columns(entity_name: str) -> list[str]:
     return list(dict.fromkeys(wanted))
 
 
+def gated_columns(entity_name: str, parent: str) -> list[str]:
+    """The columns of a parent's core table that the gates of an entity look at."""
+    return [key for _, _, table, key in GATED_KEYS.get(entity_name, ()) if table == parent]
+
+
 def core_gates(
     entity_name: str, core: DataFrame, staging: DataFrame | int, dimensions: dict[str, DataFrame]
 ) -> DataFrame:

@@ -72,6 +72,7 @@ class Layers:
     settle: tuple[str, ...] = ()
     keyed: tuple[str, ...] = ()
     _evaluated: dict[str, DataFrame] = field(default_factory=dict)
+    _core: dict[str, DataFrame] = field(default_factory=dict)
 
     def raw(self, name: str) -> DataFrame:
         if name in self.settle:
@@ -105,7 +106,14 @@ class Layers:
     def rejected(self, name: str) -> DataFrame:
         return quarantine(self.evaluated(name), BOOKS[name], self.run.instant("rejected_at"))
 
+    def kept_core(self, name: str, *columns: str) -> DataFrame:
+        """Some columns of a core table, written once; from then on they stand for it, in lookups too."""
+        self._core[name] = materialise(self.core(name).select(*dict.fromkeys(columns)), f"core-{name}")
+        return self._core[name]
+
     def core(self, name: str) -> DataFrame:
+        if name in self._core:
+            return self._core[name]
         return build_core(accepted(self.evaluated(name)), name)
 
 
