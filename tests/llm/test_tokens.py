@@ -40,6 +40,35 @@ def test_segments_make_the_tokens_of_the_whole(path, rule):
         assert np.frombuffer(b"".join(packed), np.int32).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_joined_ids_are_those_of_the_whole_texts(path, monkeypatch):
+    """Distinct segments only reach Python; ids are put in place in pieces, also smaller than a segment's."""
+    own, library = identifying(path), Tokenizer.from_file(path)
+    texts = ["", " ", *mixtures(), "stem stem, stem. Stem,, été été, été&& so$$$ so *** a" + "b" * 400 + "!! " * 50, "x" * 5000, ""]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for piece in (1 << 17, 7):
+        monkeypatch.setattr(segments, "PIECE_IDS", piece)
+        for first in (0, len(texts) - 3, len(texts) - 1, len(texts)):
+            ids, sizes = own.joined([t.encode() for t in texts[first:]])
+            assert sizes.tolist() == [len(x) for x in expected[first:]]
+            assert ids.dtype == np.int32 and ids.tolist() == [i for x in expected[first:] for i in x]
+
+
+def test_letters_are_not_tokenised_again_for_what_follows_them():
+    own = identifying(WORDS)
+    own.remembered.forget()
+    alone = own([b"qwzuv"])
+    asked_for = []
+
+    class Model:
+        def tokenize(self, word):
+            asked_for.append(word)
+            return Tokenizer.from_file(WORDS).model.tokenize(word)
+
+    found = [own._plain(t, Model().tokenize) for t in ("qwzuv,", "qwzuv;:", "qwzux.")]
+    assert asked_for == ["qwzux"] and found[0][: len(alone[0][0])] == alone[0][0]
+
+
 def test_unknown_descriptions_are_not_cut():
     base = {"added_tokens": [], "model": {"type": "BPE"}, "normalizer": None}
     assert cut_rule(base | {"pre_tokenizer": {"type": "ByteLevel", "use_regex": True, "add_prefix_space": False}}) == "spaces"

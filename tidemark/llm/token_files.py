@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import memory
-from tidemark.llm.pieces import integer_lists
 from tidemark.llm.segments import identifying
 from tidemark.llm.texts import encoded, portions
 
@@ -30,6 +29,8 @@ LAYOUT = {
     "orc.stripe.size": str(16 << 20),
     "compression": "zstd",
 }
+#: Bytes of text that are encoded at a time: the more, the fewer distinct words a byte has.
+ENCODED_BYTES = 4 << 20
 
 
 def write_token_files(
@@ -54,14 +55,14 @@ def write_token_files(
     def run(batches):
         memory.begin(tokenizer)
         so_far = 0
-        for part in portions(batches, "text"):
-            found = identifying(tokenizer)(encoded(part.column("text")))
-            end = np.int32(end_id).tobytes()
-            ids = [np.frombuffer(b"".join((*packed, end)), np.int32) for packed in found]
-            sizes = np.array([len(i) for i in ids], np.int64)
-            starts = so_far + np.cumsum(sizes) - sizes
-            so_far += int(sizes.sum())
-            columns = [part.column("doc_id"), part.column("part"), pa.array(starts), pa.array(sizes), integer_lists(ids)]
+        for part in portions(batches, "text", ENCODED_BYTES):
+            ids, sizes = identifying(tokenizer).joined(encoded(part.column("text")))
+            ids = np.insert(ids, np.cumsum(sizes), end_id)
+            sizes = sizes + 1
+            edges = np.concatenate([[0], np.cumsum(sizes)])
+            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids))
+            columns = [part.column("doc_id"), part.column("part"), pa.array(so_far + edges[:-1]), pa.array(sizes), lists]
+            so_far += int(edges[-1])
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "part_start", "n_tokens", "token_ids"])
 
     numbered = dealt.withColumn("part", F.spark_partition_id())
