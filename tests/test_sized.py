@@ -58,6 +58,26 @@ def test_legs_travel_once_and_by_account_alone(spark, name):
     assert not [keys for keys, _ in by_account if "business_date" in keys]
 
 
+@pytest.mark.parametrize("name", ["rj21_25_pr8_quarantine_daily_balance", "wn2_core_roll_forward_failures", "so3_ordered_balances"])
+def test_legs_are_sorted_once_and_summed_as_they_pass(spark, name):
+    plan = planned(QUERIES[name](spark, SMALL)).split("Initial Plan")[-1]
+    assert len(re.findall(r"SortAggregate\(key=\[account_id#\w+, business_date#\w+\]", plan)) == 1
+    assert not re.search(r"HashAggregate\(key[^\n]*business_date", plan)
+    assert len(re.findall(r"Sort \[account_id#\w+ ASC NULLS FIRST, business_date#\w+ ASC NULLS FIRST\], false", plan)) == 1
+
+
+def test_sorted_and_hashed_sums_of_days_agree(spark):
+    rows = spark.range(0, 20_000, 1, 5).selectExpr(
+        "IF(id % 11 = 0, NULL, id % 300) AS source_account_id", "IF(id % 3 = 1, 1, id % 700) AS destination_account_id",
+        "IF(id % 13 = 0, NULL, timestampadd(HOUR, CAST(id % 500 AS INT), TIMESTAMP '2020-01-01 10:00:00')) AS transaction_ts",
+        "IF(id % 30 = 0, NULL, CAST(id % 1000 - 300.25 AS DECIMAL(18, 2))) AS amount",
+    )
+    hashed = sorted(map(str, bal.daily_balances(rows).collect()))
+    sized_for(spark, [])
+    assert "SortAggregate" in planned(bal.daily_balances(rows))
+    assert sorted(map(str, bal.daily_balances(rows).collect())) == hashed
+
+
 def test_days_of_a_hot_account_are_summed(spark):
     rows = spark.range(0, 90_000, 1, 6).selectExpr(
         "IF(id % 3 = 0, 1, id + 2) AS source_account_id", "IF(id % 3 = 1, 1, NULL) AS destination_account_id",
