@@ -270,6 +270,16 @@ def test_quarantine_keys_are_those_of_the_quarantine(spark, name):
     assert evaluated.where(is_rejected()).count() > 0 or name == "daily_balance"
 
 
+def test_names_of_files_are_made_per_file(spark):
+    path = scratch_path(spark, "landed")
+    spark.range(0, 1000, 1, 3).write.parquet(path)
+    counted = landing.file_rows(spark.read.parquet(path), path)
+    assert "substring_index" not in planned(counted)  # no projection of rows makes it; results of groups are not shown
+    names = {r.file_name for r in landing.file_checksums(spark, path).collect()}
+    rows = counted.collect()
+    assert {r.file_name for r in rows} == names and len(rows) == 3 and sum(r.file_row_count for r in rows) == 1000
+
+
 def test_checksums_do_not_depend_on_the_cores_that_are_up(spark, monkeypatch):
     folder = scratch_path(spark, "orders")
     spark.read.parquet(f"{SMALL}/orders.parquet").repartition(6).write.parquet(f"{folder}/orders.parquet")

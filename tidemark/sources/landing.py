@@ -99,9 +99,9 @@ def _below(folder: str, path: Column) -> Column:
 
 
 def file_rows(landed: DataFrame, path: str) -> DataFrame:
-    """Rows per part file below ``path``; no column is read."""
-    file = _below(path, F.col("_metadata.file_path")).alias("file_name")
-    return landed.groupBy(file).agg(row_count().alias("file_row_count"))
+    """Rows per part file below ``path``; no column is read, and names are made per file, not per row."""
+    files = landed.groupBy(F.col("_metadata.file_path").alias("file")).agg(row_count().alias("file_row_count"))
+    return files.select(_below(path, F.col("file")).alias("file_name"), "file_row_count")
 
 
 def manifest_schema(entity: Entity) -> T.StructType:
