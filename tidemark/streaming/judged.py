@@ -4,6 +4,9 @@ Replayed records are held back twice. State with a watermark on the time of arri
 ``replay_window``; by then it lies in raw, against whose rows of the same period of change the micro-batch is compared.
 The watermark is on arrival and not on the record's own time, since Spark drops rows behind a watermark: late records are
 ordinary here, and the newest version of a record counts whenever it comes.
+
+The state holds 16 bytes for a record, and source columns alone travel to it; the lineage is stamped behind it. A micro-batch
+is kept aside until raw holds it, and the merge reads it from there.
 """
 
 from __future__ import annotations
@@ -20,14 +23,14 @@ from tidemark.plans.migration import Migration, Run, _message, _now
 from tidemark.plans.snapshots import LostRace
 from tidemark.plans.store import Store
 from tidemark.schemas import ENTITIES
-from tidemark.session import materialise, scratch_path
-from tidemark.sources.raw import PARTITION, replace_batch, unseen
-from tidemark.sources.readers import path_exists
+from tidemark.session import brief_shuffles, scratch_path
+from tidemark.sources.raw import PARTITION, replace_batch, same_values, unseen
+from tidemark.sources.readers import path_exists, remove_path
 from tidemark.streaming.incremental import arriving_files, drain
 
 #: A row equal to another in these is the same record sent again.
 SAME: Sequence[str] = ("source_record_key", "record_hash", "source_updated_at")
-ARRIVED = "arrived_at"
+ARRIVED, SENT = "arrived_at", "sent_record"
 #: How often a micro-batch is merged anew over the snapshot of a faster writer.
 RACES = 5
 
@@ -57,19 +60,21 @@ def stream_to_store(
     """
     entity, ledgers, store = ENTITIES[name], Ledgers(spark, root), Store(spark, root, buckets)
     arriving = arriving_files(spark, source_path, entity.schema, file_glob, max_files_per_trigger)
-    single = (
-        with_lineage(arriving, entity, "", run.instant("ingested_at"))
+    stamped = with_lineage(arriving, entity, "", run.instant("ingested_at"))
+    once = (
+        stamped.select(*entity.columns, same_values(stamped, SAME).alias(SENT))
         .withColumn(ARRIVED, F.current_timestamp())
         .withWatermark(ARRIVED, replay_window)
-        .dropDuplicatesWithinWatermark(list(SAME))
-        .drop(ARRIVED)
+        .dropDuplicatesWithinWatermark([SENT])
     )
+    single = with_lineage(once, entity, "", run.instant("ingested_at"))
 
     def judge(rows: DataFrame, batch_id: str) -> None:
         job = Migration({}, replace(run, batch_id=batch_id), root, ledgers, newest_only=True)
         _judge(job, store, name, rows.withColumn(PARTITION, F.lit(batch_id)))
 
-    drain(single, f"{root}/raw/{name}", checkpoint_path, batch_prefix, judge)
+    with brief_shuffles(spark):  # the query's session takes it over
+        drain(single, f"{root}/raw/{name}", checkpoint_path, batch_prefix, judge)
     return store
 
 
@@ -86,9 +91,8 @@ def _judge(job: Migration, store: Store, name: str, rows: DataFrame) -> None:
     else:
         note(RUNNING)
         try:
-            fresh = _fresh(job, name, rows)
+            fresh = _load(job, name, rows)
             if not fresh.isEmpty():
-                replace_batch(fresh, job.path("raw", name))
                 _merge(store, name, fresh, job.run)
         except Exception as error:
             note(FAILED, _message(error))
@@ -96,24 +100,34 @@ def _judge(job: Migration, store: Store, name: str, rows: DataFrame) -> None:
     note(SUCCEEDED)
 
 
-def _fresh(job: Migration, name: str, rows: DataFrame) -> DataFrame:
-    """Rows that no other visible batch of raw holds, written once.
+def _load(job: Migration, name: str, rows: DataFrame) -> DataFrame:
+    """Append the rows that no other visible batch of raw holds to raw; returns them as they lie there.
 
     The micro-batch is written first, by the query's session, and read by the caller's. Raw is read only between its
     earliest and latest time of change, which prunes row groups.
     """
     spark, path = job.spark, scratch_path(job.spark, f"arrived-{name}")
-    rows.write.parquet(path)
-    arrived = spark.read.schema(rows.schema).parquet(path)
-    if not path_exists(spark, job.path("raw", name)):
-        return materialise(arrived, f"fresh-{name}")
+    try:
+        rows.write.parquet(path)
+        arrived = spark.read.schema(rows.schema).parquet(path)
+        if arrived.isEmpty():
+            return spark.createDataFrame([], rows.schema)
+        replace_batch(_new_to_raw(job, name, arrived), job.path("raw", name))
+    finally:
+        remove_path(spark, path)
+    return job.visible_raw(name).where(F.col(PARTITION) == job.run.batch_id)
+
+
+def _new_to_raw(job: Migration, name: str, arrived: DataFrame) -> DataFrame:
+    if not path_exists(job.spark, job.path("raw", name)):
+        return arrived
     at = F.col("source_updated_at")
     first, last = arrived.agg(F.unix_micros(F.min(at)), F.unix_micros(F.max(at))).first()  # numbers know no time zone
     near = at.isNull()
     if first is not None:
         near = near | at.between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last)))
     held = job.visible_raw(name).where(F.col(PARTITION) != job.run.batch_id).where(near)
-    return materialise(unseen(arrived, held, SAME), f"fresh-{name}")
+    return unseen(arrived, held, SAME)
 
 
 def _merge(store: Store, name: str, fresh: DataFrame, run: Run) -> None:
